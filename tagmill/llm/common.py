@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes that one block or slice of work holds, apart from a single longer text.
 BLOCK_BYTES = 10_000_000
@@ -109,6 +110,14 @@ def unpack_all(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return [unpack(blob[e - s : e], k) for e, s, k in zip(ends.tolist(), sizes.tolist(), kinds, strict=True)]
 
 
+def plus(schema: StructType, **kinds: str) -> StructType:
+    """A copy of a schema with more fields."""
+    out = StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out
+
+
 def fresh(wanted: str, taken: list[str]) -> str:
     """`wanted`, or with underscores before it where a column has that name already."""
     low = {c.lower() for c in taken}

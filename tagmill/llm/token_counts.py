@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import SLICE_BYTES, fresh, text_column, text_slices
+from tagmill.llm.common import SLICE_BYTES, fresh, plus, text_column, text_slices
 
 #: Fixed pattern of this kind of tokenizer.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -146,7 +146,7 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", out: str =
     gets a leading underscore.
     """
     name = fresh(out, docs.columns)
-    schema = docs.schema.add(name, "long")
+    schema = plus(docs.schema, **{name: "long"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer)

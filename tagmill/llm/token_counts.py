@@ -62,44 +62,33 @@ class HashTable:
         return out
 
 
-class MergeTable:
-    """Ranks of pairs of token ids, for lookups of whole arrays."""
-
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            made = json.load(f)
-        vocab, merges = made["model"]["vocab"], made["model"]["merges"]
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
-        left = np.array([vocab[a] for a, _ in pairs], np.int64)
-        right = np.array([vocab[b] for _, b in pairs], np.int64)
-        self.ranked = HashTable(left << 32 | right, np.arange(len(pairs)), len(pairs))
-        self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.first = np.array([vocab[c] for c in byte_letters()], np.int64)
-        self.none = len(pairs)
-        self.special = [t["content"] for t in made.get("added_tokens", [])]
-
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return self.ranked.find(left << 32 | right)
-
-    def counts(self, pieces: list[bytes]) -> np.ndarray:
-        """Symbols that survive in each piece."""
-        sizes = np.array([len(p) for p in pieces], np.int64)
-        out = np.zeros(len(pieces), np.int64)
-        ids = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
-        seq = np.flatnonzero(sizes)
-        sizes = sizes[seq]
+class Merges:
+    """Merge rules of a BPE vocabulary over ragged arrays of token ids."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, made: np.ndarray) -> None:
+        self.none, self.made = len(made), made
+        self.ranked = HashTable(left << 32 | right, np.arange(len(made)), len(made))
+
+    def apply(self, ids: np.ndarray, sizes: np.ndarray, want_ids: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """Sizes, and with want_ids the ids, of all sequences after their last merge; `sizes` are positive.
+
+        Every round applies each sequence's lowest-ranked pair, wherever it stands, in all sequences at once.
+        """
+        out, seq, done = np.zeros(len(sizes), np.int64), np.arange(len(sizes)), []
+        ids = ids.copy()
         while len(seq):
             starts = np.cumsum(sizes) - sizes
             rank = np.full(len(ids), self.none)
-            rank[:-1] = self.ranks(ids[:-1], ids[1:])
+            rank[:-1] = self.ranked.find(ids[:-1] << 32 | ids[1:])
             rank[starts + sizes - 1] = self.none
             least = np.minimum.reduceat(rank, starts)
             going = least < self.none
-            out[seq[~going]] = sizes[~going]
             stay = np.repeat(going, sizes)
+            out[seq[~going]] = sizes[~going]
+            if want_ids and not going.all():
+                done.append((np.repeat(seq[~going], sizes[~going]), ids[~stay]))
             ids, rank, least, sizes, seq = ids[stay], rank[stay], least[going], sizes[going], seq[going]
-            hit = (rank == np.repeat(least, sizes)) & (rank < self.none)
-            at = np.flatnonzero(hit)
+            at = np.flatnonzero((rank == np.repeat(least, sizes)) & (rank < self.none))
             if not len(at):
                 continue
             # in a run such as "aaaa" every second place merges, from the left
@@ -110,12 +99,28 @@ class MergeTable:
             keep[at + 1] = False
             sizes = sizes - np.add.reduceat(~keep, np.cumsum(sizes) - sizes)
             ids = ids[keep]
-        return out
+        if not want_ids:
+            return out, None
+        owner = np.concatenate([o for o, _ in done] or [np.empty(0, np.int64)])
+        flat = np.concatenate([i for _, i in done] or [np.empty(0, np.int64)])
+        return out, flat[np.argsort(owner, kind="stable")]
+
+
+def read_vocabulary(path: str) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, list[dict]]:
+    """The vocabulary, the left, right and resulting id of every merge, and the added tokens of a JSON file."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    vocab = made["model"]["vocab"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in made["model"]["merges"]]
+    sides = (np.array([vocab[x] for x in side], np.int64) for side in zip(*[(a, b, a + b) for a, b in pairs], strict=True))
+    return vocab, *sides, made.get("added_tokens", [])
 
 
 def _counter(path: str):
-    table, known = MergeTable(path), {}
-    cut = regex.compile("|".join(regex.escape(s) for s in table.special)) if table.special else None
+    vocab, left, right, made, added = read_vocabulary(path)
+    merges, known = Merges(left, right, made), {}
+    first = np.array([vocab[c] for c in byte_letters()], np.int64)
+    cut = regex.compile("|".join(regex.escape(t["content"]) for t in added)) if added else None
 
     def count(texts: list[str]) -> list[int]:
         if len(known) > _REMEMBER:
@@ -131,7 +136,10 @@ def _counter(path: str):
             extra.append(n)
         new = list({x for found in split for x in found if x not in known})
         if new:
-            known.update(zip(new, table.counts([x.encode() for x in new]).tolist(), strict=True))
+            raw = [x.encode() for x in new]
+            sizes = np.array([len(x) for x in raw], np.int64)
+            left_over, _ = merges.apply(first[np.frombuffer(b"".join(raw), np.uint8)], sizes, want_ids=False)
+            known.update(zip(new, left_over.tolist(), strict=True))
         return [n + sum(map(known.__getitem__, found)) for n, found in zip(extra, split, strict=True)]
 
     return count

@@ -7,19 +7,34 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import token_counts
+from tagmill.llm import bpe_codec, language_id, media, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.codec_report(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_report(_documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_report(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(_documents(spark, sf_dir))
+
+
+_QUERIES = [op3_bpe_codec, op4_media_columns, op6_token_counts, op9_language_id]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_token_counts": op6_token_counts}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -114,7 +114,7 @@ def plus(schema: StructType, **kinds: str) -> StructType:
     """A copy of a schema with more fields."""
     out = StructType(list(schema.fields))
     for name, kind in kinds.items():
-        out = out.add(name, kind)
+        out = out.add(name, StructType.fromDDL(f"c {kind}")[0].dataType)
     return out
 
 

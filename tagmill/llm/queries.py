@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe_codec, language_id, media, near_dedup, substring_dedup, token_counts
+from tagmill.llm import bpe_codec, katz, language_id, media, near_dedup, substring_dedup, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_report(_documents(spark, sf_dir))
 
 
+def op5_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(_documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_report(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,7 +42,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(_documents(spark, sf_dir))
 
 
-_QUERIES = [op3_bpe_codec, op4_media_columns, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id]
+_QUERIES = [op3_bpe_codec, op4_media_columns, op5_katz_scoring, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

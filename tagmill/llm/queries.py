@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe_codec, katz, language_id, media, near_dedup, substring_dedup, token_counts
+from tagmill.llm import bpe_codec, katz, language_id, media, near_dedup, quality, substring_dedup, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_report(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,7 +46,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(_documents(spark, sf_dir))
 
 
-_QUERIES = [op3_bpe_codec, op4_media_columns, op5_katz_scoring, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id]
+_QUERIES = [op2_quality_classifier, op3_bpe_codec, op4_media_columns, op5_katz_scoring, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

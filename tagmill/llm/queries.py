@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe_codec, katz, language_id, media, near_dedup, quality, substring_dedup, token_counts
+from tagmill.llm import ann, bpe_codec, katz, language_id, media, near_dedup, packing, quality, substring_dedup, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_bins(_documents(spark, sf_dir))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -46,7 +50,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(_documents(spark, sf_dir))
 
 
-_QUERIES = [op2_quality_classifier, op3_bpe_codec, op4_media_columns, op5_katz_scoring, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id]
+def op10_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+_QUERIES = [op1_best_fit_packing, op2_quality_classifier, op3_bpe_codec, op4_media_columns, op5_katz_scoring, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id, op10_additive_ann]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -35,10 +35,11 @@ def f1(tp: Column, fp: Column, fn: Column) -> Column:
 
 def wilson_lower(k: Column, n: Column, z: float = 1.96) -> Column:
     """Lower end of the Wilson interval of k successes in n; 0 where n is 0."""
-    p = F.try_divide(k.cast("double"), n)
+    n = F.nullif(n, F.lit(0))
+    p = k.cast("double") / n
     centre = p + z * z / (2 * n)
     spread = z * F.sqrt((p * (1 - p) + z * z / (4 * n)) / n)
-    return F.coalesce(F.greatest(F.lit(0.0), F.try_divide(centre - spread, 1 + z * z / n)), F.lit(0.0))
+    return F.coalesce(F.when((lower := (centre - spread) / (1 + z * z / n)) > 0, lower), F.lit(0.0))
 
 
 def tradition_of(chunk_id: Column | str) -> Column:

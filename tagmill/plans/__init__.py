@@ -1 +1 @@
-"""See the README for what lies here."""
+"""Queries by area; importing this package's modules fills the register."""

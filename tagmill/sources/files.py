@@ -82,7 +82,7 @@ def decoded_vectors(blobs: DataFrame, dim: int) -> DataFrame:
             rows = rows[[b is not None and len(b) == 4 * dim for b in rows["vector"]]]
             v = np.frombuffer(b"".join(map(bytes, rows["vector"])), "<f4").reshape(-1, dim).astype(np.float64)
             n = np.linalg.norm(v, axis=1, keepdims=True)
-            yield pd.DataFrame({"chunk_id": rows["chunk_id"], "v": list(np.divide(v, n, out=v.copy(), where=n > 0))})
+            yield pd.DataFrame({"chunk_id": rows["chunk_id"], "v": pd.Series(np.divide(v, n, out=v.copy(), where=n > 0).tolist(), index=rows.index, dtype=object)})
 
     return blobs.select("chunk_id", "vector").mapInPandas(run, "chunk_id string, v array<double>")
 

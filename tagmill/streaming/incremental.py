@@ -69,6 +69,6 @@ def last_verdicts(stream: DataFrame, key: str, verdict: str, order: str) -> Data
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream."""
+    """The events table as a file stream; the pattern lets it be one file or a folder."""
     schema = Tables(spark, sf_dir).raw("events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")

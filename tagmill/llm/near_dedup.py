@@ -8,7 +8,7 @@ lists are filtered by the similarity estimated from the union's sketch, and veri
 
 No list is expanded into all its pairs. Every member is first paired with the list's first and last member;
 verified links are joined to components. Only lists that still span several components, and in them only pairs
-across components that pass the estimate, are compared further, in chunk pairs of bounded size. Links inside a
+across components that pass the estimate, are verified further, in tasks of bounded size. Links inside a
 component cannot change the result.
 """
 
@@ -193,34 +193,74 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()).groupBy("id").agg(F.min("root").alias("root"))
 
 
-def _rest(lists: DataFrame, classes: DataFrame, roots: DataFrame, k: int, least: float) -> DataFrame:
-    """Promising pairs across components in lists of four or more that still span several."""
-    rooted = lists.where("size > 3").join(roots, "id", "left").select("value", "id", "size", F.coalesce("root", "id").alias("root"))
+def shared_values(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each of the sketches `left` has in common with each of `right`."""
+    values, column = np.unique(np.concatenate(sketches), return_inverse=True)
+    times = np.bincount(column, minlength=len(values))
+    owner = np.repeat(np.arange(len(sketches)), [len(s) for s in sketches])
+    dense = np.cumsum(times > 1) - 1
+    keep = times[column] > 1
+    owner, column, width = owner[keep], dense[column[keep]], int((times > 1).sum())
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, width, 4096):
+        part = np.zeros((len(sketches), min(4096, width - at)), np.float32)
+        mine = (column >= at) & (column < at + 4096)
+        part[owner[mine], column[mine] - at] = 1
+        out += part[left] @ part[right].T
+    return out.astype(np.int64)
+
+
+def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, percent: int, k: int, least: float) -> DataFrame:
+    """Verified links across components in lists of four or more members that still span several.
+
+    Lists with the same first member are compared as one bundle, so members that share many lists meet once.
+    A bundle is cut into chunks; each pair of chunks is a task of its own, which tests promising pairs on full
+    sets, the likeliest first, and leaves out pairs that have become connected.
+    """
+    rooted = lists.where("size > 3").join(roots, "id", "left").select("value", "low", "id", F.coalesce("root", "id").alias("root"))
     split = rooted.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("value")
-    open_ = rooted.join(split, "value").join(classes.select("id", "n", "sketch"), "id")
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    mine = F.pmod(F.xxhash64("id"), chunks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), chunks - 1))
-    dealt = open_.withColumn("mine", mine).withColumn("other", other)
-    dealt = dealt.select("value", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "root", "n", "sketch")
+    members = rooted.join(split, "value").groupBy("low", "id").agg(F.min("root").alias("root"))
+    sizes = members.groupBy("low").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = members.join(sizes, "low").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select("low", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "root")
+    dealt = dealt.join(bodies, "id")
 
     def compare(group: pa.Table) -> pa.Table:
         x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
-        mine, ids, root, n = (np.asarray(group.column(c).combine_chunks()) for c in ("mine", "id", "root", "n"))
-        sketches = [np.frombuffer(s, np.uint64) for s in group.column("sketch").to_pylist()]
+        mine, ids, root = (np.asarray(group.column(c).combine_chunks()) for c in ("mine", "id", "root"))
+        z = zstandard.ZstdDecompressor()
+        sets = [shingle_set(z.decompress(b), size) for b in group.column("body").to_pylist()]
+        n = np.array([len(s) for s in sets])
         left, right = np.flatnonzero(mine == x), np.flatnonzero(mine == y)
-        out_a, out_b = [], []
-        for i in left.tolist():
-            js = right[(root[right] != root[i]) & (np.minimum(n[right], n[i]) >= np.maximum(n[right], n[i]) * least)]
-            if x == y:
-                js = js[ids[js] > ids[i]]
-            for j in js.tolist():
-                if estimate(sketches[i], sketches[j], k) >= least:
-                    out_a.append(ids[i])
-                    out_b.append(ids[j])
-        return pa.table([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
-
-    return dealt.groupBy("value", "x", "y").applyInArrow(compare, "a long, b long")
+        common = shared_values([s[:k] for s in sets], left, right)
+        small, large = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
+        held = np.minimum(n, k)
+        union = np.minimum(held[left][:, None] + held[right][None, :] - common, k)
+        maybe = (root[left][:, None] != root[right][None, :]) & (100 * small >= percent * large) & (common >= union * least)
+        if x == y:
+            maybe &= ids[left][:, None] < ids[right][None, :]
+        at = np.argwhere(maybe)
+        at = at[np.argsort(-common[at[:, 0], at[:, 1]], kind="stable")]
+        joined: dict[int, int] = {}
+
+        def top(r: int) -> int:
+            while (up := joined.get(r, r)) != r:
+                r = up
+            return r
+
+        links = []
+        for i, j in zip(left[at[:, 0]].tolist(), right[at[:, 1]].tolist(), strict=True):
+            ri, rj = top(int(root[i])), top(int(root[j]))
+            if ri == rj or estimate(sets[i][:k], sets[j][:k], k) < least:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                joined[max(ri, rj)] = min(ri, rj)
+                links.append((ids[i], ids[j]))
+        return pa.table([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return dealt.groupBy("low", "x", "y").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -250,8 +290,7 @@ def near_duplicates(
     bodies = stored(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
     links = stored(_verified(pairs, bodies, size, percent), "verified")
     roots = components(links)
-    rest = stored(_ordered(_rest(lists, classes, roots, k, least)), "rest")
-    more = stored(_verified(rest, bodies, size, percent), "verified")
+    more = stored(_rest(lists, bodies, roots, size, percent, k, least), "verified")
     # a key with several texts, and a class's members, are connected through the key or the class
     same = keyed.join(members.where("times > 1"), "digest").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     roots = components(links.union(more).union(same))

@@ -16,7 +16,6 @@ TAG_SYSTEM = (
     "definition provided. Respond ONLY with a valid JSON array (no markdown, "
     "no commentary)."
 )
-TAG_HEAD = 'Passage ({citation}):\n"""\n{body}\n"""\n\n'
 TAG_SCALE = (
     "Rate each concept 0-3 for how strongly this passage expresses it:\n  0 = not present\n"
     "  1 = peripherally present\n  2 = clearly present\n  3 = central theme\n\nConcepts:\n[\n"

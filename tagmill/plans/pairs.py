@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions import agreement
-from tagmill.functions.columns import pair_key, query_hash, rounded, shuffle_key, text_of, tradition_of, wilson_lower, work_of
+from tagmill.functions.columns import pair_key, query_hash, rounded, text_of, tradition_of, wilson_lower, work_of
 from tagmill.operators import pairs, tagging
 from tagmill.plans.registry import query
 from tagmill.sources.tables import LINE_ORDER, Tables

@@ -6,19 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.functions import parsing
-from tagmill.functions.columns import query_hash, rounded, shuffle_key, text_of, tradition_of, work_of
+from tagmill.functions.columns import query_hash, rounded, text_of, tradition_of, work_of
 from tagmill.operators import prompts, tagging
 from tagmill.plans.registry import query
 from tagmill.sources.tables import LINE_ORDER, Tables
 
-PREFIXES = ("student", "weak_")
-ELIGIBLE = "status = 'accepted' AND prompt_version = 'v2' AND model NOT ILIKE 'student%' AND model NOT ILIKE 'weak\\_%' ESCAPE '\\' AND model NOT IN ('weak-9b')"
 _EXPORTABLE = "status IN ('accepted', 'pending') AND model NOT ILIKE 'student%' AND model NOT IN ('weak-9b')"
 SUPERSEDED = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id, concept_id
     ORDER BY (status = 'accepted') DESC, score DESC, k1, k2, k3) AS rn FROM {0}) WHERE rn = 1"""
 BUCKET = "('0x' || substr(sha256({0}), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0"
 SPLIT = f"CASE WHEN {BUCKET} < 0.05 THEN 'val' WHEN {BUCKET} < 0.1 THEN 'test' ELSE 'train' END"
-_RANK6 = "round_even({0}, 6)"
+_OF_CHUNK = "'0:' || chunk_id"
 
 
 def _exportable(t: Tables) -> DataFrame:
@@ -92,14 +90,14 @@ def snapshot_manifest(t: Tables) -> DataFrame:
     return tagging.manifest(t.nodes, t.staged_tags, t.edges)
 
 
-@query(f"SELECT chunk_id, {_RANK6.format(BUCKET.format(chr(39) + '0:' + chr(39) + ' || chunk_id'))} AS bucket, {SPLIT.format(chr(39) + '0:' + chr(39) + ' || chunk_id')} AS split FROM chunks")
+@query(f"SELECT chunk_id, round_even({BUCKET.format(_OF_CHUNK)}, 6) AS bucket, {SPLIT.format(_OF_CHUNK)} AS split FROM chunks")
 def assign_split(t: Tables) -> DataFrame:
     return tagging.assign_split(t.chunks).withColumn("bucket", rounded("bucket"))
 
 
 @query(
     "SELECT count_if(s = 'train') AS train, count_if(s = 'val') AS val, count_if(s = 'test') AS test FROM sp",
-    {"sp": f"SELECT {SPLIT.format(chr(39) + '0:' + chr(39) + ' || chunk_id')} AS s FROM chunks"},
+    {"sp": f"SELECT {SPLIT.format(_OF_CHUNK)} AS s FROM chunks"},
 )
 def split_counts(t: Tables) -> DataFrame:
     s = F.col("split")
@@ -151,7 +149,7 @@ def length_filter(t: Tables) -> DataFrame:
 
 @query(
     """SELECT c.chunk_id, coalesce(s.split, 'train') AS split FROM chunks c LEFT JOIN sp s USING (chunk_id) WHERE coalesce(s.split, 'train') = 'train'""",
-    {"sp": f"SELECT chunk_id, {SPLIT.format(chr(39) + '0:' + chr(39) + ' || chunk_id')} AS split FROM chunks WHERE o_orderkey % 11 <> 0"},
+    {"sp": f"SELECT chunk_id, {SPLIT.format(_OF_CHUNK)} AS split FROM chunks WHERE o_orderkey % 11 <> 0"},
 )
 def split_select(t: Tables) -> DataFrame:
     """A chunk that no split names is for training."""

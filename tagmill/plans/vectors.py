@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions import agreement
-from tagmill.functions.columns import dot, norm, pair_key, rounded, shuffle_key
+from tagmill.functions.columns import norm, pair_key, rounded, shuffle_key
 from tagmill.operators import geometry as geo
 from tagmill.operators import pairs, tagging
 from tagmill.operators import vectors as vec

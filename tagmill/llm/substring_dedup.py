@@ -8,8 +8,6 @@ touching windows merge into maximal intervals, which are cut out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import zstandard

@@ -110,17 +110,22 @@ def greedy_fill(candidates: DataFrame, quotas: DataFrame, block: str, cap: int)
     short = candidates.join(F.broadcast(quotas.select(block, "quota")), block).withColumn("place", F.row_number().over(w)).where(F.col("place") <= pool)
 
     def fill(part: pd.DataFrame) -> pd.DataFrame:
-        used: dict[int, int] = {}
-        kept, quota = [], int(part["quota"].iloc[0])
-        for row in part.sort_values("place").itertuples():
-            if len(kept) == quota:
-                break
-            if used.get(row.a, 0) < cap and used.get(row.b, 0) < cap:
-                used[row.a], used[row.b] = used.get(row.a, 0) + 1, used.get(row.b, 0) + 1
-                kept.append((row.a, row.b, row.sim))
+        kept = []
+        for _, one in part.sort_values("place").groupby(block):
+            used: dict[int, int] = {}
+            taken, quota = 0, int(one["quota"].iloc[0])
+            for a, b, sim in zip(one["a"].tolist(), one["b"].tolist(), one["sim"].tolist()):
+                if taken == quota:
+                    break
+                if used.get(a, 0) < cap and used.get(b, 0) < cap:
+                    used[a], used[b] = used.get(a, 0) + 1, used.get(b, 0) + 1
+                    kept.append((a, b, sim))
+                    taken += 1
         return pd.DataFrame(kept, columns=["a", "b", "sim"])
 
-    return short.groupBy(block).applyInPandas(fill, "a long, b long, sim double")
+    # some blocks to a task: calls cost more than small blocks do
+    bundle = F.pmod(F.xxhash64(block), F.lit(max(1, quotas.count() // 64)))
+    return short.withColumn("bundle", bundle).groupBy("bundle").applyInPandas(fill, "a long, b long, sim double")
 
 
 def strategy_report(selected: DataFrame, vectors: DataFrame, labels: DataFrame) -> DataFrame:

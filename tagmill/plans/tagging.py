@@ -281,10 +281,18 @@ def tag_schema_valid(t: Tables) -> DataFrame:
     return rows.withColumn("valid", parsing.schema_valid())
 
 
-@query()
+@query(
+    f"""SELECT b.chunk_id, p.pos, p.role, CASE p.pos WHEN 0 THEN {_q(prompts.TAG_SYSTEM)} WHEN 1 THEN {_passage_sql('Passage', 'b.chunk_id', 'body')} || {_q(prompts.TAG_SCALE)}
+    || (SELECT string_agg('  {{"id": "' || concept_id || '", "definition": "' || definition || '"}}', chr(10) ORDER BY concept_id) FROM concepts) || {_q(prompts.TAG_TAIL)}
+    ELSE tags END AS content FROM bodies b JOIN (SELECT chunk_id, '[' || string_agg('{{"concept_id": "' || concept_id || '", "score": ' || score || ', "justification": "' || coalesce(justification, '') || '", "is_new_concept": '
+    || is_new_concept || ', "new_concept_def": null}}', ', ' ORDER BY concept_id) || ']' AS tags FROM one GROUP BY 1) g USING (chunk_id), (VALUES (0, 'system'), (1, 'user'), (2, 'assistant')) p(pos, role)""",
+    {"ok": f"SELECT * FROM staged_tags WHERE {_EXPORTABLE}", "one": SUPERSEDED.format("ok")},
+)
 def sft_messages(t: Tables) -> DataFrame:
+    """The messages of every training example, one row each."""
     passages = t.bodies.withColumn("citation", F.col("chunk_id"))
-    return prompts.sft_messages(passages, tagging.tagged_chunks(_one_tag(t)), t.concepts)
+    examples = prompts.sft_messages(passages, tagging.tagged_chunks(_one_tag(t)), t.concepts)
+    return examples.select("chunk_id", F.posexplode("messages").alias("pos", "m")).select("chunk_id", "pos", "m.role", "m.content")
 
 
 _RAW = """CASE k2 % 8 WHEN 0 THEN '[{"concept_id": "' || concept_id || '", "score": ' || score || '}]'

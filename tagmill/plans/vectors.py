@@ -313,9 +313,20 @@ def matched_negatives(t: Tables) -> DataFrame:
     return geo.matched_negatives(_cells(t).drop("v"), "c1", "29")
 
 
-@query()
+@query(
+    """SELECT tradition, pos, round_even(x / l, 6) AS x FROM dm JOIN (SELECT tradition, sqrt(sum(x * x)) AS l FROM dm GROUP BY 1) USING (tradition) WHERE l > 0""",
+    _NEG
+    | {
+        "pk": """SELECT vec_id, tradition FROM ng WHERE w UNION ALL SELECT vec_id, tradition FROM (SELECT *, row_number() OVER (PARTITION BY tradition ORDER BY sha256('29:' || vec_id)) AS r FROM ng WHERE NOT w)
+            JOIN (SELECT tradition, sum(k * 3 - least(k * 3, avail)) AS due FROM wk GROUP BY 1) USING (tradition) WHERE r <= due""",
+        "lg": "SELECT vec_id, tradition, concept, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS pos FROM vc",
+        "dm": """SELECT tradition, pos, h.x - n.x AS x FROM (SELECT tradition, pos, avg(x) AS x FROM lg WHERE concept = 'c1' GROUP BY 1, 2) h
+            JOIN (SELECT tradition, pos, avg(x) AS x FROM lg SEMI JOIN pk USING (vec_id) GROUP BY 1, 2) n USING (tradition, pos)""",
+    },
+)
 def dom_directions(t: Tables) -> DataFrame:
-    return geo.difference_directions(_cells(t), "c1", "29")
+    dirs = geo.difference_directions(_cells(t), "c1", "29")
+    return dirs.select("tradition", F.posexplode("v").alias("pos", "x")).withColumn("x", rounded("x"))
 
 
 @query("SELECT ta, tb, concept, verdict, round_even(cosine, 6) AS cosine FROM gc ORDER BY cosine DESC NULLS LAST", _GOLD)
@@ -344,13 +355,30 @@ def tail_auc(t: Tables) -> DataFrame:
     return agreement.auc(tails, "cosine", "pos", ties="strict")
 
 
-@query()
+_SWEEP = _GOLD | {
+    "dn": "SELECT d.*, n FROM dr3 d JOIN (SELECT tradition, concept, max(n) AS n FROM cm GROUP BY 1, 2) USING (tradition, concept)",
+    "sw": """SELECT CASE WHEN substr(sha256('31:' || ta || ':' || tb || ':' || g.concept), 1, 1) < '8' THEN 'tune' ELSE 'test' END AS half, setting, verdict, round(list_dot_product(a.v, b.v), 12) AS cosine
+        FROM gd g, (VALUES (3), (7), (8)) s(setting), dn a, dn b WHERE a.tradition = ta AND a.concept = g.concept AND b.tradition = tb AND b.concept = g.concept AND a.n >= setting AND b.n >= setting""",
+}
+_SWEEP = {k: v for k, v in _SWEEP.items() if k not in ("dr", "gc", "df", "dn", "sw")} | {
+    "df": _LONG["df"].replace("n >= 5", "n >= 3"),
+    "dr3": _LONG["dr"],
+    "dn": _SWEEP["dn"],
+    "sw": _SWEEP["sw"],
+}
+
+
+@query(
+    """SELECT half, setting, count(*) AS n, round_even(coalesce(nullif(corr(rx, ry), 'nan'::DOUBLE), 0), 6) AS spearman FROM (SELECT *, rank() OVER (PARTITION BY half, setting ORDER BY cosine) + (count(*) OVER (PARTITION BY half, setting, cosine) - 1) / 2 AS rx,
+    rank() OVER (PARTITION BY half, setting ORDER BY verdict) + (count(*) OVER (PARTITION BY half, setting, verdict) - 1) / 2 AS ry FROM sw) GROUP BY 1, 2""",
+    _SWEEP,
+)
 def sweep_select(t: Tables) -> DataFrame:
     """Rank correlation of verdict and cosine on the tuning half and the test half for several settings."""
-    half = _gold(t).withColumn("half", F.when(F.pmod(F.xxhash64("ta", "tb", "concept"), F.lit(2)) == 0, "tune").otherwise("test"))
+    half = _gold(t).withColumn("half", F.when(F.substring(shuffle_key("31", "ta", "tb", "concept"), 1, 1) < "8", "tune").otherwise("test"))
     out = None
-    for least in (3, 5, 7):
-        scored = geo.pair_cosines(half, geo.directions(_cells(t), least)).where("cosine IS NOT NULL")
+    for least in (3, 7, 8):
+        scored = geo.pair_cosines(half, geo.directions(_cells(t), least)).where("cosine IS NOT NULL").withColumn("cosine", F.round("cosine", 12))
         one = agreement.spearman(scored, "cosine", "verdict", ["half"]).withColumn("setting", F.lit(least))
         out = one if out is None else out.unionByName(one)
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tagmill.llm.common import stored
 
-BOOKS = 8
+BOOKS = 16
 WORDS = 128
 BEAM = 8
 #: Vectors that the codebooks are fitted on, at most, and their numbers in all, at most.
@@ -25,7 +25,7 @@ SAMPLE = 8192
 SAMPLE_NUMBERS = 8_000_000
 CHUNK = 8192
 QUERY_BLOCK = 512
-RERANK = 256
+RERANK = 512
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:

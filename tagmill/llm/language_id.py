@@ -107,21 +107,24 @@ def _train(rows: DataFrame, text: str, lang: str, dimensions: int) -> dict[str,
 
 
 def identify(
-    docs: DataFrame, train: Column, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS
+    docs: DataFrame, train: Column, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, claims: bool = False
 ) -> DataFrame:
-    """`docs` with lang_pred and score.
+    """`docs` with lang_pred and score, and with `claims` also claim_score.
 
     Prototypes are learned from rows where `train` holds and `lang` is not null; predictions use the text
     alone. lang_pred is a learned language, or "und" with score 0 if the text is null, empty or has no
     letter, or if nothing could be learned. score is the winning cosine, at least 0. Ties go to the language
-    that sorts first; repeated rows get equal results; an empty table gives none. New columns whose names
+    that sorts first. claim_score is the cosine with the language that `lang` names, null if that is null or was
+    not learned; it takes no part in the prediction. Repeated rows get equal results; an empty table gives none. New columns whose names
     are taken get a leading underscore. The driver gathers languages x dimensions numbers.
     """
     learned = _train(docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull()), text, lang, dimensions)
     names = list(learned)
     protos = np.array([learned[k] for k in names]).reshape(-1, dimensions).astype(np.float32)
-    new = [fresh("lang_pred", docs.columns), fresh("score", docs.columns)]
-    schema = plus(docs.schema, **dict(zip(new, ("string", "double"), strict=True)))
+    wanted = ["lang_pred", "score", "claim_score"] if claims else ["lang_pred", "score"]
+    new = [fresh(c, docs.columns) for c in wanted]
+    schema = plus(docs.schema, **dict(zip(new, ("string", "double", "double"))))
+    place = {k: i for i, k in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +132,7 @@ def identify(
             for a, b in text_slices(bounds, SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 grams, owner, has = grams_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                best, score = np.zeros(b - a, np.int64), np.zeros(b - a)
+                best, score, cosine = np.zeros(b - a, np.int64), np.zeros(b - a), np.zeros((b - a, len(names)))
                 if names and len(grams):
                     distinct, back = np.unique(grams, return_inverse=True)
                     counts = np.bincount(owner * len(distinct) + back, minlength=(b - a) * len(distinct))
@@ -139,7 +142,11 @@ def identify(
                     score = np.clip(cosine[np.arange(b - a), best].astype(np.float64), 0, 1)
                 known = has & bool(names)
                 pred = pa.array([names[i] if k else "und" for i, k in zip(best.tolist(), known.tolist(), strict=True)], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, pred, pa.array(np.where(known, score, 0.0))], [*part.schema.names, *new])
+                cols = [pred, pa.array(np.where(known, score, 0.0))]
+                if claims:
+                    own = [place.get(x) for x in part.column(lang).to_pylist()]
+                    cols.append(pa.array([None if k is None else float(cosine[i, k]) for i, k in enumerate(own)], pa.float64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *cols], [*part.schema.names, *new])
 
     return docs.mapInArrow(run, schema)
 

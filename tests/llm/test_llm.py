@@ -157,6 +157,8 @@ def test_language_held_out_accuracy(spark, odd, nothing):
         else:
             assert r.lang_pred == "en" and 0 <= r["_score"] <= 1
     assert language_id.identify(nothing, F.lit(True)).count() == 0
+    for r in _rows(language_id.identify(odd, F.lit(True), claims=True)):
+        assert (r.claim_score is None) == (r.lang is None)
     assert {r.lang_pred for r in _rows(language_id.identify(odd, F.lit(False)))} == {"und"}
 
 

@@ -77,21 +77,29 @@ def grams_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _train(rows: DataFrame, text: str, lang: str, dimensions: int) -> dict[str, np.ndarray]:
     """Prototypes: trigram counts in tasks, bundled to one vector for each task and language, then summed."""
 
+    def bundled(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        grams, back = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        return grams, np.bincount(back, weights=np.concatenate([n for _, n in parts]), minlength=len(grams))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        counts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             data, bounds = text_column(batch, text)
             langs = np.array(batch.column(lang).to_pylist(), object)
-            for a, b in text_slices(bounds, 4 * SLICE_BYTES):
+            for a, b in text_slices(bounds, SLICE_BYTES):
                 grams, owner, _ = grams_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                distinct, back = np.unique(grams, return_inverse=True)
                 names, which = np.unique(langs[a:b].astype(str), return_inverse=True)
-                counts = np.bincount(which[owner] * len(distinct) + back, minlength=len(names) * len(distinct))
-                made = counts.reshape(len(names), -1).astype(np.float64) @ gram_vectors(distinct, dimensions)
-                for k, v in zip(names.tolist(), made, strict=True):
-                    sums[k] = sums.get(k, 0) + v
+                for i, k in enumerate(names.tolist()):
+                    parts = counts.setdefault(k, [])
+                    parts.append(np.unique(grams[which[owner] == i], return_counts=True))
+                    if len(parts) > 16:
+                        counts[k] = [bundled(parts)]
         at = np.arange(dimensions, dtype=np.int32)
-        for k, v in sums.items():
+        for k, parts in counts.items():
+            grams, n = bundled(parts)
+            v = np.zeros(dimensions)
+            for x in range(0, len(grams), 4096):
+                v += n[x : x + 4096] @ gram_vectors(grams[x : x + 4096], dimensions)
             yield pa.RecordBatch.from_arrays([pa.array([k] * dimensions), pa.array(at), pa.array(v.astype(np.int64))], ["lang", "at", "v"])
 
     parts = rows.select(text, lang).mapInArrow(run, "lang string, at int, v long")

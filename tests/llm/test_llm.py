@@ -226,6 +226,40 @@ def test_quality_separates_and_handles_odd_rows(spark, odd, nothing):
     assert quality.assess(nothing, trusted).count() == 0
 
 
+def test_quality_thresholds_cover_all_trusted_texts(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_TEXTS", 40)
+    monkeypatch.setattr(quality, "CHECK_TEXTS", 80, raising=False)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.concat(F.repeat("text", 2), F.repeat(F.lit("qzx "), 8000))).otherwise(F.col("text")))
+    trusted = {r.doc_id for r in _rows(labels.where("quality = 1 and coalesce(toxic, 0) = 0"))}
+    out = _rows(quality.quality_report(docs, labels).join(docs.select("doc_id", "text", F.expr("pmod(xxhash64(cast(doc_id AS string)), 120)").alias("h"), F.expr("xxhash64(cast(doc_id AS string))").alias("full")), "doc_id"))
+    size = lambda r: len((r.text or "").encode())
+    band = lambda r: ("s" if size(r) < 200 else "m" if size(r) < 800 else "l") + r.lang
+    fit = {r.doc_id for r in sorted((r for r in out if r.doc_id in trusted and 0 < size(r) <= quality.SAMPLE_BYTES and r.h < 40), key=lambda r: r.full)[:40]}
+    held = [r for r in out if r.doc_id in trusted - fit and r.perplexity is not None]
+    assert len(held) > 80 and any(size(r) > quality.SAMPLE_BYTES for r in held)
+    groups = defaultdict(list)
+    for r in held:
+        groups[band(r)].append(r.perplexity)
+    groups = {g: v for g, v in groups.items() if len(v) >= 50} | {"": [r.perplexity for r in held]}
+    assert len(groups) >= 2
+    lo, hi = ({g: np.quantile(v, q) for g, v in groups.items()} for q in (0.001, 0.999))
+    for r in out:
+        g = band(r) if band(r) in groups else ""
+        assert r.accepted == (r.perplexity is not None and lo[g] / 1.06 <= r.perplexity <= hi[g] * 1.06)
+
+
+def test_quantiles_are_exact_with_ties(spark):
+    rng = np.random.default_rng(5)
+    values = {"a": rng.lognormal(2, 1, 3000), "b": np.repeat([3.0, 3.0001, 9.0], 70), "c": np.array([4.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs], "g string, v double")
+    at = [0.0, 0.001, 0.3333, 0.5, 0.999, 1.0]
+    got = quality.quantiles(df, "g", "v", at)
+    for g, vs in values.items():
+        assert got[g] == pytest.approx(np.quantile(vs, at).tolist(), rel=1e-12)
+    assert set(quality.quantiles(df, "g", "v", at, 500, "c")) == {"a", "c"}
+
+
 # Katz.
 
 

@@ -2,8 +2,8 @@
 
 One hash function: a document's sketch is the SKETCH smallest hashes of its distinct shingles. Documents with
 equal shingle sets form one class first. Sketch values are inverted to lists of classes; two sets as similar as
-the threshold share at least OVERLAP of SKETCH values (but for a chance below 1e-10), so each class enters only
-the lists of its rarest SKETCH - OVERLAP + 1 values, and must meet every partner in one of them. Pairs from the
+the threshold share at least an overlap of SKETCH values (but for a chance below 1e-10: 32 at 85 %, 28 at 80 %), so
+each class enters only the lists of its rarest SKETCH - overlap + 1 values, and must meet every partner in one. Pairs from the
 lists are filtered by the similarity estimated from the union's sketch, and verified on full shingle sets.
 
 No list is expanded into all its pairs. Every member is first paired with the list's first and last member;
@@ -15,6 +15,7 @@ component cannot change the result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,19 @@ from tagmill.llm.wordhash import rolled, window_hashes, word_hashes
 SHINGLE = 5
 SKETCH = 64
 OVERLAP = 32
+#: The chance that a pair at the threshold shares fewer values of its sketches.
+MISSED = 1e-10
 CHUNK = 512
 
 
+def least_overlap(percent: int, k: int = SKETCH) -> int:
+    """How many of k values two sets at the threshold share but for a chance of MISSED; OVERLAP at most, 1 at least."""
+    p, below, n = percent / 100, 0.0, 0
+    while n < OVERLAP and (below := below + math.comb(k, n) * p**n * (1 - p) ** (k - n)) <= MISSED:
+        n += 1
+    return max(n, 1)
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one after another, and the bounds between texts.
 
@@ -264,17 +275,18 @@ def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, perc
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = 85, k: int = SKETCH, overlap: int = OVERLAP
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = 85, k: int = SKETCH, overlap: int | None = None
 ) -> DataFrame:
     """n_shingles, component_id and kept for each row's key: who is connected by similarities of percent % or more.
 
     Words are runs of bytes other than space and bytes 9 to 13, with A-Z in lower case; a text's set is its
-    distinct `size`-word shingles, of a shorter text its whole sequence. Null and empty texts and texts without
+    distinct `size`-word shingles, of a shorter text its whole sequence. `overlap` follows from percent. Null and empty texts and texts without
     words have an empty set and link with nothing. component_id is the smallest key reachable; kept says that
     the key is that. A row with a null key links with nothing, has a null component_id and is kept. Repeated
     keys give a row each and count as one member. An empty table gives none. The key must be an integer; the
     result has no other columns of `docs`, so clashing names do not matter.
     """
+    overlap = least_overlap(percent, k) if overlap is None else overlap
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stored(_signatures(rows, "id", "text", size, k), "signatures")
     keyed = signed.where("id is not null and n > 0")

@@ -370,6 +370,31 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(v[2] == (k == v[1]) for k, v in got.items())
 
 
+def test_near_duplicates_at_lower_thresholds(spark):
+    assert [near_dedup.least_overlap(p) for p in (85, 80)] == [32, 28]
+    rng = np.random.default_rng(12)
+    texts = []
+    for _ in range(12):
+        base = [f"u{rng.integers(10**6)}" for _ in range(int(rng.integers(80, 300)))]
+        texts += [_edited(rng, base, s) for s in np.linspace(0, 0.2, 12)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # a link at 50 % shares 32 of 64 values in about half of all cases
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in _rows(near_dedup.near_duplicates(df, percent=50))}
+    assert got == _plain_components(rows, 50)
+
+
+def test_pipeline_links_near_copies_from_80_percent(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    # one other word in n + 4 makes (n - 5) / (n + 5) of n shingles: 0.80 for 45, 0.818, 0.846; 0.796 for 44
+    sizes, rows = [45, 50, 60, 44], []
+    for i, n in enumerate(sizes):
+        words = [f"w{i}x{j}" for j in range(n + 4)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:20], "other", *words[21:]]))]
+    kept = pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert {r.doc_id for r in _rows(kept)} == {0, 2, 4, 6, 7}
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, nothing):
     got = _rows(near_dedup.near_duplicates(odd))
     assert len(got) == odd.count()

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagmill.functions.columns import dot, unit
+from tagmill.functions.columns import dot, pair_key, unit, wilson_lower
 
 #: Vectors of a block; two blocks meet in one task as one matrix product.
 BLOCK = 2048
@@ -100,6 +100,55 @@ def allocate(blocks: DataFrame, budget: int, floor: int) -> DataFrame:
     return blocks.withColumn("quota", (base + F.bround(share, 0)).cast("int"))
 
 
+def allocate_whole(blocks: DataFrame, budget: int) -> DataFrame:
+    """A quota for each block by weight that spends the whole budget: shares rounded down, the rest by the largest fractions.
+
+    Rounding each share by itself would give nothing to any of many blocks with shares below a half.
+    """
+    every = Window.partitionBy(F.lit(0))  # one row for each block
+    share = blocks.withColumn("share_", F.coalesce(F.try_divide(F.lit(budget) * F.col("weight"), F.sum("weight").over(every)), F.lit(0.0)))
+    share = share.withColumn("base_", F.floor("share_")).withColumn("left_", F.lit(budget) - F.sum("base_").over(every))
+    place = F.row_number().over(every.orderBy(F.desc(F.round(F.col("share_") - F.col("base_"), 9)), "block"))
+    return share.withColumn("quota", (F.col("base_") + (place <= F.col("left_")).cast("int")).cast("int")).drop("share_", "base_", "left_")
+
+
+def part_pairs(vectors: DataFrame, part: str) -> DataFrame:
+    """block, traditions, size: every pair of parts (traditions or works) of different traditions, labelled or not.
+
+    size is the root of the product of the parts' numbers of vectors.
+    """
+    n = vectors.groupBy(F.col(part).alias("p"), F.col("tradition").alias("t")).agg(F.count("*").alias("n"))
+    x, y = (n.select(*[F.col(c).alias(c + i) for c in n.columns]) for i in "xy")
+    # a row for each part
+    both = x.crossJoin(F.broadcast(y)).where("px < py AND tx <> ty")
+    return both.select(pair_key("px", "py").alias("block"), pair_key("tx", "ty").alias("traditions"), F.sqrt(F.col("nx") * F.col("ny")).alias("size"))
+
+
+def label_counts(labels: DataFrame, vectors: DataFrame, part: str) -> DataFrame:
+    """block, good, n: positive and all labels (a, b, positive) of each pair of parts."""
+    side = lambda c: vectors.select(F.col("vec_id").alias(c), F.col(part).alias(f"part_{c}"))
+    named = labels.join(side("a"), "a").join(side("b"), "b")
+    return named.groupBy(pair_key("part_a", "part_b").alias("block")).agg(F.count_if("positive").alias("good"), F.count("*").alias("n"))
+
+
+def tradition_weights(vectors: DataFrame, labels: DataFrame, min_obs: int = 20, explore: float = 0.15) -> DataFrame:
+    """block, weight of every pair of traditions: the lower bound of its yield, or `explore` below `min_obs` labels, plus `explore`, times size."""
+    known = part_pairs(vectors, "tradition").join(label_counts(labels, vectors, "tradition"), "block", "left")
+    rate = F.when(F.col("n") >= min_obs, wilson_lower(F.col("good"), F.col("n"))).otherwise(explore)
+    return known.select("block", ((rate + explore) * F.col("size")).alias("weight"))
+
+
+def work_weights(vectors: DataFrame, labels: DataFrame, shrink: float = 20.0) -> DataFrame:
+    """block, weight of every pair of works of different traditions: its yield, shrunk to that of the traditions and that to all labels', times size."""
+    wide = label_counts(labels, vectors, "tradition")
+    grand = wide.agg(F.coalesce(F.try_divide(F.sum("good").cast("double"), F.sum("n")), F.lit(0.5)).alias("grand"))
+    wide = wide.select(F.col("block").alias("traditions"), F.col("good").alias("tg"), F.col("n").alias("tn"))
+    known = part_pairs(vectors, "work").join(label_counts(labels, vectors, "work"), "block", "left").join(wide, "traditions", "left")
+    known = known.na.fill(0, ["good", "n", "tg", "tn"]).crossJoin(F.broadcast(grand))  # one row
+    outer = (F.col("tg") + shrink * F.col("grand")) / (F.col("tn") + shrink)
+    return known.select("block", ((F.col("good") + shrink * outer) / (F.col("n") + shrink) * F.col("size")).alias("weight"))
+
+
 def greedy_fill(candidates: DataFrame, quotas: DataFrame, block: str, cap: int) -> DataFrame:
     """a, b, sim: in each block its most similar pairs up to its quota, no vector more than `cap` times in a block.
 

@@ -176,13 +176,12 @@ def select_hybrid(t: Tables) -> DataFrame:
 
 @query()
 def select_worklevel(t: Tables) -> DataFrame:
-    """Blocks of works: pairs at their block's 90th percentile or more, filled by quota."""
+    """Blocks of works: pairs at their block's 90th percentile or more, filled by quotas from shrunk yields that spend as much as select_current."""
     w = t.vectors.select("vec_id", "work")
     p = vec.all_pairs(t.vectors).join(w.selectExpr("vec_id AS a", "work AS wa"), "a").join(w.selectExpr("vec_id AS b", "work AS wb"), "b").withColumn("block", pair_key("wa", "wb"))
     floors = p.groupBy("block").agg(F.percentile("sim", F.lit(0.9)).alias("f"))
     good = p.join(floors, "block").where("sim >= f")
-    quotas = good.groupBy("block").agg(F.lit(1.0).alias("weight"))
-    quotas = quotas.select("block", F.lit(2).alias("quota"))
+    quotas = vec.allocate_whole(vec.work_weights(t.vectors, t.vector_labels), _current(t).count())
     return vec.greedy_fill(good, quotas, "block", cap=2)
 
 

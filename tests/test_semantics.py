@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from tagmill.functions import agreement, parsing
 from tagmill.functions.columns import bucket, rounded, wilson_lower
 from tagmill.operators import pairs, tagging, vectors
+from tagmill.plans.all import QUERIES
 from tagmill.sources import files
+from tagmill.sources.tables import Tables
 from tagmill.streaming import incremental
 from tests.compare import canonical
 
@@ -132,6 +134,64 @@ def test_allocation_spends_the_budget(spark):
     assert abs(sum(r.quota for r in vectors.allocate(blocks, 500, 10).collect()) - 500) <= 9
 
 
+def _fill(sims, block_of, quotas, cap, eligible=lambda block, sim: True):
+    out = set()
+    for block, quota in quotas.items():
+        used, taken = {}, 0
+        rows = sorted((r for r in sims if block_of(r) == block), key=lambda r: (-r.sim, r.a, r.b))
+        for r in rows[: max(8 * quota, quota + 64)]:
+            if taken < quota and eligible(block, r.sim) and used.get(r.a, 0) < cap and used.get(r.b, 0) < cap:
+                used[r.a], used[r.b], taken = used.get(r.a, 0) + 1, used.get(r.b, 0) + 1, taken + 1
+                out.add((r.a, r.b))
+    return out
+
+
+def _parts(spark):
+    t = Tables(spark, SF)
+    vs = {r.vec_id: r for r in t.vectors.select("vec_id", "tradition", "work").collect()}
+    return vs, t.vector_labels.collect(), vectors.all_pairs(t.vectors).collect()
+
+
+def _tally(labels, key):
+    out = {}
+    for r in labels:
+        good, n = out.get(key(r), (0, 0))
+        out[key(r)] = good + bool(r.positive), n + 1
+    return out
+
+
+def test_worklevel_equals_brute_force(spark):
+    vs, labels, sims = _parts(spark)
+    key = lambda part: lambda r: "|".join(sorted((vs[r.a][part], vs[r.b][part])))
+    by_work, by_trad = _tally(labels, key("work")), _tally(labels, key("tradition"))
+    grand = sum(g for g, _ in by_trad.values()) / sum(n for _, n in by_trad.values())
+    sizes, trad = {}, {v.work: v.tradition for v in vs.values()}
+    for v in vs.values():
+        sizes[v.work] = sizes.get(v.work, 0) + 1
+    weights = {}
+    for x in sizes:
+        for y in sizes:
+            if x < y and trad[x] != trad[y]:
+                tg, tn = by_trad.get("|".join(sorted((trad[x], trad[y]))), (0, 0))
+                g, n = by_work.get(f"{x}|{y}", (0, 0))
+                weights[f"{x}|{y}"] = (g + 20 * (tg + 20 * grand) / (tn + 20)) / (n + 20) * (sizes[x] * sizes[y]) ** 0.5
+    budget = QUERIES["select_current"](spark, SF).count()
+    shares = {k: budget * w / sum(weights.values()) for k, w in weights.items()}
+    quotas = {k: int(x) for k, x in shares.items()}
+    for k in sorted(shares, key=lambda k: (-round(shares[k] % 1, 9), k))[: budget - sum(quotas.values())]:
+        quotas[k] += 1
+    assert sum(quotas.values()) == budget and len(set(quotas.values())) > 1
+    blocks = {}
+    for r in sims:
+        blocks.setdefault(key("work")(r), []).append(r)
+    floors = {k: np.percentile([r.sim for r in v], 90) for k, v in blocks.items()}
+    want = set()
+    for k, rows in blocks.items():
+        want |= _fill(rows, lambda r, k=k: k, {k: quotas[k]}, 2, lambda b, s: s >= floors[b] - 1e-12)
+    assert len(want) > budget / 2
+    assert {(r.a, r.b) for r in QUERIES["select_worklevel"](spark, SF).collect()} == want
+
+
 def test_kappa_of_constant_graders_is_null(spark):
     df = spark.createDataFrame([(True, True)] * 3, "a boolean, b boolean")
     assert df.agg(agreement.kappa(F.col("a"), F.col("b")).alias("k")).first().k is None

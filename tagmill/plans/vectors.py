@@ -150,6 +150,12 @@ _ALLOC = _SIMS | {
 
 
 def _quotas(t: Tables, budget: int = 1000) -> DataFrame:
+    """Of every pair of traditions, labelled or not."""
+    return vec.allocate(vec.tradition_weights(t.vectors, t.vector_labels), budget, 10)
+
+
+def _labelled_quotas(t: Tables, budget: int = 1000) -> DataFrame:
+    """Of pairs of traditions with labels only, by raw rate and number of labels."""
     tr = t.vectors.select("vec_id", "tradition")
     lab = t.vector_labels.join(tr.selectExpr("vec_id AS a", "tradition AS ta"), "a").join(tr.selectExpr("vec_id AS b", "tradition AS tb"), "b")
     blocks = lab.groupBy(pair_key("ta", "tb").alias("block")).agg(((F.count_if("positive") / F.count("*") + 0.1) * F.sqrt(F.count("*"))).alias("weight"))
@@ -158,7 +164,8 @@ def _quotas(t: Tables, budget: int = 1000) -> DataFrame:
 
 @query("SELECT block, (least(10, floor(1000 / n)) + round_even((1000 - least(10, floor(1000 / n)) * n) * weight / s, 0))::INT AS quota FROM (SELECT *, count(*) OVER () AS n, sum(weight) OVER () AS s FROM wt)", _ALLOC)
 def budget_alloc(t: Tables) -> DataFrame:
-    return _quotas(t).select("block", "quota")
+    """The reduced form that its SQL states; select_budget and select_hybrid give every pair of traditions a quota."""
+    return _labelled_quotas(t).select("block", "quota")
 
 
 @query()

@@ -192,6 +192,44 @@ def test_worklevel_equals_brute_force(spark):
     assert {(r.a, r.b) for r in QUERIES["select_worklevel"](spark, SF).collect()} == want
 
 
+def _wilson(k, n, z=1.96):
+    p = k / n
+    return max(0.0, (p + z * z / (2 * n) - z * ((p * (1 - p) + z * z / (4 * n)) / n) ** 0.5) / (1 + z * z / n))
+
+
+def test_budget_equals_brute_force_on_sparse_labels(spark, monkeypatch):
+    t = Tables(spark, SF)
+    few = t.vector_labels.where("a % 50 < 10").localCheckpoint()
+    monkeypatch.setattr(Tables, "vector_labels", few)
+    vs, labels, sims = _parts(spark)
+    key = lambda r: "|".join(sorted((vs[r.a].tradition, vs[r.b].tradition)))
+    tally, sizes = _tally(labels, key), {}
+    for v in vs.values():
+        sizes[v.tradition] = sizes.get(v.tradition, 0) + 1
+    weights = {}
+    for x in sizes:
+        for y in sizes:
+            if x < y:
+                g, n = tally.get(f"{x}|{y}", (0, 0))
+                weights[f"{x}|{y}"] = ((_wilson(g, n) if n >= 20 else 0.15) + 0.15) * (sizes[x] * sizes[y]) ** 0.5
+    floor = min(10, 1000 // len(weights))
+    quotas = {k: floor + round((1000 - floor * len(weights)) * w / sum(weights.values())) for k, w in weights.items()}
+    blocks, want = {}, set()
+    for r in sims:
+        blocks.setdefault(key(r), []).append(r)
+    for k, rows in blocks.items():
+        want |= _fill(rows, lambda r, k=k: k, {k: quotas[k]}, 3)
+    assert len(want) > 500
+    assert {(r.a, r.b) for r in QUERIES["select_budget"](spark, SF).collect()} == want
+
+
+def test_pairs_of_traditions_without_labels_get_a_weight(spark):
+    vs = spark.createDataFrame([(i, f"t{i % 3}", f"t{i % 3}/w") for i in range(9)], "vec_id long, tradition string, work string")
+    labels = spark.createDataFrame([(0, 1, True)] * 20, "a long, b long, positive boolean")
+    got = {r.block: r.weight for r in vectors.tradition_weights(vs, labels).collect()}
+    assert got == pytest.approx({"t0|t1": (_wilson(20, 20) + 0.15) * 3, "t0|t2": 0.9, "t1|t2": 0.9})
+
+
 def test_kappa_of_constant_graders_is_null(spark):
     df = spark.createDataFrame([(True, True)] * 3, "a boolean, b boolean")
     assert df.agg(agreement.kappa(F.col("a"), F.col("b")).alias("k")).first().k is None

@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 #: Text bytes that one block or slice of work holds, apart from a single longer text.
 BLOCK_BYTES = 10_000_000
 SLICE_BYTES = 1 << 20
+#: Keys that hold more than this part of a table's rows are joined by broadcast or dealt over several tasks.
+HEAVY = 4000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +43,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tagmill/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete working tables that stored() wrote and that no result reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
+
+
+def heavy_above(total: int) -> int:
+    """The number of rows above which a key is heavy; at most HEAVY keys of `total` rows are."""
+    return max(1000, total // HEAVY)
+
+
+def join_heavy(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    """left joined with right, whose keys are unique; heavy: right's rows of heavy keys, at most HEAVY, which are broadcast."""
+    hot = left.join(F.broadcast(heavy), key)
+    return hot.unionByName(left.join(F.broadcast(heavy.select(key)), key, "left_anti").join(right, key))
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:

@@ -18,8 +18,6 @@ from tagmill.llm.common import BLOCK_BYTES, fresh, text_bytes
 
 #: Shuffle partitions that blocks are dealt to, at most; beyond, a task works through several blocks in turn.
 MOST_PARTITIONS = 20_000
-#: Columns of questions and answers.
-MESSAGE = "block long, shard long, payload binary"
 
 
 def n_blocks(docs: DataFrame, text: str) -> int:

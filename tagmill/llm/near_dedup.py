@@ -4,12 +4,17 @@ One hash function: a document's sketch is the SKETCH smallest hashes of its dist
 equal shingle sets form one class first. Sketch values are inverted to lists of classes; two sets as similar as
 the threshold share at least an overlap of SKETCH values (but for a chance below 1e-10: 32 at 85 %, 28 at 80 %), so
 each class enters only the lists of its rarest SKETCH - overlap + 1 values, and must meet every partner in one. Pairs from the
-lists are filtered by the similarity estimated from the union's sketch, and verified on full shingle sets.
+lists are filtered by the similarity estimated from the union's sketch, and verified on the shingles themselves:
+words are numbered, so a hash never decides on a link.
 
 No list is expanded into all its pairs. Every member is first paired with the list's first and last member;
-verified links are joined to components. Only lists that still span several components, and in them only pairs
-across components that pass the estimate, are verified further, in tasks of bounded size. Links inside a
-component cannot change the result.
+verified links are joined to components. The members of lists that still span several components are inverted
+once more, by all their shingles: two sets that are similar enough share one of each one's rarest shingles, so
+sets that have only a common passage in common no longer meet. What still meets across components is compared
+in tasks of bounded size. Links inside a component cannot change the result.
+
+Keys that hold many rows (a value of a great group of copies, the first member of a long list) are joined by
+broadcast or dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -21,18 +26,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import stored, text_column, text_slices
-from tagmill.llm.wordhash import rolled, window_hashes, word_hashes
+from tagmill.llm.common import forget, heavy_above, join_heavy, stored, text_column, text_slices
+from tagmill.llm.wordhash import lowered, mix64, sequence_hashes, window_hashes, word_hashes, word_spans
 
 SHINGLE = 5
 SKETCH = 64
 OVERLAP = 32
 #: The chance that a pair at the threshold shares fewer values of its sketches.
 MISSED = 1e-10
+#: Texts, and shingles of all texts together, of each of the two chunks that a task compares.
 CHUNK = 512
+CHUNK_SHINGLES = 250_000
+#: Bytes of texts that are verified in one go.
+VERIFY_BYTES = 4_000_000
 
 
 def least_overlap(percent: int, k: int = SKETCH) -> int:
@@ -43,25 +52,71 @@ def least_overlap(percent: int, k: int = SKETCH) -> int:
     return max(n, 1)
 
 
-def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text, one after another, and the bounds between texts.
-
-    A text of fewer words than `size` has its whole sequence as one shingle; one without words has none.
-    """
-    words, at = word_hashes(data, bounds, lower=True)
-    hashes, _, to = window_hashes(words, at, size)
-    counts = np.diff(to)
-    short = np.flatnonzero((counts == 0) & (np.diff(at) > 0))
-    owner = np.repeat(np.arange(len(counts)), counts)
-    if len(short):
-        hashes = np.r_[hashes, rolled(words, at[short], at[short + 1])]
-        owner = np.r_[owner, short]
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    first = np.ones(len(hashes), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    hashes, owner = hashes[first], owner[first]
-    return hashes, np.searchsorted(owner, np.arange(len(bounds)))
+def _sets(owner: np.ndarray, values: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of distinct values of each text, sorted, as places in `values`; and the bounds between texts."""
+    order = np.lexsort((values, owner))
+    o, v = owner[order], values[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
+    return order[first], np.searchsorted(o[first], np.arange(texts + 1))
+
+
+def _windows(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and text of each shingle; a text of fewer words than `size`, but some, is one shingle."""
+    n = np.diff(at)
+    counts = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+    owner = np.repeat(np.arange(len(n)), counts)
+    first = np.arange(len(owner)) + np.repeat(at[:-1] - (np.cumsum(counts) - counts), counts)
+    return first, np.minimum(first + size, at[1:][owner]), owner
+
+
+def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text, one after another, hashes of a second lane, and bounds between texts."""
+    lanes = []
+    for lane in (0, 1):
+        words, at = word_hashes(data, bounds, lower=True, lane=lane)
+        first, end, owner = _windows(at, size)
+        hashes = np.empty(len(first), np.uint64)
+        whole = end - first == size
+        hashes[whole] = window_hashes(words, at, size, lane)[0]
+        hashes[~whole] = sequence_hashes(words, first[~whole], end[~whole], lane)
+        lanes.append(hashes)
+    keep, to = _sets(owner, lanes[0], len(bounds) - 1)
+    return lanes[0][keep], lanes[1][keep], to
+
+
+def exact_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """The shingle set of each text as sorted numbers, equal for equal shingles of these texts and only for those."""
+    bounds = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
+    data = lowered(np.frombuffer(b"".join(texts), np.uint8))
+    starts, ends, at = word_spans(data, bounds)
+    if not len(starts):
+        return [np.empty(0, np.int64)] * len(texts)
+    # words without the space between them, numbered by what they are
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    # a word that ends where a text does may touch the next text's first word
+    letters = data[np.cumsum(inside[:-1]) > 0]
+    offsets = np.r_[0, np.cumsum(ends - starts)]
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    number = np.asarray(words.dictionary_encode().indices).astype(np.int64)
+    first, end, owner = _windows(at, size)
+    place = first[:, None] + np.arange(size)
+    rows = np.where(place < end[:, None], number[np.minimum(place, len(number) - 1)], -1)
+    key = np.zeros(len(rows), np.uint64)
+    for j in range(size):
+        key = mix64(key ^ rows[:, j].astype(np.uint64))
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    differ = (rows[order][1:] != rows[order][:-1]).any(axis=1)
+    if (same & differ).any():  # two shingles with one key
+        ids = np.unique(rows, axis=0, return_inverse=True)[1].ravel()
+    else:
+        ids = np.empty(len(rows), np.int64)
+        ids[order] = np.r_[0, np.cumsum(~same)]
+    keep, to = _sets(owner, ids, len(texts))
+    return [ids[keep[a:b]] for a, b in zip(to[:-1].tolist(), to[1:].tolist())]
 
 
 def _signatures(docs: DataFrame, key: str, text: str, size: int, k: int) -> DataFrame:
@@ -71,13 +126,14 @@ def _signatures(docs: DataFrame, key: str, text: str, size: int, k: int) -> Data
         for batch in batches:
             data, bounds = text_column(batch, text)
             for a, b in text_slices(bounds):
-                sets, at = shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], size)
-                each = [sets[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+                sets, second, at = shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], size)
+                each = list(zip(at[:-1].tolist(), at[1:].tolist()))
+                digest = lambda x, y: hashlib.blake2b(sets[x:y].tobytes() + second[x:y].tobytes(), digest_size=16).digest()  # noqa: B023, E731
                 cols = [
                     batch.column(key).slice(a, b - a),
-                    pa.array([len(s) for s in each], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in each], pa.binary()),
-                    pa.array([s[:k].tobytes() for s in each], pa.binary()),
+                    pa.array(np.diff(at)),
+                    pa.array([digest(x, y) for x, y in each], pa.binary()),
+                    pa.array([sets[x : min(x + k, y)].tobytes() for x, y in each], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "n", "digest", "sketch"])
 
@@ -92,56 +148,79 @@ def _entries(classes: DataFrame) -> DataFrame:
             sketches = batch.column("sketch").to_pylist()
             sizes = np.array([len(s) // 8 for s in sketches])
             values = np.frombuffer(b"".join(sketches), np.int64)
-            ids = np.repeat(np.asarray(batch.column("id")), sizes)
-            ns = np.repeat(np.asarray(batch.column("n")), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ns), pa.array(values)], ["id", "n", "value"])
+            cols = [pa.array(np.repeat(np.asarray(batch.column(c)), sizes)) for c in ("id", "set", "n")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(values)], ["id", "set", "n", "value"])
 
-    return classes.select("id", "n", "sketch").mapInArrow(run, "id long, n long, value long")
+    return classes.select("id", "set", "n", "sketch").mapInArrow(run, "id long, set long, n long, value long")
 
 
-def _lists(classes: DataFrame, k: int, overlap: int, percent: int) -> DataFrame:
-    """value, id: the inverted lists, of two classes at least, that must show every similar pair."""
-    entries = _entries(classes)
+def _lists(entries: DataFrame, total: int, least: Column) -> DataFrame:
+    """value, id, low, high, size: the inverted lists, of two sets at least, that must show every similar pair.
+
+    entries: id, set (which tells an id's sets apart), n and value. `least` is how many of a set's values any
+    partner must share; so each set enters the lists of all but its least - 1 most frequent ones.
+    """
+    much = heavy_above(total)
     shared = entries.groupBy("value").agg(F.count("*").alias("times")).where("times > 1")
-    mine = entries.join(shared, "value").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("times", "value"))).alias("vs"))
-    # A set whose partners all fit their sketches too has at least percent % of it in common with any of them.
-    whole = F.col("n") * 100 <= F.lit(k * percent)
-    prefix = F.when(whole, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(k - overlap + 1)
-    # values of no other class come first and take no place in a list
-    alone = F.least(F.col("n"), F.lit(k)) - F.size("vs")
-    take = F.greatest(prefix - alone, F.lit(0)).cast("int")
+    mine = join_heavy(entries, shared, "value", shared.where(F.col("times") > much))
+    mine = mine.groupBy("id", "set", "n").agg(F.sort_array(F.collect_list(F.struct("times", "value"))).alias("vs"))
+    # values of no other set are the rarest, and need no list
+    take = F.greatest(F.size("vs") - least + 1, F.lit(0)).cast("int")
     picked = mine.select("id", F.explode(F.slice("vs", 1, take)).alias("v"))
     picked = picked.select(F.col("v.value").alias("value"), "id")
-    ends = picked.groupBy("value").agg(F.count("*").alias("size"), F.min("id").alias("low"), F.max("id").alias("high"))
-    return picked.join(ends.where("size > 1"), "value")
+    ends = picked.groupBy("value").agg(F.count("*").alias("size"), F.min("id").alias("low"), F.max("id").alias("high")).where("size > 1")
+    return join_heavy(picked, ends, "value", ends.where(F.col("size") > much))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def estimate(x: np.ndarray, y: np.ndarray, k: int) -> float:
-    """Similarity of two sets from the k smallest values of their sketches' union."""
-    union = np.union1d(x, y)[:k]
-    return float(np.isin(union, x, assume_unique=True)[np.isin(union, y, assume_unique=True)].sum() / max(1, len(union)))
+def estimates(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+    """The similarity of each row's two sets from the k smallest values of their sketches' union.
 
-
-def _promising(pairs: DataFrame, classes: DataFrame, k: int, least: float) -> DataFrame:
+    x and y have a sketch in each row, filled up with the largest number, which is no value.
+    """
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+    twice = np.zeros(both.shape, bool)
+    twice[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != none)
+    rank = np.cumsum(~twice & (both != none), axis=1)
+    shared = (twice & (rank <= k)).sum(axis=1)
+    return shared / np.maximum(np.minimum(rank[:, -1], k), 1)
+
+
+def _sketch_rows(col: pa.Array, k: int) -> np.ndarray:
+    rows = col.to_pylist()
+    out = np.full((len(rows), k), 0xFFFFFFFFFFFFFFFF, np.uint64)
+    sizes = np.array([len(r) // 8 for r in rows])
+    out[np.arange(k) < sizes[:, None]] = np.frombuffer(b"".join(rows), np.uint64)
+    return out
+
+
+def _beside(pairs: DataFrame, side: DataFrame, mine: str, other: str, total: int) -> DataFrame:
+    """pairs joined with side on `mine`; the pairs of an id with very many are dealt over several tasks, with a copy of its row for each."""
+    much = heavy_above(total)
+    hubs = pairs.groupBy(mine).agg(F.count("*").alias("n_")).where(F.col("n_") > much).select(mine, F.ceil(F.col("n_") / much).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    marked = pairs.join(F.broadcast(hubs), mine, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
+    copies = side.join(F.broadcast(hubs), mine, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return marked.join(copies, [mine, "part"]).drop("part")
+
+
+def _promising(pairs: DataFrame, classes: DataFrame, k: int, least: float, total: int) -> DataFrame:
     """The pairs whose estimated similarity reaches `least`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b"))
-            good = [
-                estimate(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), k) >= least
-                for x, y in zip(left, right, strict=True)
-            ]
+            good = estimates(_sketch_rows(batch.column("sketch_a"), k), _sketch_rows(batch.column("sketch_b"), k), k) >= least
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = _beside(_beside(pairs, side("a"), "a", "b", total), side("b"), "b", "a", total)
     near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least
-    return both.where(near).select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+    # an id with several sets has a row for each
+    return both.where(near).select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -156,83 +235,128 @@ def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias(key), text).where(F.col(key).isNotNull()).mapInArrow(run, "id long, body binary")
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, bodies: DataFrame, size: int, percent: int, total: int) -> DataFrame:
     """The pairs that are similar by their full shingle sets."""
 
+    def similar(texts: dict[bytes, int], plain: list[bytes], which: list[tuple[int, int]]) -> list[bool]:
+        sets, out = exact_sets(plain, size), []
+        for i, j in which:
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            out.append(common > 0 and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common))
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, last, kept = zstandard.ZstdDecompressor(), None, None
+        z = zstandard.ZstdDecompressor()
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("body_a").to_pylist(), batch.column("body_b").to_pylist(), strict=True):
-                if x != last:
-                    last, kept = x, shingle_set(z.decompress(x), size)
-                other = shingle_set(z.decompress(y), size)
-                common = len(np.intersect1d(kept, other, assume_unique=True))
-                good.append(common > 0 and 100 * common >= percent * (len(kept) + len(other) - common))
+            good: list[bool] = []
+            texts, plain, which, held = {}, [], [], 0
+            for pair in zip(batch.column("body_a").to_pylist(), batch.column("body_b").to_pylist(), strict=True):
+                for body in pair:
+                    if body not in texts:
+                        texts[body] = len(plain)
+                        plain.append(z.decompress(body))
+                        held += len(plain[-1])
+                which.append((texts[pair[0]], texts[pair[1]]))
+                if held > VERIFY_BYTES:
+                    good += similar(texts, plain, which)
+                    texts, plain, which, held = {}, [], [], 0
+            good += similar(texts, plain, which)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     side = lambda c: bodies.select(F.col("id").alias(c), F.col("body").alias(f"body_{c}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
-
-
-def shingle_set(text: bytes, size: int) -> np.ndarray:
-    """The sorted distinct shingle hashes of one text."""
-    return shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), size)[0]
+    return _beside(_beside(pairs, side("b"), "b", "a", total), side("a"), "a", "b", total).mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id, root: for every id in links (a, b), the smallest id it is connected with.
+    """id, root: for every id in links (a, b), the smallest id it is connected with; stored.
 
     Alternates between linking each id's larger neighbours, and each id, to its smallest neighbour, until
     nothing changes; each round is written to the shared folder.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    before = None
-    while True:
+    summary = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before, now = None, summary()
+    while now != before:
+        much = heavy_above(2 * now[0])
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        wide = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = edges.union(wide).where("u <> v").groupBy("u").agg(F.min("v").alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("times"))
+        wide = join_heavy(both, low, "u", low.where(F.col("times") > much)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         ups = edges.union(wide).where("u <> v")
-        hop = ups.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(least.select("u", F.col("m").alias("v")).union(hop).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
+        least = ups.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("times"))
+        hop = join_heavy(ups, least, "u", least.where(F.col("times") > much)).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        linked = least.select("u", F.col("m").alias("v")).union(hop).where("u <> v")
+        last, edges = edges, stored(linked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+        forget(last)
+        before, now = now, summary()
     stars = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("id"), "root")
-    return stars.union(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()).groupBy("id").agg(F.min("root").alias("root"))
-
-
-def shared_values(sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """How many values each of the sketches `left` has in common with each of `right`."""
-    values, column = np.unique(np.concatenate(sketches), return_inverse=True)
-    times = np.bincount(column, minlength=len(values))
-    owner = np.repeat(np.arange(len(sketches)), [len(s) for s in sketches])
-    dense = np.cumsum(times > 1) - 1
-    keep = times[column] > 1
-    owner, column, width = owner[keep], dense[column[keep]], int((times > 1).sum())
-    out = np.zeros((len(left), len(right)), np.float32)
-    for at in range(0, width, 4096):
-        part = np.zeros((len(sketches), min(4096, width - at)), np.float32)
-        mine = (column >= at) & (column < at + 4096)
-        part[owner[mine], column[mine] - at] = 1
+    roots = stored(stars.union(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()).groupBy("id").agg(F.min("root").alias("root")), "roots")
+    forget(edges)
+    return roots
+
+
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many numbers each of the sets `left` has in common with each of `right`."""
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    many = np.bincount(column, minlength=len(values)) > 1
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keep = many[column]
+    owner, column, width = owner[keep], (np.cumsum(many) - 1)[column[keep]], int(many.sum())
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)))
+    for at in range(0, width, 2048):
+        a, b = np.searchsorted(column, [at, at + 2048])
+        part = np.zeros((len(sets), min(2048, width - at)), np.float32)
+        part[owner[a:b], column[a:b] - at] = 1
         out += part[left] @ part[right].T
     return out.astype(np.int64)
 
 
-def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, percent: int, k: int, least: float) -> DataFrame:
-    """Verified links across components in lists of four or more members that still span several.
+def _shingles(members: DataFrame, bodies: DataFrame, size: int) -> DataFrame:
+    """A row for each shingle of each of the members' texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdDecompressor()
+        for batch in batches:
+            plain = [z.decompress(b) for b in batch.column("body").to_pylist()]
+            bounds = np.r_[0, np.cumsum([len(t) for t in plain])].astype(np.int64)
+            ids = np.asarray(batch.column("id"))
+            for a, b in text_slices(bounds):
+                data = np.frombuffer(b"".join(plain[a:b]), np.uint8)
+                values, _, at = shingle_sets(data, bounds[a : b + 1] - bounds[a], size)
+                n = np.diff(at)
+                # which of an id's texts it is
+                which = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in plain[a:b]], np.int64)
+                cols = [np.repeat(ids[a:b], n), np.repeat(which, n), np.repeat(n, n), values.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["id", "set", "n", "value"])
+
+    return bodies.join(members, "id", "left_semi").select("id", "body").mapInArrow(run, "id long, set long, n long, value long")
+
+
+def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, percent: int) -> DataFrame:
+    """Verified links across components between members of lists of four or more that still span several.
 
-    Lists with the same first member are compared as one bundle, so members that share many lists meet once.
-    A bundle is cut into chunks; each pair of chunks is a task of its own, which tests promising pairs on full
-    sets, the likeliest first, and leaves out pairs that have become connected.
+    These members are inverted by all their shingles: each enters the lists of its rarest ones, of which any
+    set as similar as percent % shares one. Lists with the same first member are one bundle, so members that
+    share many lists meet once. A bundle is cut into chunks; each pair of chunks is a task of its own, which
+    counts what its sets have in common, pair by pair as products of matrices.
     """
-    rooted = lists.where("size > 3").join(roots, "id", "left").select("value", "low", "id", F.coalesce("root", "id").alias("root"))
-    split = rooted.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("value")
-    members = rooted.join(split, "value").groupBy("low", "id").agg(F.min("root").alias("root"))
-    sizes = members.groupBy("low").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = members.join(sizes, "low").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    spanning = lambda some: some.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("times")).where("x <> y").select("value", "times")
+    rooted = lambda some: some.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    open_lists = rooted(lists.where("size > 3").select("value", "id"))
+    split = spanning(open_lists)
+    members = join_heavy(open_lists, split, "value", split.where(F.col("times") > heavy_above(lists.count()))).select("id").distinct()
+    entries = stored(_shingles(members, bodies, size), "shingles")
+    total = entries.count()
+    narrow = stored(_lists(entries, total, F.ceil(F.col("n") * percent / 100)).select("value", "id", "low"), "lists")
+    again = rooted(narrow)
+    split = spanning(again)
+    meets = join_heavy(again, split, "value", split.where(F.col("times") > heavy_above(total))).groupBy("low", "id").agg(F.min("root").alias("root"))
+    meets = stored(meets.join(entries.groupBy("id").agg(F.count("*").alias("n")), "id"), "meets")
+    weight = F.greatest(F.count("*") / CHUNK, F.sum("n") / CHUNK_SHINGLES)
+    sizes = meets.groupBy("low").agg(F.ceil(weight).cast("int").alias("chunks"), F.count("*").alias("times"))
+    dealt = join_heavy(meets, sizes, "low", sizes.where(F.col("times") > heavy_above(meets.count())))
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("low", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "id", "root")
     dealt = dealt.join(bodies, "id")
@@ -241,18 +365,14 @@ def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, perc
         x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
         mine, ids, root = (np.asarray(group.column(c).combine_chunks()) for c in ("mine", "id", "root"))
         z = zstandard.ZstdDecompressor()
-        sets = [shingle_set(z.decompress(b), size) for b in group.column("body").to_pylist()]
+        sets = exact_sets([z.decompress(b) for b in group.column("body").to_pylist()], size)
         n = np.array([len(s) for s in sets])
         left, right = np.flatnonzero(mine == x), np.flatnonzero(mine == y)
-        common = shared_values([s[:k] for s in sets], left, right)
-        small, large = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
-        held = np.minimum(n, k)
-        union = np.minimum(held[left][:, None] + held[right][None, :] - common, k)
-        maybe = (root[left][:, None] != root[right][None, :]) & (100 * small >= percent * large) & (common >= union * least)
+        common = common_counts(sets, left, right)
+        near = 100 * common >= percent * (n[left][:, None] + n[right][None, :] - common)
+        near &= (common > 0) & (root[left][:, None] != root[right][None, :])
         if x == y:
-            maybe &= ids[left][:, None] < ids[right][None, :]
-        at = np.argwhere(maybe)
-        at = at[np.argsort(-common[at[:, 0], at[:, 1]], kind="stable")]
+            near &= ids[left][:, None] < ids[right][None, :]
         joined: dict[int, int] = {}
 
         def top(r: int) -> int:
@@ -261,17 +381,18 @@ def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, perc
             return r
 
         links = []
-        for i, j in zip(left[at[:, 0]].tolist(), right[at[:, 1]].tolist(), strict=True):
+        # one link for each two components is enough
+        for i, j in np.argwhere(near).tolist():
+            i, j = left[i], right[j]
             ri, rj = top(int(root[i])), top(int(root[j]))
-            if ri == rj or estimate(sets[i][:k], sets[j][:k], k) < least:
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            if ri != rj:
                 joined[max(ri, rj)] = min(ri, rj)
                 links.append((ids[i], ids[j]))
         return pa.table([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return dealt.groupBy("low", "x", "y").applyInArrow(compare, "a long, b long")
+    found = stored(dealt.groupBy("low", "x", "y").applyInArrow(compare, "a long, b long"), "verified")
+    forget(entries, narrow, meets)
+    return found
 
 
 def near_duplicates(
@@ -282,32 +403,44 @@ def near_duplicates(
     Words are runs of bytes other than space and bytes 9 to 13, with A-Z in lower case; a text's set is its
     distinct `size`-word shingles, of a shorter text its whole sequence. `overlap` follows from percent. Null and empty texts and texts without
     words have an empty set and link with nothing. component_id is the smallest key reachable; kept says that
-    the key is that. A row with a null key links with nothing, has a null component_id and is kept. Repeated
-    keys give a row each and count as one member. An empty table gives none. The key must be an integer; the
+    the key is that. A row with a null key links with nothing, has a null component_id and is kept. Rows with
+    one key give a row each, are connected with each other, and connect what their texts are similar to; rows
+    without words are not. An empty table gives none. The key must be an integer; the
     result has no other columns of `docs`, so clashing names do not matter.
     """
     overlap = least_overlap(percent, k) if overlap is None else overlap
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stored(_signatures(rows, "id", "text", size, k), "signatures")
     keyed = signed.where("id is not null and n > 0")
-    members = keyed.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("times"))
     # one row for each class: its smallest member, whose sketch is every member's
-    classes = stored(keyed.join(members.select("digest", "rep"), "digest").where("id = rep").dropDuplicates(["digest"]).select("id", "n", "sketch", "digest"), "classes")
-    lists = stored(_lists(classes.select("id", "n", "sketch"), k, overlap, percent), "lists")
-    least = overlap / k
+    first = F.min(F.struct("id", "n", "sketch")).alias("m")
+    classes = keyed.groupBy("digest").agg(first, F.count("*").alias("times")).select("digest", "m.*", "times")
+    classes = stored(classes.withColumn("set", F.xxhash64("digest")), "classes")
+    held, whole = F.least(F.col("n"), F.lit(k)), F.col("n") * 100 <= F.lit(k * percent)
+    # a set whose partners all fit their sketches too has at least percent % of it in common with any of them
+    least = F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(overlap))
+    total = classes.agg(F.coalesce(F.sum(held), F.lit(0)), F.coalesce(F.sum("times"), F.lit(0))).first()
+    lists = stored(_lists(_entries(classes), total[0], least), "lists")
     stars = lists.select(F.col("id").alias("a"), F.explode(F.array("low", "high")).alias("b"))
-    pairs = stored(_promising(_ordered(stars), classes, k, least), "pairs")
-    wanted = lists.select("id").distinct()
+    pairs = stored(_ordered(stars), "pairs")
+    n_pairs = pairs.count()
+    likely = stored(_promising(pairs, classes, k, overlap / k, n_pairs), "pairs")
     texts = _packed_texts(rows, "id", "text")
-    bodies = stored(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
-    links = stored(_verified(pairs, bodies, size, percent), "verified")
+    bodies = stored(texts.join(lists.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "body"]), "bodies")
+    links = stored(_verified(likely, bodies, size, percent, n_pairs), "verified")
     roots = components(links)
-    more = stored(_rest(lists, bodies, roots, size, percent, k, least), "verified")
-    # a key with several texts, and a class's members, are connected through the key or the class
-    same = keyed.join(members.where("times > 1"), "digest").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    roots = components(links.union(more).union(same))
-    joined = signed.join(roots, "id", "left").select("id", "n", F.coalesce("root", "id").alias("root"))
-    return joined.select(
+    more = _rest(lists, bodies, roots, size, percent)
+    # a key with several texts connects their classes
+    several = keyed.select("id", F.xxhash64("digest").alias("set")).groupBy("id").agg(F.min("set").alias("x"), F.max("set").alias("y")).where("x <> y").select("id")
+    heavy = classes.where(F.col("times") > heavy_above(total[1]))
+    same = join_heavy(keyed.join(several, "id", "left_semi").select("id", "digest").distinct(), classes.select("digest", F.col("id").alias("rep")), "digest", heavy.select("digest", F.col("id").alias("rep")))
+    forget(roots)
+    roots = components(links.union(more).union(same.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    forget(lists, pairs, likely, bodies, links, more)
+    named = classes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("root"), "times")
+    out = join_heavy(keyed.select("id", "n", "digest"), named, "digest", named.where(F.col("times") > heavy_above(total[1]))).select("id", "n", "root")
+    alone = signed.where("id is null or n = 0").select("id", "n", F.col("id").alias("root"))
+    return out.union(alone).select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept")
     )
 

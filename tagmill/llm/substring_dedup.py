@@ -2,12 +2,16 @@
 
 Each block of documents hashes all its windows (Rabin-Karp over 64-bit word hashes), sorts them, and sends each
 distinct hash once, with whether it stands there twice already, to the shard of its range. Shards count over all
-blocks and answer one bit a hash. Each block then marks all words of its repeated windows; overlapping and
-touching windows merge into maximal intervals, which are cut out.
+blocks and answer one bit a hash. Windows whose hash is repeated are then compared by their words: each block
+asks again with a cryptographic digest of the window's own text beside the hash, and only a window whose words
+are repeated stays. Each block marks all words of its repeated windows; overlapping and touching windows merge
+into maximal intervals, which are cut out.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -15,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.llm.common import fresh, pack, plus, text_column, text_slices, unpack
-from tagmill.llm.exchange import MESSAGE, cuts, in_blocks, n_blocks
+from tagmill.llm.exchange import cuts, in_blocks, n_blocks
 from tagmill.llm.wordhash import window_hashes, word_hashes, word_spans
 
 WINDOW = 35
+#: Kinds of questions, by the number of numbers that make a key.
+_HASHES, _DIGESTS = 1, 2
+_MESSAGE = "kind int, block long, shard long, payload binary"
 
 
 def _windows(data: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
@@ -38,44 +45,118 @@ def _flags(blob: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), count=n).astype(bool)
 
 
-def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes, and whether each occurs twice or more."""
-    keys = np.sort(hashes)
-    first = np.ones(len(keys), bool)
-    first[1:] = keys[1:] != keys[:-1]
-    at = np.flatnonzero(first)
-    return keys[at], np.diff(np.r_[at, len(keys)]) > 1
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by `keys`, first key first, and where each run of equal rows starts in it."""
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    first = np.ones(len(order), bool)
+    first[1:] = False
+    for k in keys:
+        k = k[order]
+        first[1:] |= k[1:] != k[:-1]
+    return order, np.flatnonzero(first)
+
+
+class _Asked:
+    """The distinct keys of a block: hashes, or hashes with digests, in order; and how to bring answers back."""
+
+    def __init__(self, shards: int, *keys: np.ndarray) -> None:
+        self.order, self.starts = _groups(*keys)
+        self.sizes = np.diff(np.r_[self.starts, len(self.order)])
+        self.keys = [k[self.order[self.starts]] for k in keys]
+        self.cuts = cuts(self.keys[0], shards)
+
+    def messages(self, kind: int, block: int) -> pa.Table:
+        twice = self.sizes > 1
+        payload = []
+        for _, a, b in self.cuts:
+            parts = [pack(self.keys[0][a:b], delta=True), *[pack(k[a:b]) for k in self.keys[1:]], _bits(twice[a:b])]
+            payload.append(np.array([b - a, *map(len, parts)], np.uint64).tobytes() + b"".join(parts))
+        return _messages(kind, [block] * len(payload), [s for s, _, _ in self.cuts], payload)
+
+    def told(self, shards: list[int], blobs: list[bytes]) -> np.ndarray:
+        """For each row whether its key is repeated anywhere."""
+        repeated = np.zeros(len(self.starts), bool)
+        where = {s: (a, b) for s, a, b in self.cuts}
+        for s, blob in zip(shards, blobs, strict=True):
+            a, b = where[s]
+            repeated[a:b] = _flags(blob, b - a)
+        out = np.empty(len(self.order), bool)
+        out[self.order] = np.repeat(repeated, self.sizes)
+        return out
+
+
+def _messages(kind: int, blocks: list, shards: list, payload: list[bytes]) -> pa.Table:
+    n = len(payload)
+    arrays = [pa.array([kind] * n, pa.int32()), pa.array(blocks, pa.int64()), pa.array(shards, pa.int64()), pa.array(payload, pa.binary())]
+    return pa.table(arrays, ["kind", "block", "shard", "payload"])
+
+
+def _answers(table: pa.Table, kind: int) -> tuple[list[int], list[bytes]]:
+    rows = zip(*(table.column(c).to_pylist() for c in ("kind", "shard", "payload")), strict=True)
+    mine = [(s, p) for k, s, p in rows if k == kind]
+    return [s for s, _ in mine], [p for _, p in mine]
 
 
 def _question(text: str, block: str, size: int, shards: int):
     def ask(part: pa.Table) -> pa.Table:
         data, bounds = text_column(part, text)
-        keys, twice = _distinct(_windows(data, bounds, size))
-        to = cuts(keys, shards)
-        payload = [np.uint64(b - a).tobytes() + len(q := pack(keys[a:b], delta=True)).to_bytes(8, "little") + q + _bits(twice[a:b]) for _, a, b in to]
-        at = part.column(block)[0].as_py()
-        return pa.table([pa.array([at] * len(to), pa.int64()), pa.array([s for s, _, _ in to], pa.int64()), pa.array(payload, pa.binary())], ["block", "shard", "payload"])
+        return _Asked(shards, _windows(data, bounds, size)).messages(_HASHES, part.column(block)[0].as_py())
 
     return ask
 
 
 def _answer(part: pa.Table) -> pa.Table:
-    keys, twice = [], []
+    """One bit for each key of each question: whether it occurs twice or more over all blocks."""
+    kind = part.column("kind")[0].as_py()
+    questions, twice = [], []
     for q in part.column("payload").to_pylist():
-        n, size = np.frombuffer(q, np.uint64, 2).tolist()
-        keys.append(unpack(q[16 : 16 + size], "uint64", delta=True))
-        twice.append(_flags(q[16 + size :], n))
-    every, flags = np.concatenate(keys), np.concatenate(twice)
-    order = np.argsort(every, kind="stable")
-    ordered, repeated = every[order], flags[order]
-    first = np.ones(len(ordered), bool)
-    first[1:] = ordered[1:] != ordered[:-1]
-    starts = np.flatnonzero(first)
-    many = np.logical_or.reduceat(repeated, starts) | (np.diff(np.r_[starts, len(ordered)]) > 1)
-    flags[order] = np.repeat(many, np.diff(np.r_[starts, len(ordered)]))
-    ends = np.cumsum([len(k) for k in keys]).tolist()
-    payload = [_bits(flags[e - len(k) : e]) for k, e in zip(keys, ends, strict=True)]
-    return pa.table([part.column("block"), part.column("shard"), pa.array(payload, pa.binary())], ["block", "shard", "payload"])
+        n, *sizes = np.frombuffer(q, np.uint64, 2 + kind).tolist()
+        ends = (np.cumsum(sizes).astype(int) + 8 * (2 + kind)).tolist()
+        parts = [q[e - int(m) : e] for e, m in zip(ends, sizes, strict=True)]
+        questions.append([unpack(parts[0], "uint64", delta=True), *[unpack(p, "uint64") for p in parts[1:-1]]])
+        twice.append(_flags(parts[-1], int(n)))
+    order, starts = _groups(*[np.concatenate(k) for k in zip(*questions, strict=True)])
+    flags = np.concatenate(twice)
+    sizes = np.diff(np.r_[starts, len(order)])
+    many = np.logical_or.reduceat(flags[order], starts) | (sizes > 1)
+    flags[order] = np.repeat(many, sizes)
+    ends = np.cumsum([len(q[0]) for q in questions]).tolist()
+    payload = [_bits(flags[e - len(q[0]) : e]) for q, e in zip(questions, ends, strict=True)]
+    return _messages(kind, part.column("block").to_pylist(), part.column("shard").to_pylist(), payload)
+
+
+def _digests(data: np.ndarray, bounds: np.ndarray, hits: np.ndarray, size: int) -> np.ndarray:
+    """A digest of the words of each window that `hits` marks, joined by one space, in order."""
+    out, done = [], 0
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        words = data[a:b].tobytes().split()
+        m = max(len(words) - size + 1, 0)
+        at = np.flatnonzero(hits[done : done + m])
+        done += m
+        if len(at):
+            line = b" ".join(words)
+            place = np.r_[0, np.cumsum([len(w) + 1 for w in words])]
+            for x, y in zip(place[at].tolist(), (place[at + size] - 1).tolist()):
+                out.append(hashlib.blake2b(line[x:y], digest_size=8).digest())
+    return np.frombuffer(b"".join(out), np.uint64)
+
+
+def _confirmed(part: pa.Table, answers: pa.Table, text: str, size: int, shards: int) -> tuple[np.ndarray, np.ndarray, _Asked]:
+    """All windows' hashes, which of them are candidates, and the second question about these."""
+    data, bounds = text_column(part, text)
+    hashes = _windows(data, bounds, size)
+    hits = _Asked(shards, hashes).told(*_answers(answers, _HASHES))
+    return hashes, hits, _Asked(shards, hashes[hits], _digests(data, bounds, hits, size))
+
+
+def _confirm(text: str, block: str, size: int, shards: int):
+    def confirm(part: pa.Table, answers: pa.Table) -> pa.Table:
+        if not part.num_rows:
+            return _messages(_DIGESTS, [], [], [])
+        _, _, asked = _confirmed(part, answers, text, size, shards)
+        return asked.messages(_DIGESTS, part.column(block)[0].as_py())
+
+    return confirm
 
 
 def _removal(covered: np.ndarray) -> list[tuple[int, int]]:
@@ -87,18 +168,8 @@ def _removal(covered: np.ndarray) -> list[tuple[int, int]]:
 def _apply(text: str, block: str, size: int, shards: int, names: list[str]):
     def apply(part: pa.Table, answers: pa.Table) -> pa.Table:
         data, bounds = text_column(part, text)
-        hashes = _windows(data, bounds, size)
-        keys, _ = _distinct(hashes)
-        repeated = np.zeros(len(keys), bool)
-        where = {s: (a, b) for s, a, b in cuts(keys, shards)}
-        for s, blob in zip(answers.column("shard").to_pylist(), answers.column("payload").to_pylist(), strict=True):
-            a, b = where[s]
-            repeated[a:b] = _flags(blob, b - a)
-        hot = keys[repeated]
-        hits = np.zeros(len(hashes), bool)
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-            hits = hot[at] == hashes
+        _, hits, asked = _confirmed(part, answers, text, size, shards)
+        hits[hits] = asked.told(*_answers(answers, _DIGESTS))
         n_words, n_removed, kept, spans, done = [], [], [], [], 0
         for a, b in text_slices(bounds):
             raw, inner = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
@@ -145,16 +216,19 @@ def drop_repeats(docs: DataFrame, text: str = "text", size: int = WINDOW, blocks
     words that covers it starts at another place too, in the same or another row. Null or empty texts and texts
     of fewer than `size` words lose nothing; kept_text joins the kept words by one space and is empty for a null
     text. Repeated rows lose all windows they share. An empty table gives none. New columns whose names are
-    taken get a leading underscore. Windows are told apart by 64-bit hashes.
+    taken get a leading underscore. Windows count as equal by a 61-bit hash of their words' hashes and a 64-bit
+    digest of their words. Rows that are equal in every column go to one block.
     """
     n = blocks or n_blocks(docs, text)
     dealt, block = in_blocks(docs, n, docs.columns)
     names = [fresh(c, docs.columns) for c in ("n_words", "n_removed", "kept_text", "removed")]
     kinds = ("long", "long", "string", "array<struct<start:long,end:long>>")
-    questions = dealt.groupBy(block).applyInArrow(_question(text, block, size, n), MESSAGE)
-    answers = questions.groupBy("shard").applyInArrow(_answer, MESSAGE)
+    by_block = dealt.groupBy(block)
+    found = by_block.applyInArrow(_question(text, block, size, n), _MESSAGE).groupBy("shard").applyInArrow(_answer, _MESSAGE)
+    again = by_block.cogroup(found.groupBy("block")).applyInArrow(_confirm(text, block, size, n), _MESSAGE)
+    answers = found.union(again.groupBy("shard").applyInArrow(_answer, _MESSAGE))
     schema = plus(docs.schema, **dict(zip(names, kinds, strict=True)))
-    return dealt.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(_apply(text, block, size, n, names), schema)
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_apply(text, block, size, n, names), schema)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:

@@ -25,6 +25,14 @@ ODD = [None, "", " \n\t", "one", "a b c", "x" * 20_000, "word " * 3000, "a<|endo
 WORDS = "alpha beta gamma delta rho sigma tau phi chi psi omega".split()
 
 
+def _alike(rounds: int = 10) -> tuple[str, str]:
+    """Two words of 1,024 letters that every polynomial hash modulo a power of two takes for one."""
+    s = "a"
+    for _ in range(rounds):
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     """Odd texts, ties and repeated rows, null ids and languages, and columns with clashing names."""
@@ -405,6 +413,37 @@ def test_near_duplicates_of_odd_rows(spark, odd, nothing):
     assert near_dedup.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_told_apart_by_words_and_joined_by_keys(spark):
+    x, y = _alike()
+    tail = " ".join(f"t{i}" for i in range(4))
+    base = [f"b{i}" for i in range(60)]
+    near = lambda at: " ".join(base[:at] + ["other"] + base[at + 1 :])
+    far = [f"f{i}" for i in range(60)]
+    rows = [(10, f"{x} {tail}"), (11, f"{y} {tail}"), (1, " ".join(base)), (1, " ".join(far)), (2, near(0)), (3, " ".join(far[:-1] + ["end"])), (3, " ".join(far[:-1] + ["end"])), (4, "")]
+    got = sorted((r.doc_id, r.component_id) for r in _rows(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (3, 1), (4, 4), (10, 10), (11, 11)]
+
+
+def test_exact_sets_do_not_trust_hashes(monkeypatch):
+    texts = [b"a b c d e f", b"A b  c d e", b"x", b"", b"f e d c b a", b"a b c d e f x"]
+    plain = [{tuple(t.lower().split()[i : i + 3]) for i in range(max(1, len(t.split()) - 2))} - {()} for t in texts]
+
+    def same():
+        sets = near_dedup.exact_sets(texts, 3)
+        return all(len(np.intersect1d(sets[i], sets[j])) == len(plain[i] & plain[j]) for i in range(6) for j in range(6))
+
+    assert same()
+    monkeypatch.setattr(near_dedup, "mix64", lambda v: v & np.uint64(1))
+    assert same()
+
+
+def test_near_duplicates_with_hot_values_and_small_chunks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "heavy_above", lambda n: 5)
+    monkeypatch.setattr(near_dedup, "CHUNK", 7)
+    monkeypatch.setattr(near_dedup, "VERIFY_BYTES", 2000)
+    test_near_duplicates_equal_brute_force(spark)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)]
     got = {r.id: r.root for r in _rows(near_dedup.components(spark.createDataFrame(links, "a long, b long")))}
@@ -446,6 +485,30 @@ def test_repeats_equal_brute_force(spark, odd, nothing):
     assert substring_dedup.drop_repeats(nothing).count() == 0
 
 
+def test_repeats_of_words_that_weak_hashes_confuse(spark):
+    x, y = _alike()
+    tail = " ".join(f"t{i}" for i in range(34))
+    rows = [(1, f"{x} {tail}"), (2, f"{y} {tail}")]
+    got = _rows(substring_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"), blocks=3))
+    assert [r.n_removed for r in got] == [0, 0]
+
+
+def test_repeats_are_confirmed_on_words(spark, monkeypatch):
+    # with one hash for all windows only the words tell
+    real = substring_dedup.window_hashes
+    monkeypatch.setattr(substring_dedup, "window_hashes", lambda *a: (real(*a)[0] & np.uint64(1), *real(*a)[1:]))
+    import pyarrow as pa
+
+    same = " ".join(f"s{i}" for i in range(36))
+    texts = [same, "head " + same, " ".join(f"o{i}" for i in range(90))]
+    part = pa.table({"doc_id": [0, 1, 2], "text": texts, "block": [0, 0, 0]})
+    answer = lambda q: pa.concat_tables([substring_dedup._answer(q.slice(i, 1)) for i in range(q.num_rows)])
+    first = answer(substring_dedup._question("text", "block", 35, 3)(part))
+    second = answer(substring_dedup._confirm("text", "block", 35, 3)(part, first))
+    out = substring_dedup._apply("text", "block", 35, 3, ["n_words", "n_removed", "kept_text", "removed"])(part, pa.concat_tables([first, second]))
+    assert out.column("n_removed").to_pylist() == [36, 36, 0]
+
+
 # Packing.
 
 

@@ -40,28 +40,39 @@ def score_stream(stream: DataFrame, cache_path: str, checkpoint: str, keys: list
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _timed(stream: DataFrame, at: str) -> DataFrame:
+    """`stream` with `at` as an instant: watermarks refuse times without a zone, which are read in the session's."""
+    return stream.withColumn(at, F.col(at).cast("timestamp"))
+
+
 def first_of_key(stream: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
     """The first row of each key, forgetting keys once the watermark has passed them by `delay`."""
-    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
+    return _timed(stream, at).withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def counts_by_window(stream: DataFrame, at: str, width: str, delay: str, by: list[str]) -> DataFrame:
     """Counts in tumbling windows; rows later than `delay` are left out."""
-    return stream.withWatermark(at, delay).groupBy(F.window(at, width), *by).agg(F.count("*").alias("n"))
+    return _timed(stream, at).withWatermark(at, delay).groupBy(F.window(at, width), *by).agg(F.count("*").alias("n"))
 
 
 def last_verdicts(stream: DataFrame, key: str, verdict: str, order: str) -> DataFrame:
-    """The running last verdict of each key; an empty verdict deletes it (emitted as null)."""
+    """The running last verdict of each key; an empty verdict deletes it (emitted as null).
+
+    A row without an order comes before all others; of rows with equal orders the first one stays.
+    """
     kind = stream.schema[key].dataType.simpleString()
 
     def update(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = state.get if state.exists else (-1, "")
+        last, said = state.get if state.exists else (None, None)
         for rows in batches:
-            top = rows.loc[rows[order].idxmax()]
-            if int(top[order]) > best[0]:
-                best = (int(top[order]), top[verdict] or "")
-        state.update(best)
-        yield pd.DataFrame({key: [k[0]], verdict: [best[1] or None]})
+            for at, v in zip(rows[order].tolist(), rows[verdict].tolist(), strict=True):
+                at = -(1 << 63) if pd.isna(at) else int(at)
+                if last is None or at > last:
+                    last, said = at, v or ""
+        if last is None:
+            return
+        state.update((last, said))
+        yield pd.DataFrame({key: [k[0]], verdict: [said or None]})
 
     return stream.groupBy(key).applyInPandasWithState(
         update, f"{key} {kind}, {verdict} string", "at long, verdict string", "update", GroupStateTimeout.NoTimeout

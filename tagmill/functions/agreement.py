@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions.columns import rounded
+from tagmill.functions.working import running_sums
 
 
 def kappa(a: Column, b: Column) -> Column:
@@ -18,17 +19,23 @@ def kappa(a: Column, b: Column) -> Column:
 def mid_ranks(df: DataFrame, value: str, by: list[str], out: str) -> DataFrame:
     """`df` with the mean rank of each row's value among ties; counts of distinct values first, so ties cost nothing."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("c_"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0) if by else Window.partitionBy(F.lit(0)).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn(out, F.sum("c_").over(w) - (F.col("c_") - 1) / 2).drop("c_")
+    ranked = _before(counts, value, {"c_": "b_"}, by).withColumn(out, F.col("b_") + (F.col("c_") + 1) / 2).drop("c_", "b_")
     return df.join(ranked, [*by, value])
 
 
+def _before(counts: DataFrame, order: str, sums: dict[str, str], by: list[str]) -> DataFrame:
+    """Sums of columns over all rows of a group before each one: a group to a task, or without groups by ranges."""
+    if not by:
+        return running_sums(counts, order, sums)
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumns({name: F.coalesce(F.sum(c).over(w), F.lit(0)) for c, name in sums.items()})
+
+
 def auc(df: DataFrame, score: str, positive: str, by: list[str] | None = None, ties: str = "mid") -> DataFrame:
     """Area under the ROC curve; tied scores count a half, or with ties="strict" nothing. Null with one class only."""
     by = by or []
     counts = df.groupBy(*by, score).agg(F.count_if(F.col(positive)).alias("p"), F.count_if(~F.col(positive)).alias("q"))
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    below = counts.withColumn("below", F.coalesce(F.sum("q").over(w), F.lit(0)))
+    below = _before(counts, score, {"q": "below"}, by)
     won = F.col("p") * (F.col("below") + (F.col("q") / 2 if ties == "mid" else F.lit(0)))
     return below.groupBy(*by).agg(rounded(F.try_divide(F.sum(won).cast("double"), (F.sum("p") * F.sum("q")).cast("double"))).alias("auc"), F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
 

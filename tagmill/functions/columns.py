@@ -95,3 +95,15 @@ def unit(v: Column | str) -> Column:
     """v over its length; a zero vector stays."""
     n = norm(v)
     return F.when(n > 0, F.transform(col(v), lambda x: x / n)).otherwise(col(v))
+
+
+def percent(part: Column | str, whole: Column | str, digits: int = 1) -> Column:
+    """A share as text, such as " 12.5%"; dashes where the whole is 0 or null."""
+    share = F.try_divide(col(part).cast("double") * 100, col(whole).cast("double"))
+    shown = F.when(share.isNotNull(), F.format_string(f"%{digits + 4}.{digits}f%%", share))
+    return F.coalesce(shown, F.lit("--".center(digits + 5)))
+
+
+def signed(value: Column | str, digits: int = 3) -> Column:
+    """A number with its sign as text; null stays."""
+    return F.when(col(value).isNotNull(), F.format_string(f"%+.{digits}f", col(value).cast("double")))

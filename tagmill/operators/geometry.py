@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions.columns import dot, norm, rounded, shuffle_key, unit
+from tagmill.functions.working import checkpointed
 
 
 def mean_vectors(rows: DataFrame, by: list[str], least: int = 1) -> DataFrame:
@@ -15,6 +18,16 @@ def mean_vectors(rows: DataFrame, by: list[str], least: int = 1) -> DataFrame:
     return parts.where(F.col("n") >= least).groupBy(*by).agg(back.alias("v"), F.max("n").alias("n"))
 
 
+def cell_table(tagged: DataFrame, least: int) -> DataFrame:
+    """tradition, concept, chunk_id, n: the rows of each cell of `least` rows or more; counts first, so cells may be of any size.
+
+    Rows without a tradition are a cell of their own for each concept.
+    """
+    sizes = tagged.groupBy(F.col("tradition").alias("t_"), F.col("concept").alias("c_")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    same = F.col("tradition").eqNullSafe(F.col("t_")) & F.col("concept").eqNullSafe(F.col("c_"))
+    return tagged.join(sizes, same).select("tradition", "concept", "chunk_id", "n")
+
+
 def directions(cells: DataFrame, least: int) -> DataFrame:
     """tradition, concept, v: a cell's mean less its tradition's, of unit length; zero ones are dropped."""
     base = mean_vectors(cells, ["tradition"]).select("tradition", F.col("v").alias("base"))
@@ -89,15 +102,30 @@ def derived_panels(scores: DataFrame, floor: float, top_k: int) -> DataFrame:
     tradition uses up its turn; the first concept keeps a partner; picking stops after the round that reaches
     2 top_k partners.
     """
-    good = scores.where(F.col("score") >= floor)
     w = Window.partitionBy("via").orderBy(F.desc("score"), "chunk")
-    ranked = good.select("via", F.col("chunk").alias("partner"), F.col("tradition").alias("tp"), F.row_number().over(w).alias("round"))
-    met = good.select("via", F.col("chunk").alias("anchor"), F.col("tradition").alias("ta")).join(ranked, "via").where("ta <> tp")
-    first = met.groupBy("anchor", "partner").agg(F.min(F.struct("round", "via")).alias("x")).select("anchor", "partner", "x.*")
-    rounds = first.groupBy("anchor", "round").agg(F.count("*").alias("c"))
-    before = F.sum("c").over(Window.partitionBy("anchor").orderBy("round").rowsBetween(Window.unboundedPreceding, -1))
-    open_ = rounds.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < 2 * top_k)
-    return first.join(open_.select("anchor", "round"), ["anchor", "round"]).select("anchor", "partner", "via", "round")
+    good = checkpointed(scores.where(F.col("score") >= floor).withColumn("round", F.row_number().over(w)))
+    lengths = good.groupBy("via").agg(F.count("*").alias("length"))
+    anchors = good.select("via", F.col("chunk").alias("anchor"), F.col("tradition").alias("ta"))
+    ranked = good.select("via", F.col("chunk").alias("partner"), F.col("tradition").alias("tp"), "round")
+    whole = Window.partitionBy("anchor")
+    upto = whole.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
+    # few rounds are enough for most anchors, so only the heads of the lists meet; the others look further down
+    done, depth = [], 4 * top_k
+    while True:
+        met = anchors.join(ranked.where(F.col("round") <= depth), "via").where("ta <> tp")
+        first = met.groupBy("anchor", "partner").agg(F.min(F.struct("round", "via")).alias("x")).select("anchor", "partner", "x.*")
+        rounds = first.groupBy("anchor", "round").agg(F.count("*").alias("c"))
+        rounds = rounds.withColumns({"before": F.coalesce(F.sum("c").over(upto), F.lit(0)), "total": F.sum("c").over(whole)})
+        open_ = rounds.where(F.col("before") < 2 * top_k).select("anchor", "round", (F.col("total") < 2 * top_k).alias("short"))
+        longest = anchors.join(F.broadcast(lengths), "via").groupBy("anchor").agg(F.max("length").alias("length"))  # one row for each concept
+        some = checkpointed(first.join(open_, ["anchor", "round"]).join(longest, "anchor"))
+        more = F.col("short") & (F.col("length") > depth)
+        done.append(some.where(~more).select("anchor", "partner", "via", "round"))
+        met_none = longest.where(F.col("length") > depth).join(some.where(~more).select("anchor").distinct(), "anchor", "left_anti").select("anchor")
+        left = checkpointed(met_none)
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        anchors, depth = anchors.join(left, "anchor", "left_semi"), 8 * depth
 
 
 def gold_metrics(scored: DataFrame) -> DataFrame:

@@ -128,3 +128,41 @@ def dedupe_queries(queries: DataFrame, order: str) -> DataFrame:
 def exclude_frozen(queries: DataFrame, frozen: DataFrame) -> DataFrame:
     """Queries whose work is not frozen."""
     return queries.join(frozen.select("work").distinct(), "work", "left_anti")
+
+
+#: Words of the runs by which texts that may hold an item are found.
+RUN = 4
+
+
+def _runs(text: str) -> Column:
+    """The distinct runs of RUN words between spaces."""
+    words = F.split(F.col(text), " ", -1)
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - RUN + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, RUN), " "))))
+
+
+def containments(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """item_id, n_leaks: in how many rows of docs (doc_id, text) an item's text stands, wherever it begins.
+
+    A text that holds an item holds the item's inner words as whole words. So an item of RUN + 2 words or more is
+    looked for only in the texts that share its rarest inner run of words, and is then compared as it is. Shorter
+    items are compared with all texts, in blocks.
+    """
+    inner = F.size(F.split("item", " ", -1)) - 2
+    named = items.select("item_id", F.col("text").alias("item")).where("item IS NOT NULL")
+    cut = F.array_join(F.slice(F.split("item", " ", -1), 2, F.greatest(inner, F.lit(1))), " ")
+    long = named.where(inner >= RUN).withColumn("inner", cut)
+    gram = long.select("item_id", "item", F.explode(_runs("inner")).alias("run"))
+    # texts are read twice, but only runs that an item has too leave the scan's partial counts
+    enough = F.size(F.split("text", " ", -1)) >= RUN + 2
+    seen = docs.where(enough).select("doc_id", F.explode(_runs("text")).alias("run")).join(gram.select("run").distinct(), "run", "left_semi")
+    times = seen.groupBy("run").agg(F.count("*").alias("times"))
+    rarest = gram.join(times, "run").groupBy("item_id").agg(F.count("*").alias("known"), F.min(F.struct("times", "run")).alias("x"))
+    # a text with the item has all of its runs, so an item with a run that no text has is in none
+    all_runs = long.select("item_id", F.size(_runs("inner")).alias("runs"))
+    rarest = rarest.join(all_runs, "item_id").where("known = runs").select("item_id", F.col("x.run").alias("run"))
+    meet = seen.join(rarest, "run").select("doc_id", "item_id").distinct()
+    found = meet.join(long.select("item_id", "item"), "item_id").join(docs, "doc_id").where(F.contains(F.col("text"), F.col("item"))).select("item_id")
+    # short items: every text against all of them, as a nested loop over blocks of both
+    brief = named.where(inner < RUN).select("item_id", "item").join(docs.select("text"), F.contains(F.col("text"), F.col("item"))).select("item_id")
+    counts = found.union(brief).groupBy("item_id").agg(F.count("*").alias("n_leaks"))
+    return items.select("item_id").join(counts, "item_id", "left").na.fill(0, ["n_leaks"])

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagmill.functions.columns import dot, pair_key, unit, wilson_lower
+from tagmill.functions.columns import dot, pair_key, shuffle_key, unit, wilson_lower
+from tagmill.functions.working import checkpointed
+from tagmill.operators.tagging import hash_ranked
 
 #: Vectors of a block; two blocks meet in one task as one matrix product.
 BLOCK = 2048
-#: How many of the pairs of one block a greedy fill looks at, beside a floor: max(POOL m, m + 64) for quota m.
-POOL = 8
+#: Bins of similarity from -1 to 1 in histograms of pairs, and blocks whose ranges of bins go to all tasks.
+BINS = 4096
+MOST_BLOCKS = 200_000
+#: Times its quota that a greedy fill looks at first in a block.
+POOL = 4
 
 
 def _matrix(col: pa.ChunkedArray) -> np.ndarray:
@@ -21,22 +28,27 @@ def _matrix(col: pa.ChunkedArray) -> np.ndarray:
     return np.asarray(col.flatten()).reshape(len(col), -1) if len(col) else np.empty((0, 0))
 
 
-def _meet(vectors: DataFrame, compare, schema: str) -> DataFrame:
-    """Apply compare(left block, right block) to every pair of blocks; a stated set against all rows, in blocks."""
-    n = max(1, -(-vectors.count() // BLOCK))
-    own = F.pmod(F.xxhash64("vec_id"), F.lit(n))
-    rows = vectors.select("vec_id", "tradition", unit("v").alias("v"), own.alias("own"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    left = rows.withColumnRenamed("own", "x").withColumn("y", every)
+def _meet(vectors: DataFrame, compare, schema: str, asks: Column | None = None, part: str = "tradition") -> DataFrame:
+    """Apply compare(left block, right block) to every pair of blocks; a stated set against all rows, in blocks.
+
+    Only vectors where `asks` holds stand on the left; `part` is the column that goes along as `part`.
+    """
+    rows = vectors.select("vec_id", "tradition", F.col(part).alias("part"), unit("v").alias("v"), (F.lit(True) if asks is None else asks).alias("asks"))
+    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("m")).first()
+    n, m = (max(1, -(-x // BLOCK)) for x in (sizes["n"], sizes["m"]))
+    own = lambda k: F.pmod(F.xxhash64("vec_id"), F.lit(k).cast("long"))
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+    left = rows.where("asks").drop("asks").withColumn("x", own(m)).withColumn("y", every(n))
     # names of their own: both sides stem from one table
-    right = rows.select(F.col("vec_id").alias("id2"), F.col("tradition").alias("t2"), F.col("v").alias("v2"), F.col("own").alias("y2")).withColumn("x2", every)
+    right = rows.select(F.col("vec_id").alias("id2"), F.col("tradition").alias("t2"), F.col("part").alias("part2"), F.col("v").alias("v2"), own(n).alias("y2")).withColumn("x2", every(m))
     return left.groupBy("x", "y").cogroup(right.groupBy("x2", "y2")).applyInArrow(compare, schema)
 
 
-def neighbours(vectors: DataFrame, k: int, floor: float | None = None) -> DataFrame:
+def neighbours(vectors: DataFrame, k: int, floor: float | None = None, asks: Column | None = None) -> DataFrame:
     """i, j, sim, rank: for each vector its k most similar ones of other traditions, by cosine, then id.
 
-    Each pair of blocks is one matrix product that keeps k for each vector; the blocks' best are ranked.
+    Each pair of blocks is one matrix product that keeps k for each vector; the blocks' best are ranked. Only
+    vectors where `asks` holds are queries.
     """
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -53,25 +65,106 @@ def neighbours(vectors: DataFrame, k: int, floor: float | None = None) -> DataFr
         at = np.argwhere((sim >= last[:, None]) & (sim > -np.inf))
         return pa.table([pa.array(a[at[:, 0]]), pa.array(b[at[:, 1]]), pa.array(sim[at[:, 0], at[:, 1]])], ["i", "j", "sim"])
 
-    found = _meet(vectors, compare, "i long, j long, sim double")
+    found = _meet(vectors, compare, "i long, j long, sim double", asks)
     w = Window.partitionBy("i").orderBy(F.desc("sim"), "j")
     ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked if floor is None else ranked.where(F.col("sim") >= floor)
 
 
-def all_pairs(vectors: DataFrame) -> DataFrame:
-    """a, b, sim of all unordered pairs of different traditions, for statistics over whole blocks of pairs."""
+def _pairs_of(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of two blocks: ids of both ends and similarity of each pair of different traditions with a < b, its block, and the blocks' names."""
+    a, b = np.asarray(left.column("vec_id")), np.asarray(right.column("id2"))
+    ta, tb = (np.array(x.to_pylist(), object) for x in (left.column("tradition"), right.column("t2")))
+    sim = _matrix(left.column("v")) @ _matrix(right.column("v2")).T
+    at = np.argwhere((a[:, None] < b[None, :]) & (ta[:, None] != tb[None, :]))
+    pa_, ia = np.unique(np.array(left.column("part").to_pylist(), str), return_inverse=True)
+    pb_, ib = np.unique(np.array(right.column("part2").to_pylist(), str), return_inverse=True)
+    names = np.array([[f"{min(x, y)}|{max(x, y)}" for y in pb_] for x in pa_], object).ravel()
+    # the same block may stand there from both sides
+    names, same = np.unique(names.astype(str), return_inverse=True)
+    code = same[ia[at[:, 0]] * len(pb_) + ib[at[:, 1]]]
+    return a[at[:, 0]], b[at[:, 1]], sim[at[:, 0], at[:, 1]], code, names
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+
+def sim_bin(sim: np.ndarray) -> np.ndarray:
+    """The bin of a similarity, 0 to BINS - 1."""
+    return np.clip(np.floor((sim + 1) * (BINS / 2)).astype(np.int64), 0, BINS - 1)
+
+
+def pair_histogram(vectors: DataFrame, part: str) -> DataFrame:
+    """block, bin, n: how many pairs of each block (pair of parts of different traditions) lie in each bin of similarity."""
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], pa.string()), pa.array([], pa.int32()), pa.array([], pa.int64())], ["block", "bin", "n"])
+        _, _, sim, code, names = _pairs_of(left, right)
+        key, n = np.unique(code * BINS + sim_bin(sim), return_counts=True)
+        return pa.table([pa.array(names[key // BINS].tolist(), pa.string()), pa.array((key % BINS).astype(np.int32)), pa.array(n)], ["block", "bin", "n"])
+
+    return _meet(vectors, count, "block string, bin int, n long", part=part).groupBy("block", "bin").agg(F.sum("n").alias("n"))
+
+
+def pairs_between(vectors: DataFrame, part: str, ranges: DataFrame) -> DataFrame:
+    """a, b, sim, block of the pairs whose bin lies in their block's range; ranges: block, least, most.
+
+    The pairs are compared again and only those of the ranges leave their task. The ranges go to all tasks if
+    they are at most MOST_BLOCKS; more of them are joined with all pairs instead.
+    """
+    some = ranges.select("block", "least", "most").limit(MOST_BLOCKS + 1).toPandas()
+    within = {b: (x, y) for b, x, y in zip(some["block"], some["least"].tolist(), some["most"].tolist(), strict=True)} if len(some) <= MOST_BLOCKS else None
+    wanted = vectors.sparkSession.sparkContext.broadcast(within)
+
+    def pick(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = {"a": pa.int64(), "b": pa.int64(), "sim": pa.float64(), "block": pa.string()}
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], k) for k in kinds.values()], list(kinds))
+        a, b, sim, code, names = _pairs_of(left, right)
+        if wanted.value is not None:
+            limits = np.array([wanted.value.get(n, (BINS, -1)) for n in names.tolist()]).reshape(-1, 2)
+            at = sim_bin(sim)
+            keep = (at >= limits[code, 0]) & (at <= limits[code, 1])
+            a, b, sim, code = a[keep], b[keep], sim[keep], code[keep]
+        return pa.table([pa.array(a), pa.array(b), pa.array(sim), pa.array(names[code].tolist(), pa.string())], list(kinds))
+
+    found = _meet(vectors, pick, "a long, b long, sim double, block string", part=part)
+    if within is not None:
+        return found
+    bin_ = F.least(F.greatest(F.floor((F.col("sim") + 1) * (BINS / 2)), F.lit(0)), F.lit(BINS - 1))
+    return found.join(ranges.select("block", "least", "most"), "block").where((bin_ >= F.col("least")) & (bin_ <= F.col("most"))).drop("least", "most")
+
+
+def block_floors(vectors: DataFrame, part: str, share: float) -> DataFrame:
+    """block, floor, n, eligible: the exact quantile `share` of each block's similarities, interpolated, and how many reach it.
+
+    Histograms tell in which bins the quantile's neighbours lie; only the pairs of these bins are ranked.
+    """
+    histogram = checkpointed(pair_histogram(vectors, part))
+    w = Window.partitionBy("block")  # at most BINS rows
+    upto = histogram.withColumns({"upto": F.sum("n").over(w.orderBy("bin")), "total": F.sum("n").over(w)})
+    upto = upto.withColumn("place", F.lit(share) * (F.col("total") - 1))
+    near = upto.where((F.col("upto") > F.floor("place")) & (F.col("upto") - F.col("n") <= F.floor("place") + 1))
+    # one bin more below, for values that reach the floor but for rounding
+    ranges = near.groupBy("block").agg((F.min("bin") - 1).alias("least"), F.max("bin").alias("most"), F.first("place").alias("place"), F.first("total").alias("n"))
+    counted = histogram.withColumnRenamed("n", "c").join(ranges, "block")
+    outside = [F.sum(F.when(test, F.col("c")).otherwise(0)).alias(n) for n, test in (("below", F.expr("bin < least")), ("above", F.expr("bin > most")))]
+    ranges = checkpointed(counted.groupBy("block", "least", "most", "place", "n").agg(*outside))
+    inside = pairs_between(vectors, part, ranges).join(ranges.select("block", "place", "n", "below", "above"), "block")
+    place = F.row_number().over(Window.partitionBy("block").orderBy("sim")) + F.col("below") - 1
+    inside = checkpointed(inside.withColumn("at", place))
+    low, part_ = F.floor("place"), F.col("place") - F.floor("place")
+    ends = inside.groupBy("block").agg(F.max(F.when(F.col("at") == low, F.col("sim"))).alias("x"), F.max(F.when(F.col("at") == low + 1, F.col("sim"))).alias("y"), F.first("place").alias("place"))
+    floors = ends.select("block", (F.col("x") + part_ * (F.coalesce("y", "x") - F.col("x"))).alias("floor"))
+    return inside.join(floors, "block").groupBy("block").agg(F.first("floor").alias("floor"), F.first("n").alias("n"), (F.first("above") + F.count_if(F.col("sim") >= F.col("floor") - 1e-12)).alias("eligible"))
+
+
+def all_pairs(vectors: DataFrame) -> DataFrame:
+    """a, b, sim of all unordered pairs of different traditions: for small tables and for tests."""
+    def every(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["a", "b", "sim"])
-        a, b = np.asarray(left.column("vec_id")), np.asarray(right.column("id2"))
-        ta, tb = (np.array(x.to_pylist(), object) for x in (left.column("tradition"), right.column("t2")))
-        sim = _matrix(left.column("v")) @ _matrix(right.column("v2")).T
-        at = np.argwhere((a[:, None] < b[None, :]) & (ta[:, None] != tb[None, :]))
-        return pa.table([pa.array(a[at[:, 0]]), pa.array(b[at[:, 1]]), pa.array(sim[at[:, 0], at[:, 1]])], ["a", "b", "sim"])
+        return pa.table([pa.array(x) for x in _pairs_of(left, right)[:3]], ["a", "b", "sim"])
 
-    return _meet(vectors, compare, "a long, b long, sim double")
+    return _meet(vectors, every, "a long, b long, sim double")
 
 
 def unordered(ranked: DataFrame) -> DataFrame:
@@ -150,17 +243,15 @@ def work_weights(vectors: DataFrame, labels: DataFrame, shrink: float = 20.0) ->
 
 
 def greedy_fill(candidates: DataFrame, quotas: DataFrame, block: str, cap: int) -> DataFrame:
-    """a, b, sim: in each block its most similar pairs up to its quota, no vector more than `cap` times in a block.
+    """a, b, sim and the block: in each block its most similar pairs up to its quota, no vector more than `cap` times in a block.
 
-    Candidates of a block are bounded by its pool before they meet in one task: taking pairs in order needs state.
+    Taking pairs in order needs state, so a block's candidates meet in one task; fill_from bounds them.
     """
-    pool = F.greatest(F.lit(POOL) * F.col("quota"), F.col("quota") + 64)
-    w = Window.partitionBy(block).orderBy(F.desc("sim"), "a", "b")
-    short = candidates.join(F.broadcast(quotas.select(block, "quota")), block).withColumn("place", F.row_number().over(w)).where(F.col("place") <= pool)
 
     def fill(part: pd.DataFrame) -> pd.DataFrame:
         kept = []
-        for _, one in part.sort_values("place").groupby(block):
+        ordered = part.sort_values(["sim", "a", "b"], ascending=[False, True, True])
+        for name, one in ordered.groupby(block, sort=False):
             used: dict[int, int] = {}
             taken, quota = 0, int(one["quota"].iloc[0])
             for a, b, sim in zip(one["a"].tolist(), one["b"].tolist(), one["sim"].tolist()):
@@ -168,13 +259,89 @@ def greedy_fill(candidates: DataFrame, quotas: DataFrame, block: str, cap: int)
                     break
                 if used.get(a, 0) < cap and used.get(b, 0) < cap:
                     used[a], used[b] = used.get(a, 0) + 1, used.get(b, 0) + 1
-                    kept.append((a, b, sim))
+                    kept.append((a, b, sim, name))
                     taken += 1
-        return pd.DataFrame(kept, columns=["a", "b", "sim"])
+        return pd.DataFrame(kept, columns=["a", "b", "sim", block])
 
     # some blocks to a task: calls cost more than small blocks do
     bundle = F.pmod(F.xxhash64(block), F.lit(max(1, quotas.count() // 64)))
-    return short.withColumn("bundle", bundle).groupBy("bundle").applyInPandas(fill, "a long, b long, sim double")
+    short = candidates.select("a", "b", "sim", block).join(quotas.select(block, "quota"), block)
+    return short.withColumn("bundle", bundle).groupBy("bundle").applyInPandas(fill, f"a long, b long, sim double, {block} string")
+
+
+def fill_from(vectors: DataFrame, part: str, quotas: DataFrame, cap: int, floors: DataFrame | None = None, but: DataFrame | None = None) -> DataFrame:
+    """a, b, sim: greedy_fill over all pairs of each block that reach its floor and are not in `but`.
+
+    Histograms of similarity tell from which bin on a block has pairs enough for POOL times its quota; only those
+    leave their tasks. A block that they do not fill, because of the cap, is filled anew from 8 times as many,
+    and so on until its quota is met or no pair is left: the result is that of a fill over all its pairs.
+    """
+    due = checkpointed(quotas.select("block", "quota").where("quota > 0"))
+    low = due.withColumn("least_", F.lit(0)).withColumn("floor", F.lit(-2.0))
+    if floors is not None:
+        at = F.greatest(F.floor((F.col("floor") + 1) * (BINS / 2)) - 1, F.lit(0)).cast("int")
+        low = due.join(floors.select("block", "floor"), "block").withColumn("least_", at)
+    above = F.sum("n").over(Window.partitionBy("block").orderBy(F.desc("bin")))
+    histogram = checkpointed(pair_histogram(vectors, part).join(low, "block").where("bin >= least_").withColumn("above", above))
+    done, pool = [], POOL
+    while True:
+        enough = F.min(F.when(F.col("above") - F.col("n") < F.lit(pool) * F.col("quota"), F.col("bin"))).alias("least")
+        ranges = checkpointed(histogram.groupBy("block", "quota", "floor").agg(enough, F.min("bin").alias("last")).withColumn("most", F.lit(BINS - 1)))
+        found = pairs_between(vectors, part, ranges).join(ranges.select("block", "floor"), "block").where("sim >= floor")
+        found = found if but is None else found.join(but.select("a", "b"), ["a", "b"], "left_anti")
+        picked = checkpointed(greedy_fill(found, ranges, "block", cap))
+        taken = ranges.join(picked.groupBy("block").agg(F.count("*").alias("taken")), "block", "left")
+        open_ = checkpointed(taken.where((F.coalesce("taken", F.lit(0)) < F.col("quota")) & (F.col("least") > F.col("last"))).select("block"))
+        done.append(picked.join(open_, "block", "left_anti").select("a", "b", "sim"))
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        histogram, pool = histogram.join(open_, "block", "left_semi"), 8 * pool
+
+
+def placed(vectors: DataFrame, seed: str) -> DataFrame:
+    """vec_id, tradition, place (from 0, in hash order) and n."""
+    ranked = hash_ranked(vectors.select("vec_id", "tradition"), seed, "vec_id")
+    return ranked.select("vec_id", "tradition", (F.col("rank") - 1).cast("long").alias("place"), F.col("n").cast("long").alias("n"))
+
+
+def _draw(seed: str, *keys: Column | str) -> Column:
+    """A number of 32 bits from the hash of seed and keys."""
+    return F.conv(F.substring(shuffle_key(seed, *keys), 1, 8), 16, 10).cast("long")
+
+
+def drawn_pairs(vectors: DataFrame, labels: DataFrame, quota: int, draws: int, seed: str) -> DataFrame:
+    """a, b: the first `quota` of `draws` pairs of hashed places that are of different traditions and unlabelled, each once."""
+    at = checkpointed(placed(vectors, seed))
+    n = at.agg(F.max("n").alias("n"))  # one row
+    drawn = vectors.sparkSession.range(draws).withColumnRenamed("id", "r").crossJoin(F.broadcast(n))
+    drawn = drawn.select("r", (_draw(seed, F.lit("x"), "r") % F.col("n")).alias("x"), (_draw(seed, F.lit("y"), "r") % F.col("n")).alias("y"))
+    side = lambda c: at.select(F.col("place").alias(c), F.col("vec_id").alias(f"i{c}"), F.col("tradition").alias(f"t{c}"))
+    both = drawn.join(side("x"), "x").join(side("y"), "y").where("tx <> ty")
+    pairs = both.groupBy(F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b")).agg(F.min("r").alias("r"))
+    # at most `draws` rows
+    return pairs.join(labels.select("a", "b"), ["a", "b"], "left_anti").orderBy("r").limit(quota).select("a", "b")
+
+
+def scorer_pairs(vectors: DataFrame, partners: DataFrame, seed: str) -> DataFrame:
+    """i, j, stratum for every vector as a query: 15 nearest, up to 8 partners (a, b), 5 of ranks 16 to 200, 2 of all."""
+    near = checkpointed(neighbours(vectors, 200).select("i", "j", "rank"))
+    first = lambda rows, k: rows.withColumn("k_", F.row_number().over(Window.partitionBy("i").orderBy(shuffle_key(seed, "i", "j")))).where(F.col("k_") <= k).select("i", "j")
+    both = partners.selectExpr("a AS i", "b AS j").union(partners.selectExpr("b AS i", "a AS j")).distinct()
+    at = checkpointed(placed(vectors, "17"))
+    asked = at.select(F.col("vec_id").alias("i"), "n", F.explode(F.array(F.lit(0), F.lit(1))).alias("r"))
+    other = asked.select("i", (_draw(seed, "i", "r") % F.col("n")).alias("place")).join(at.select("place", F.col("vec_id").alias("j")), "place")
+    strata = [near.where("rank <= 15").select("i", "j"), first(both, 8), first(near.where("rank >= 16"), 5), other.where("i <> j").select("i", "j")]
+    named = reduce(DataFrame.union, [x.withColumn("s", F.lit(k)) for k, x in enumerate(strata)])
+    name = F.element_at(F.array(*map(F.lit, ("baseline", "edge", "hardneg", "random"))), F.min("s") + 1)
+    return named.groupBy("i", "j").agg(name.alias("stratum"))
+
+
+def starved(selected: DataFrame, vectors: DataFrame, few: int) -> DataFrame:
+    """block, n: the `few` pairs of traditions with the fewest selected pairs, none included."""
+    tr = vectors.select("vec_id", "tradition")
+    named = selected.join(tr.selectExpr("vec_id AS a", "tradition AS ta"), "a").join(tr.selectExpr("vec_id AS b", "tradition AS tb"), "b")
+    counts = named.groupBy(pair_key("ta", "tb").alias("block")).agg(F.count("*").alias("n"))
+    return part_pairs(vectors, "tradition").select("block").join(counts, "block", "left").na.fill(0, ["n"]).orderBy("n", "block").limit(few)
 
 
 def strategy_report(selected: DataFrame, vectors: DataFrame, labels: DataFrame) -> DataFrame:

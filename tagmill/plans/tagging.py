@@ -184,12 +184,8 @@ def frozen_exclusion(t: Tables) -> DataFrame:
 
 @query("SELECT b.item_id, count(d.doc_id) AS n_leaks FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY 1")
 def frozen_leakage(t: Tables) -> DataFrame:
-    """How many documents hold a frozen item's text; the frozen set is broadcast only if it is small."""
-    items = t.raw("benchmark").select("item_id", F.col("text").alias("item"))
-    size = items.agg(F.sum(F.octet_length("item").cast("long"))).first()[0] or 0
-    side = F.broadcast(items) if size < 32_000_000 else items
-    hits = t.raw("documents").select("doc_id", "text").join(side, F.contains(F.col("text"), F.col("item"))).groupBy("item_id").agg(F.count("*").alias("n_leaks"))
-    return items.select("item_id").join(hits, "item_id", "left").na.fill(0, ["n_leaks"])
+    """How many documents hold a frozen item's text."""
+    return tagging.containments(t.raw("documents").select("doc_id", "text"), t.raw("benchmark").select("item_id", "text"))
 
 
 @query("SELECT chunk_id, length(substring(body, 1, 2400)) AS n, substring(body, 1, 40) AS head FROM bodies")

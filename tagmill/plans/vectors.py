@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagmill.functions import agreement
 from tagmill.functions.columns import norm, pair_key, rounded, shuffle_key
+from tagmill.functions.working import checkpointed
 from tagmill.operators import geometry as geo
 from tagmill.operators import pairs, tagging
 from tagmill.operators import vectors as vec
@@ -66,20 +67,12 @@ def rank_sub_band(t: Tables) -> DataFrame:
 _ALLP = _SIMS | {"ap": "SELECT i AS a, j AS b, least(ti, tj) || '|' || greatest(ti, tj) AS block, sim FROM sims WHERE i < j"}
 
 
-def _blocks(t: Tables) -> DataFrame:
-    tr = t.vectors.select("vec_id", "tradition")
-    p = vec.all_pairs(t.vectors).join(tr.selectExpr("vec_id AS a", "tradition AS ta"), "a")
-    return p.join(tr.selectExpr("vec_id AS b", "tradition AS tb"), "b").withColumn("block", pair_key("ta", "tb"))
-
-
 @query(
     "SELECT block, round_even(f, 6) AS floor, count(*) AS n, count_if(sim >= f - 1e-12) AS eligible FROM ap JOIN (SELECT block, quantile_cont(sim, 0.9) AS f FROM ap GROUP BY 1) USING (block) GROUP BY 1, f",
     _ALLP,
 )
 def block_percentile_floor(t: Tables) -> DataFrame:
-    p = _blocks(t)
-    floors = p.groupBy("block").agg(F.percentile("sim", F.lit(0.9)).alias("f"))
-    return p.join(F.broadcast(floors), "block").groupBy("block").agg(rounded(F.first("f")).alias("floor"), F.count("*").alias("n"), F.count_if(F.col("sim") >= F.col("f") - 1e-12).alias("eligible"))
+    return vec.block_floors(t.vectors, "tradition", 0.9).withColumn("floor", rounded("floor"))
 
 
 @query("SELECT l.a, l.b, round_even(list_dot_product(p.v, q.v), 6) AS sim FROM vector_labels l JOIN uv p ON p.vec_id = a JOIN uv q ON q.vec_id = b", _UV)
@@ -107,7 +100,7 @@ def similarity_buckets(t: Tables) -> DataFrame:
 def query_rank(t: Tables) -> DataFrame:
     """The ten best of all vectors for a stated query set; each query its own tradition, so only itself is left out."""
     own = t.vectors.withColumn("tradition", F.concat(F.lit("v"), "vec_id"))
-    asked = vec.neighbours(own, 10).where("i % 50 = 0")
+    asked = vec.neighbours(own, 10, asks=F.col("vec_id") % 50 == 0)
     return asked.select(F.col("i").alias("q"), "j", "rank")
 
 
@@ -143,6 +136,16 @@ def strategy_eval(t: Tables) -> DataFrame:
     return vec.strategy_report(_current(t), t.vectors, t.vector_labels)
 
 
+@query(
+    """SELECT block, count(a) AS n FROM (SELECT x.tradition || '|' || y.tradition AS block FROM (SELECT DISTINCT tradition FROM vectors) x, (SELECT DISTINCT tradition FROM vectors) y WHERE x.tradition < y.tradition)
+    LEFT JOIN sb USING (block) GROUP BY 1 ORDER BY n, block LIMIT 4""",
+    _CUR | _STRAT,
+)
+def starved_blocks(t: Tables) -> DataFrame:
+    """The limit is the feature: the four pairs of traditions with the fewest selected pairs."""
+    return vec.starved(_current(t), t.vectors, 4)
+
+
 _ALLOC = _SIMS | {
     "wt": """SELECT least(p.tradition, q.tradition) || '|' || greatest(p.tradition, q.tradition) AS block, (count_if(positive) / count(*) + 0.1) * sqrt(count(*)) AS weight
         FROM vector_labels JOIN vectors p ON p.vec_id = a JOIN vectors q ON q.vec_id = b GROUP BY 1"""
@@ -170,26 +173,22 @@ def budget_alloc(t: Tables) -> DataFrame:
 
 @query()
 def select_budget(t: Tables) -> DataFrame:
-    return vec.greedy_fill(_blocks(t), _quotas(t), "block", cap=3)
+    return vec.fill_from(t.vectors, "tradition", _quotas(t), cap=3)
 
 
 @query()
 def select_hybrid(t: Tables) -> DataFrame:
     """Everyone's three nearest in any case, and the budgeted fill of the rest."""
-    sure = vec.unordered(vec.neighbours(t.vectors, 3)).select("a", "b", "sim")
-    rest = _blocks(t).join(sure, ["a", "b"], "left_anti")
-    return sure.unionByName(vec.greedy_fill(rest, _quotas(t), "block", cap=3))
+    sure = checkpointed(vec.unordered(vec.neighbours(t.vectors, 3)).select("a", "b", "sim"))
+    return sure.unionByName(vec.fill_from(t.vectors, "tradition", _quotas(t), cap=3, but=sure))
 
 
 @query()
 def select_worklevel(t: Tables) -> DataFrame:
     """Blocks of works: pairs at their block's 90th percentile or more, filled by quotas from shrunk yields that spend as much as select_current."""
-    w = t.vectors.select("vec_id", "work")
-    p = vec.all_pairs(t.vectors).join(w.selectExpr("vec_id AS a", "work AS wa"), "a").join(w.selectExpr("vec_id AS b", "work AS wb"), "b").withColumn("block", pair_key("wa", "wb"))
-    floors = p.groupBy("block").agg(F.percentile("sim", F.lit(0.9)).alias("f"))
-    good = p.join(floors, "block").where("sim >= f")
+    floors = checkpointed(vec.block_floors(t.vectors, "work", 0.9))
     quotas = vec.allocate_whole(vec.work_weights(t.vectors, t.vector_labels), _current(t).count())
-    return vec.greedy_fill(good, quotas, "block", cap=2)
+    return vec.fill_from(t.vectors, "work", quotas, cap=2, floors=floors)
 
 
 @query("SELECT DISTINCT a, b FROM (SELECT a, b FROM cur UNION ALL SELECT a, b FROM un WHERE rank <= 2)", _CUR)
@@ -211,27 +210,33 @@ def probe_arms(t: Tables) -> DataFrame:
     return pairs.probe_arms(_current(t).select("a", "b"), challenger, t.vectors.where("vec_id % 9 <> 0"), 60, "13")
 
 
-@query(
-    "SELECT a, b FROM (SELECT a, b, row_number() OVER (ORDER BY sha256('17:' || a || ':' || b)) AS r FROM ap ANTI JOIN vector_labels USING (a, b)) WHERE r <= 100",
-    _ALLP,
-)
+_DRAW = "('0x' || substr(sha256('17:' || {side} || ':' || r), 1, 8))::BIGINT"
+_RANDOM = {
+    "pl": "SELECT vec_id, tradition, row_number() OVER (ORDER BY sha256('17:' || vec_id), vec_id) - 1 AS place, count(*) OVER () AS n FROM vectors",
+    "dw": f"SELECT r, {_DRAW.format(side=chr(39) + 'x' + chr(39))} % n AS x, {_DRAW.format(side=chr(39) + 'y' + chr(39))} % n AS y FROM range(2000) t(r), (SELECT max(n) AS n FROM pl)",
+    "pr": "SELECT least(p.vec_id, q.vec_id) AS a, greatest(p.vec_id, q.vec_id) AS b, min(r) AS r FROM dw JOIN pl p ON p.place = x JOIN pl q ON q.place = y WHERE p.tradition <> q.tradition GROUP BY 1, 2",
+}
+
+
+@query("SELECT a, b FROM (SELECT *, row_number() OVER (ORDER BY r) AS k FROM pr ANTI JOIN vector_labels USING (a, b)) WHERE k <= 100", _RANDOM)
 def random_pairs(t: Tables) -> DataFrame:
-    """A hundred unlabelled pairs of different traditions in hash order."""
-    free = vec.all_pairs(t.vectors).join(t.vector_labels, ["a", "b"], "left_anti")
-    return tagging.hash_ranked(free, "17", "a", "b").where("rank <= 100").select("a", "b")
+    """The first hundred of 2,000 hashed draws of two places that are unlabelled pairs of different traditions, each once."""
+    return vec.drawn_pairs(t.vectors, t.vector_labels, 100, 2000, "17")
 
 
-_SCORER = _NN | {
-    "sp": """SELECT i, j, CASE WHEN rank <= 15 THEN 'baseline' WHEN rank <= 23 THEN 'edge' WHEN rank <= 28 THEN 'hardneg' ELSE 'random' END AS stratum FROM nn WHERE i % 10 = 0 AND rank <= 30"""
+_SCORER = _RANDOM | _SIMS | {
+    "n2": "SELECT * FROM (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS rank FROM sims) WHERE rank <= 200",
+    "ed": "SELECT i, j FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY sha256('37:' || i || ':' || j)) AS k FROM (SELECT a AS i, b AS j FROM vector_labels WHERE positive UNION SELECT b, a FROM vector_labels WHERE positive)) WHERE k <= 8",
+    "hn": "SELECT i, j FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY sha256('37:' || i || ':' || j)) AS k FROM n2 WHERE rank >= 16) WHERE k <= 5",
+    "rd": "SELECT p.vec_id AS i, q.vec_id AS j FROM pl p, range(2) t(r) JOIN pl q ON q.place = ('0x' || substr(sha256('37:' || p.vec_id || ':' || r), 1, 8))::BIGINT % p.n WHERE p.vec_id <> q.vec_id",
+    "al": "SELECT i, j, 1 AS s FROM n2 WHERE rank <= 15 UNION ALL SELECT i, j, 2 FROM ed UNION ALL SELECT i, j, 3 FROM hn UNION ALL SELECT i, j, 4 FROM rd",
 }
 
 
-@query("SELECT i, j, stratum FROM sp", _SCORER)
+@query("SELECT i, j, ['baseline', 'edge', 'hardneg', 'random'][min(s)] AS stratum FROM al GROUP BY 1, 2", _SCORER)
 def scorer_pairs(t: Tables) -> DataFrame:
-    """Query and passage pairs by stratum: at most 15, 8, 5 and 2 for each query."""
-    near = vec.neighbours(t.vectors, 50).where("i % 10 = 0 AND rank <= 30")
-    r = F.col("rank")
-    return near.select("i", "j", F.when(r <= 15, "baseline").when(r <= 23, "edge").when(r <= 28, "hardneg").otherwise("random").alias("stratum"))
+    """Query and passage pairs: the 15 nearest, up to 8 known partners, 5 drawn from ranks 16 to 200, 2 of all; the first stratum keeps a pair."""
+    return vec.scorer_pairs(t.vectors, t.vector_labels.where("positive"), "37")
 
 
 @query("SELECT a, b, positive FROM (SELECT *, row_number() OVER (PARTITION BY positive ORDER BY sha256('19:' || a || ':' || b)) AS r FROM vector_labels SEMI JOIN un USING (a, b)) WHERE r <= 40", _UN)
@@ -293,6 +298,23 @@ def expresses_cells(t: Tables) -> DataFrame:
     return cells.agg(F.count("*").alias("n")).where("n >= 2")
 
 
+@query(
+    """SELECT tradition, concept, chunk_id, n FROM (SELECT tradition_id AS tradition, target_id AS concept, source_id AS chunk_id, count(*) OVER (PARTITION BY tradition_id, target_id) AS n
+    FROM edges JOIN nodes ON id = source_id WHERE edges.type = 'EXPRESSES' AND nodes.type = 'chunk') WHERE n >= 2"""
+)
+def cell_table(t: Tables) -> DataFrame:
+    """The passages of each cell of concept and tradition that holds enough of them."""
+    chunk = t.nodes.where("type = 'chunk'").selectExpr("id AS source_id", "tradition_id AS tradition")
+    tagged = t.edges.where("type = 'EXPRESSES'").join(chunk, "source_id").selectExpr("tradition", "target_id AS concept", "source_id AS chunk_id")
+    return geo.cell_table(tagged, 2)
+
+
+@query("SELECT ta, tb, concept, verdict FROM gd WHERE verdict <> 0", _GOLD)
+def gold_kept(t: Tables) -> DataFrame:
+    """Gold pairs without the rejected ones."""
+    return _gold(t).where("verdict <> 0")
+
+
 @query("SELECT tradition, concept, pos, round_even(x, 6) AS x FROM cm WHERE n >= 5", _CELLS | _LONG)
 def cell_centroids(t: Tables) -> DataFrame:
     means = geo.mean_vectors(_cells(t), ["tradition", "concept"], 5)

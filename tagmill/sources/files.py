@@ -1,4 +1,4 @@
-"""Readers and writers of the file shapes around the tables: JSON lines, CSV, TOML passages, snapshots."""
+"""Readers of the file shapes around the tables: JSON lines and documents, CSV, TOML, vectors, snapshots."""
 
 from __future__ import annotations
 
@@ -64,13 +64,89 @@ def taxonomy(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "domain string, family string, concept_id string, definition string")
 
 
-def merged_grades(spark: SparkSession, path: str, kinds: list[str]) -> DataFrame:
-    """Grades of several JSON-lines files: the last file wins for each idx; malformed rows and unknown kinds go."""
+def concept_leaves(spark: SparkSession, path: str) -> DataFrame:
+    """concept_id ("concept." and the key) and definition of every text in a TOML of any depth; one small file."""
+
+    def leaves(tree: dict) -> Iterator[tuple[str, str]]:
+        for key, value in tree.items():
+            if isinstance(value, dict):
+                yield from leaves(value)
+            elif isinstance(value, str):
+                yield f"concept.{key}", value
+
+    text = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]).decode()
+    # a key that stands in several places keeps its last definition
+    return spark.createDataFrame(list(dict(leaves(tomllib.loads(text))).items()), "concept_id string, definition string")
+
+
+def work_map(spark: SparkSession, path: str) -> DataFrame:
+    """text_id, work: the texts of works of several texts, from a TOML's array of tables; one small file."""
+    text = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]).decode()
+    made = tomllib.loads(text)
+    rows = [(w.get("texts", w.get("members", [])), w["id"]) for w in made.get("work") or made.get("works") or []]
+    listed = spark.createDataFrame(rows, "texts array<string>, work string")
+    return listed.select(F.explode("texts").alias("text_id"), "work")
+
+
+def with_work(rows: DataFrame, works: DataFrame, text: str = "text_id") -> DataFrame:
+    """`rows` with their work; a text that no work names is a work of its own. The map is one small file."""
+    named = rows.join(F.broadcast(works.withColumnRenamed("text_id", text)), text, "left")
+    return named.withColumn("work", F.coalesce("work", text))
+
+
+def id_lines(spark: SparkSession, path: str) -> DataFrame:
+    """id: one for each line of a text that is not blank, without the space around it."""
+    return spark.read.text(path).select(F.trim("value").alias("id")).where("id <> ''")
+
+
+def split_manifest(spark: SparkSession, path: str, field: str = "splits") -> DataFrame:
+    """key, value: the entries of one object in a JSON document, such as the split of each chunk."""
+    whole = spark.read.text(path, wholetext=True)
+    made = whole.select(F.from_json(F.get_json_object("value", f"$.{field}"), "map<string,string>").alias("m"))
+    return made.select(F.explode("m").alias("key", "value"))
+
+
+def json_documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """One row for each JSON document of a glob, with `file`; names that start with "_" are left out."""
+    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    return docs.select("*", F.col("_metadata.file_name").alias("file")).where(~F.startswith("file", F.lit("_")))
+
+
+def _grades(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema("idx long, edge_type string, confidence double, justification string, broken string")
-    rows = raw.option("columnNameOfCorruptRecord", "broken").json(path).select("*", F.col("_metadata.file_name").alias("file"))
+    meta = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    # within a block of a file, ids rise with the lines
+    return raw.option("columnNameOfCorruptRecord", "broken").json(path).select("*", *meta).withColumn("line", F.monotonically_increasing_id())
+
+
+def merged_grades(spark: SparkSession, path: str, kinds: list[str]) -> DataFrame:
+    """Grades of several JSON-lines files: the last file, and in it the last line, wins for each idx.
+
+    Malformed rows and unknown kinds go; `times` says how often an idx was graded.
+    """
+    rows = _grades(spark, path)
     good = rows.where(F.col("broken").isNull() & F.col("idx").isNotNull() & F.col("edge_type").isin(*kinds))
-    w = Window.partitionBy("idx").orderBy(F.desc("file"))
-    return good.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn", "broken")
+    w = Window.partitionBy("idx")
+    last = w.orderBy(F.desc("file"), F.desc("block"), F.desc("line"))
+    ranked = good.withColumns({"rn": F.row_number().over(last), "times": F.count("*").over(w)})
+    return ranked.where("rn = 1").drop("rn", "broken", "block", "line")
+
+
+def rejected_grades(spark: SparkSession, path: str, kinds: list[str]) -> DataFrame:
+    """The rows that merged_grades leaves out, with a reason: malformed, no idx, or unknown kind."""
+    why = F.when(F.col("broken").isNotNull(), "malformed").when(F.col("idx").isNull(), "no idx").when(~F.coalesce(F.col("edge_type").isin(*kinds), F.lit(False)), "unknown kind")
+    return _grades(spark, path).withColumn("reason", why).where("reason IS NOT NULL").drop("block", "line")
+
+
+def layer_vectors(spark: SparkSession, path: str, layer: int, pooling: str) -> DataFrame:
+    """chunk_id, vec of one layer and pooling, from a table partitioned by both, so that no other is read."""
+    return spark.read.parquet(path).where((F.col("layer") == layer) & (F.col("pooling") == pooling)).select("chunk_id", "vec")
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """file, n_bytes and sha256 of the files of a glob."""
+    found = spark.read.format("binaryFile").load(path)
+    return found.select(F.col("_metadata.file_name").alias("file"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def decoded_vectors(blobs: DataFrame, dim: int) -> DataFrame:
@@ -85,27 +161,3 @@ def decoded_vectors(blobs: DataFrame, dim: int) -> DataFrame:
             yield pd.DataFrame({"chunk_id": rows["chunk_id"], "v": pd.Series(np.divide(v, n, out=v.copy(), where=n > 0).tolist(), index=rows.index, dtype=object)})
 
     return blobs.select("chunk_id", "vector").mapInPandas(run, "chunk_id string, v array<double>")
-
-
-def write_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
-
-
-def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").option("sep", "\t").option("header", True).csv(path)
-
-
-def guarded(path: str, live: str) -> str:
-    """`path`, or an error if it is the live snapshot or lies inside it."""
-    a, b = path.rstrip("/") + "/", live.rstrip("/") + "/"
-    if a.startswith(b):
-        raise ValueError(f"{path} is inside the live data")
-    return path
-
-
-def frozen(report: DataFrame, df: DataFrame, path: str) -> None:
-    """Write `df` once, if its one-row completeness report allows it."""
-    row = report.first()
-    if not row["may_freeze"]:
-        raise ValueError(f"not complete: {row.asDict()}")
-    df.write.mode("errorifexists").parquet(path)

@@ -572,6 +572,51 @@ def test_ann_recall_and_scores(spark):
     assert ann.neighbours_report(df.where("vec_id < 0")).count() == 0
 
 
+def _recall(spark, v, every=20, share=1.0):
+    """Share of true nearest ten found; the rerank looks at RERANK candidates only."""
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in _rows(ann.search(df, F.col("vec_id") % every == 0)):
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    hits = wanted = 0
+    for q in range(0, len(v), every):
+        d = ann.exact_distances(v, v[q])
+        best = [i for i in np.lexsort((np.arange(len(v)), d)) if i != q][:10]
+        mine = [i for _, i, _ in sorted(got[q])]
+        assert len(set(mine)) == 10 and q not in mine
+        assert all(s == pytest.approx(d[i], rel=1e-9) for _, i, s in got[q])
+        hits, wanted = hits + len(set(mine) & set(best)), wanted + 10
+    return hits / wanted
+
+
+def test_ann_recall_on_clusters_with_a_small_rerank(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 32))
+    v = centres[rng.integers(60, size=6000)] + 0.1 * rng.normal(size=(6000, 32))
+    assert ann.RERANK <= 100 and _recall(spark, v, 50) >= 0.9
+
+
+def test_ann_with_huge_and_tiny_vectors(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(900, 16))
+    v[0] *= 1e200
+    v[20] *= 1e-200
+    v[41] *= 1e200
+    v[42] *= 1e-200
+    assert _recall(spark, v) >= 0.98
+
+
+def test_ann_of_repeated_keys(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(60, 8))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(7, v[7].tolist())] * 30 + [(8, v[0].tolist())]
+    got = _rows(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0))
+    for q in range(0, 60, 10):
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [r for r, _, _ in mine] == list(range(1, 11)) and len({i for _, i, _ in mine}) == 10
+    assert min((r.score, r.vec_id) for r in got if r.query_id == 0) == (0.0, 8)
+
+
 def test_beam_search_is_no_worse_than_greedy():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 8)).astype(np.float32)

@@ -18,6 +18,9 @@ from tagmill.llm.common import SLICE_BYTES, fresh, plus, text_column, text_slice
 from tagmill.llm.wordhash import mix64
 
 DIMENSIONS = 1024
+#: Texts that are bundled together, and distinct trigrams of a language that a training task holds, at most.
+MOST_TEXTS = 1024
+MOST_GRAMS = 500_000
 _CODES = 0x110000
 _letter: dict[str, np.ndarray] = {}
 
@@ -74,32 +77,78 @@ def grams_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return grams[middle], owner[1:-1][middle], has
 
 
+def slices(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Pieces of texts of bounded size: the texts from a to b, their trigrams, each one's text after a, and who has letters.
+
+    A longer text comes in several pieces that together have its trigrams.
+    """
+    for a, b in text_slices(bounds, SLICE_BYTES):
+        for x in range(a, b, MOST_TEXTS):
+            y = min(x + MOST_TEXTS, b)
+            part, inner = data[bounds[x] : bounds[y]], bounds[x : y + 1] - bounds[x]
+            if len(part) <= 2 * SLICE_BYTES:
+                yield x, y, *grams_of(part, inner)
+                continue
+            # one long text: cut between code points, with a neighbour on either side for the trigrams at the cut
+            begins = np.flatnonzero((part & 0xC0) != 0x80)
+            edges = [*range(0, len(begins), SLICE_BYTES // 2), len(begins)]
+            place = np.r_[begins, len(part)]
+            for u, v in zip(edges[:-1], edges[1:]):
+                left, right = max(u - 1, 0), min(v + 1, len(begins))
+                piece = part[place[left] : place[right]]
+                code = letter_table()[np.frombuffer(piece.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)]
+                grams, owner, has = grams_of(piece, np.array([0, len(piece)]))
+                skip, stop = int(left < u and code[0] > 0), len(grams) - int(right > v and code[-1] > 0)
+                yield x, y, grams[skip:stop], owner[skip:stop], has
+
+
+def bundle(grams: np.ndarray, owner: np.ndarray, texts: int, dimensions: int) -> np.ndarray:
+    """The sum of the trigrams' vectors of each text; whole numbers, so the order of summing does not matter."""
+    distinct, back = np.unique(grams, return_inverse=True)
+    out = np.zeros((texts, dimensions))
+    order = np.argsort(back, kind="stable")
+    back, owner = back[order], owner[order]
+    for x in range(0, len(distinct), 4096):
+        u, v = np.searchsorted(back, [x, x + 4096])
+        width = min(4096, len(distinct) - x)
+        counts = np.bincount(owner[u:v] * width + back[u:v] - x, minlength=texts * width).reshape(texts, width)
+        out += counts.astype(np.float32) @ gram_vectors(distinct[x : x + 4096], dimensions)
+    return out
+
+
 def _train(rows: DataFrame, text: str, lang: str, dimensions: int) -> dict[str, np.ndarray]:
     """Prototypes: trigram counts in tasks, bundled to one vector for each task and language, then summed."""
 
-    def bundled(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         grams, back = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
         return grams, np.bincount(back, weights=np.concatenate([n for _, n in parts]), minlength=len(grams))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        sums: dict[str, np.ndarray] = {}
+
+        def add(k: str) -> None:
+            grams, n = merged(counts.pop(k))
+            v = sums.setdefault(k, np.zeros(dimensions))
+            for x in range(0, len(grams), 4096):
+                v += n[x : x + 4096] @ gram_vectors(grams[x : x + 4096], dimensions)
+
         for batch in batches:
             data, bounds = text_column(batch, text)
             langs = np.array(batch.column(lang).to_pylist(), object)
-            for a, b in text_slices(bounds, SLICE_BYTES):
-                grams, owner, _ = grams_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+            for a, b, grams, owner, _ in slices(data, bounds):
                 names, which = np.unique(langs[a:b].astype(str), return_inverse=True)
                 for i, k in enumerate(names.tolist()):
                     parts = counts.setdefault(k, [])
                     parts.append(np.unique(grams[which[owner] == i], return_counts=True))
                     if len(parts) > 16:
-                        counts[k] = [bundled(parts)]
+                        counts[k] = [merged(parts)]
+                        if len(counts[k][0][0]) > MOST_GRAMS:
+                            add(k)
+        for k in list(counts):
+            add(k)
         at = np.arange(dimensions, dtype=np.int32)
-        for k, parts in counts.items():
-            grams, n = bundled(parts)
-            v = np.zeros(dimensions)
-            for x in range(0, len(grams), 4096):
-                v += n[x : x + 4096] @ gram_vectors(grams[x : x + 4096], dimensions)
+        for k, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([k] * dimensions), pa.array(at), pa.array(v.astype(np.int64))], ["lang", "at", "v"])
 
     parts = rows.select(text, lang).mapInArrow(run, "lang string, at int, v long")
@@ -128,33 +177,41 @@ def identify(
     """
     learned = _train(docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull()), text, lang, dimensions)
     names = list(learned)
-    protos = np.array([learned[k] for k in names]).reshape(-1, dimensions).astype(np.float32)
+    protos = np.array([learned[k] for k in names]).reshape(-1, dimensions)
     wanted = ["lang_pred", "score", "claim_score"] if claims else ["lang_pred", "score"]
     new = [fresh(c, docs.columns) for c in wanted]
     schema = plus(docs.schema, **dict(zip(new, ("string", "double", "double"))))
     place = {k: i for i, k in enumerate(names)}
 
+    def told(batch: pa.RecordBatch, at: tuple[int, int], vectors: np.ndarray, has: np.ndarray) -> pa.RecordBatch:
+        part, n = batch.slice(at[0], at[1] - at[0]), at[1] - at[0]
+        best, score, cosine = np.zeros(n, np.int64), np.zeros(n), np.zeros((n, len(names)))
+        if names:
+            cosine = vectors @ protos.T / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
+            best = cosine.argmax(axis=1)
+            score = np.clip(cosine[np.arange(n), best], 0, 1)
+        known = has & bool(names)
+        pred = pa.array([names[i] if k else "und" for i, k in zip(best.tolist(), known.tolist(), strict=True)], pa.string())
+        cols = [pred, pa.array(np.where(known, score, 0.0))]
+        if claims:
+            own = [place.get(x) for x in part.column(lang).to_pylist()]
+            cols.append(pa.array([None if k is None else float(cosine[i, k]) for i, k in enumerate(own)], pa.float64()))
+        return pa.RecordBatch.from_arrays([*part.columns, *cols], [*part.schema.names, *new])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = text_column(batch, text)
-            for a, b in text_slices(bounds, SLICE_BYTES):
-                part = batch.slice(a, b - a)
-                grams, owner, has = grams_of(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                best, score, cosine = np.zeros(b - a, np.int64), np.zeros(b - a), np.zeros((b - a, len(names)))
-                if names and len(grams):
-                    distinct, back = np.unique(grams, return_inverse=True)
-                    counts = np.bincount(owner * len(distinct) + back, minlength=(b - a) * len(distinct))
-                    vectors = counts.reshape(b - a, -1).astype(np.float32) @ gram_vectors(distinct, dimensions)
-                    cosine = vectors @ protos.T / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
-                    best = cosine.argmax(axis=1)
-                    score = np.clip(cosine[np.arange(b - a), best].astype(np.float64), 0, 1)
-                known = has & bool(names)
-                pred = pa.array([names[i] if k else "und" for i, k in zip(best.tolist(), known.tolist(), strict=True)], pa.string())
-                cols = [pred, pa.array(np.where(known, score, 0.0))]
-                if claims:
-                    own = [place.get(x) for x in part.column(lang).to_pylist()]
-                    cols.append(pa.array([None if k is None else float(cosine[i, k]) for i, k in enumerate(own)], pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *cols], [*part.schema.names, *new])
+            # of a text in several pieces all but the last only add up
+            held = None
+            for a, b, grams, owner, has in slices(data, bounds):
+                vectors = bundle(grams, owner, b - a, dimensions)
+                if held is not None and held[0] == (a, b):
+                    vectors, has = held[1] + vectors, held[2] | has
+                elif held is not None:
+                    yield told(batch, *held)
+                held = (a, b), vectors, has
+            if held is not None:
+                yield told(batch, *held)
 
     return docs.mapInArrow(run, schema)
 

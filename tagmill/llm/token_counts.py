@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -15,6 +16,8 @@ from tagmill.llm.common import SLICE_BYTES, fresh, plus, text_column, text_slice
 
 #: Fixed pattern of this kind of tokenizer.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Symbols of a sequence that is merged by itself.
+LONG = 2048
 #: Distinct pre-tokens whose counts a worker remembers.
 _REMEMBER = 400_000
 
@@ -72,8 +75,73 @@ class Merges:
     def apply(self, ids: np.ndarray, sizes: np.ndarray, want_ids: bool) -> tuple[np.ndarray, np.ndarray | None]:
         """Sizes, and with want_ids the ids, of all sequences after their last merge; `sizes` are positive.
 
-        Every round applies each sequence's lowest-ranked pair, wherever it stands, in all sequences at once.
+        Every round applies each sequence's lowest-ranked pair, wherever it stands, in all sequences at once. As
+        a round costs the length of what goes on, sequences over LONG are merged by themselves.
         """
+        long = sizes > LONG
+        if not long.any():
+            return self._together(ids, sizes, want_ids)
+        ends = np.cumsum(sizes)
+        merged = {i: self.alone(ids[ends[i] - sizes[i] : ends[i]]) for i in np.flatnonzero(long).tolist()}
+        short_sizes, short = self._together(ids[~np.repeat(long, sizes)], sizes[~long], want_ids)
+        out = np.empty(len(sizes), np.int64)
+        out[~long], out[long] = short_sizes, [len(merged[i]) for i in sorted(merged)]
+        if not want_ids:
+            return out, None
+        flat = np.empty(int(out.sum()), np.int64)
+        mine = np.repeat(long, out)
+        flat[~mine], flat[mine] = short, np.concatenate([merged[i] for i in sorted(merged)])
+        return out, flat
+
+    def alone(self, ids: np.ndarray) -> np.ndarray:
+        """One sequence after its last merge, as apply() does it, in time about proportional to its length.
+
+        Places wait by the rank of the pair that starts there; a round looks only at those of the lowest rank
+        and finds new pairs only around what it merged.
+        """
+        n, ids = len(ids), ids.copy()
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, self.none)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            right = after[at]
+            there = right < n
+            rank[at] = self.none
+            rank[at[there]] = self.ranked.find(ids[at[there]] << 32 | ids[right[there]])
+            at = at[rank[at] < self.none]
+            order = np.argsort(rank[at], kind="stable")
+            at = at[order]
+            cut = np.flatnonzero(np.diff(rank[at])) + 1
+            for part in np.split(at, cut) if len(at) else []:
+                r = int(rank[part[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(part)
+
+        look(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            # in a run such as "aaaa" every second place merges, from the left
+            head = np.r_[True, at[1:] != after[at[:-1]]]
+            at = at[(np.arange(len(at)) - np.flatnonzero(head)[np.cumsum(head) - 1]) % 2 == 0]
+            gone = after[at]
+            ids[at] = self.made[r]
+            rank[gone], ids[gone] = self.none, -1
+            after[at] = after[gone]
+            inner = after[at] < n
+            before[after[at[inner]]] = at[inner]
+            left = before[at]
+            look(np.unique(np.concatenate([at, left[left >= 0]])))
+        return ids[ids >= 0]
+
+    def _together(self, ids: np.ndarray, sizes: np.ndarray, want_ids: bool) -> tuple[np.ndarray, np.ndarray | None]:
         out, seq, done = np.zeros(len(sizes), np.int64), np.arange(len(sizes)), []
         ids = ids.copy()
         while len(seq):

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -76,6 +78,35 @@ def test_op6_on_all_documents(spark, texts):
         assert (got[k].n_tokens, got[k].over_limit, got[k].n_bytes) == (n, n > 512, len((t or "").encode()))
 
 
+def test_long_words_merge_like_short_ones(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    vocab, left, right, made, _ = token_counts.read_vocabulary(path)
+    merges = token_counts.Merges(left, right, made)
+    first = np.array([vocab[c] for c in token_counts.byte_letters()], np.int64)
+    rng = np.random.default_rng(8)
+    words = [bytes(rng.choice(list(b"aaabeeinrst"), int(n)).tolist()) for n in rng.integers(1, 400, 60)] + [b"a" * 301, b"ab" * 100]
+    ids, sizes = first[np.frombuffer(b"".join(words), np.uint8)], np.array([len(w) for w in words])
+    want = merges.apply(ids, sizes, want_ids=True)
+    for limit in (0, 100):
+        monkeypatch.setattr(token_counts, "LONG", limit)
+        got = merges.apply(ids, sizes, want_ids=True)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+        assert (merges.apply(ids, sizes, want_ids=False)[0] == want[0]).all()
+
+
+def test_a_word_of_a_megabyte_takes_seconds(spark):
+    rng = np.random.default_rng(2)
+    word = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 1_000_000).tolist())
+    df = spark.createDataFrame([(0, word)], "doc_id long, text string")
+    path, began = public_tokenizers.path("byte_bpe_50k.json"), time.time()
+    n = token_counts.token_counts(df, path).first().n_tokens
+    assert n == len(tokenizers.Tokenizer.from_file(path).encode(word, add_special_tokens=False).ids)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    row = bpe_codec.encode_decode(df, path).first()
+    assert np.frombuffer(bytes(row.token_ids), "<u4").tolist() == tokenizers.Tokenizer.from_file(path).encode(word, add_special_tokens=False).ids
+    assert time.time() - began < 120
+
+
 # Encoding and decoding.
 
 
@@ -170,6 +201,69 @@ def test_language_held_out_accuracy(spark, odd, nothing):
     assert {r.lang_pred for r in _rows(language_id.identify(odd, F.lit(False)))} == {"und"}
 
 
+def _plain_language(train, text, dimensions=1024):
+    """Predicted language and cosine by the definition, letter by letter."""
+
+    def grams(t):
+        s = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in t)
+        for w in s.split():
+            w = f" {w} "
+            yield from (w[i : i + 3] for i in range(len(w) - 2))
+
+    def vector(t):
+        out = np.zeros(dimensions)
+        for g, n in Counter(grams(t)).items():
+            code = [0 if c == " " else ord(c) for c in g]
+            out += n * np.prod([np.roll(language_id.letter_vectors(np.array([c]), dimensions)[0].astype(float), i) for i, c in enumerate(code)], axis=0)
+        return out
+
+    protos = {}
+    for lang, t in train:
+        protos[lang] = protos.get(lang, 0) + vector(t)
+    v = vector(text)
+    if not np.abs(v).any():
+        return "und", 0.0
+    score, lang = min((-(v @ p) / np.linalg.norm(v) / np.linalg.norm(p), k) for k, p in protos.items())
+    return lang, max(0.0, -score)
+
+
+def test_language_equals_a_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_TEXTS", 3)
+    train = [("en", "the cat sat on the mat"), ("de", "der Hund und die Katze"), ("de", "ein Haus"), ("fr", "le chat est ici, où ça")]
+    texts = ["The dog and the house", "die Maus", "où est le chat?", "日本語 text", "123", "", "ÉTÉ est là", "a", "der der der"]
+    rows = [(i, t, k, True) for i, (k, t) in enumerate(train)] + [(10 + i, t, None, False) for i, t in enumerate(texts)]
+    out = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, learn boolean"), F.col("learn"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in _rows(out)}
+    for i, t in enumerate(texts):
+        lang, score = _plain_language(train, t)
+        assert got[10 + i][0] == lang and got[10 + i][1] == pytest.approx(score, abs=1e-6)
+
+
+def test_pieces_of_a_long_text_have_its_trigrams(monkeypatch):
+    rng = np.random.default_rng(5)
+    letters = [*"abcdé ñ-", "日", "本", "𝒳"]
+    text = "".join(rng.choice(letters, 900).tolist()).encode()
+    bounds = np.array([0, len(text)])
+    data = np.frombuffer(text, np.uint8)
+    whole = Counter(language_id.grams_of(data, bounds)[0].tolist())
+    monkeypatch.setattr(language_id, "SLICE_BYTES", 64)
+    pieces = list(language_id.slices(data, bounds))
+    assert len(pieces) > 5 and sum((Counter(p[2].tolist()) for p in pieces), Counter()) == whole
+
+
+def test_a_long_text_of_many_letters_takes_little_memory(spark):
+    rng = np.random.default_rng(7)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 1_700_000).tolist()))
+    df = spark.createDataFrame([(0, text, "zh"), (1, "a text", "en")], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in _rows(language_id.identify(df, F.lit(True)))} == {0: "zh", 1: "en"}
+    data = np.frombuffer(text.encode(), np.uint8)
+    tracemalloc.start()
+    for _, _, grams, owner, _ in language_id.slices(data, np.array([0, len(data)])):
+        language_id.bundle(grams, owner, 1, 1024)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+
+
 def test_gram_vectors_bind_permuted_letters():
     gram = np.array([ord("a") << 42 | ord("b") << 21 | ord("a")], np.uint64)
     a, b = language_id.letter_vectors(np.array([ord("a"), ord("b")]), 256)

@@ -1,11 +1,14 @@
-"""Language-model scores: a Katz back-off bigram model with Good-Turing discounts, learned from the whole corpus.
-
-Counts live in shards of hashed keys (see exchange.py). Blocks of documents ask for the training counts of their
-words, then for those of their bigrams; the shards of a context also add up, as integers, what its back-off weight
-needs: its followers by bigram count and by unigram count. So every weight is exactly
-(1 - mass of seen followers) / (1 - their unigram mass). What scoring needs is stored as a partitioned table, and
-discounts, known once all counts of counts are summed, are applied to it token by token: bigram, else weight
-times unigram, else the unknown word's share.
+"""Language-model scores: a Katz back-off trigram model with Good-Turing discounts, learned from the whole corpus.
+
+Counts live in shards (see exchange.py). Blocks of documents ask for the training counts of their words, then for
+those of their bigrams, then of their trigrams. Answers bring counts and numbers: a word is told by its letters,
+a bigram by its words' numbers, a trigram by its first bigram's and its last word's, so no two n-grams are ever
+taken for one. The shards of a context also add up, as integers, what its back-off weight needs: its followers by
+their counts at its own order and at the order below. So every weight is exactly
+(1 - mass of seen followers) / (1 - their mass at the order below). An n-gram that only one block has is settled
+there, without asking on. What scoring needs is stored as a partitioned table, and discounts, known once all counts of
+counts are summed, are applied to it token by token: trigram, else weight times bigram, else weight times
+unigram, else a share of the mass of unknown words.
 """
 
 from __future__ import annotations
@@ -14,22 +17,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import pack, pack_all, shared_dir, text_column, text_slices, unpack, unpack_all
-from tagmill.llm.exchange import cuts, in_blocks, n_blocks
+from tagmill.llm.common import pack_all, shared_dir, unpack_all
+from tagmill.llm.exchange import MOST_PARTITIONS, cuts, n_blocks
 from tagmill.llm.language_id import fold
-from tagmill.llm.wordhash import mix64, word_hashes
+from tagmill.llm.wordhash import hashes_of, lowered, mix64, word_spans
 
 #: Counts above this are not discounted.
 TRUST = 5
-START, END = np.uint64(1), np.uint64(2)
+#: The model's order.
+ORDER = 3
 #: Training tokens of a context that one shard takes; a more frequent context is dealt over several.
 CONTEXT_TOKENS = 1_000_000
 _MESSAGE = "kind int, block long, shard long, payload binary, stats array<long>"
 _FOLLOWERS = 2 * (TRUST + 1)
-_WORDS, _BIGRAMS, _STATE = 1, 2, 3
+_STATE = 0
+#: What stands for a text's start, and its end: no word holds white space.
+_START, _END = 0, 1
 
 
 def _rows(kind: int, rows: list[tuple]) -> pa.Table:
@@ -39,165 +46,325 @@ def _rows(kind: int, rows: list[tuple]) -> pa.Table:
     return pa.table(arrays, ["kind", "block", "shard", "payload", "stats"])
 
 
-class _Block:
-    """The tokens of a block: distinct ones, and for each token of each document its place and its context's."""
-
-    def __init__(self, part: pa.Table) -> None:
-        data, bounds = text_column(part, "text")
-        words, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for a, b in text_slices(bounds):
-            w, at = word_hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], lower=True)
-            words.append(w)
-            sizes.append(np.diff(at))
-        flat, n = np.concatenate(words), np.concatenate(sizes)
-        self.sizes = n + 1
-        self.ends = np.cumsum(self.sizes)
-        token = np.full(len(flat) + len(n), END)
-        token[np.arange(len(flat)) + np.repeat(np.arange(len(n)), n)] = flat
-        self.held = np.asarray(part.column("held").combine_chunks().to_numpy(zero_copy_only=False), bool)
-        self.train = np.repeat(~self.held, self.sizes)
-        self.keys, self.token = np.unique(np.r_[START, token], return_inverse=True)
-        start, self.token = self.token[0], self.token[1:]
-        self.context = np.r_[start, self.token[:-1]]
-        self.context[self.ends - self.sizes] = start
-        self.start = int(start)
-
-    def word_counts(self) -> np.ndarray:
-        counts = np.bincount(self.token[self.train], minlength=len(self.keys))
-        counts[self.start] = int((~self.held).sum())
-        return counts
-
-    def bigrams(self, totals: np.ndarray, shards: int) -> dict:
-        """Distinct bigrams by shard, context and word, the contexts of each shard, and each token's bigram."""
-        n = len(self.keys)
-        pair, back = np.unique(self.context * n + self.token, return_inverse=True)
-        counts = np.bincount(back[self.train], minlength=len(pair))
-        h, w = pair // n, pair % n
-        parts = np.clip(-(-totals // CONTEXT_TOKENS), 1, shards)
-        width = np.uint64(-(-(1 << 64) // shards))
-        home = (self.keys // width).astype(np.int64)
-        shard = (home[h] + (mix64(self.keys[w]) % parts[h].astype(np.uint64)).astype(np.int64)) % shards
-        # contexts whose followers this block must know, in all their shards
-        wanted = parts > 1
-        wanted[self.context[~self.train]] = True
-        used = np.zeros(n, bool)
-        used[self.context] = True
-        ask = np.flatnonzero(used & wanted)
-        each = np.repeat(ask, parts[ask])
-        sub = np.arange(len(each)) - np.repeat(np.cumsum(parts[ask]) - parts[ask], parts[ask])
-        ask_shard = (home[each] + sub) % shards
-        context = np.unique(np.r_[shard * n + h, ask_shard * n + each])
-        order = np.argsort(shard * n + h, kind="stable")
-        sizes = np.diff(np.r_[np.searchsorted((shard * n + h)[order], context), len(order)])
-        return {"pair": pair, "back": back, "order": order, "counts": counts, "h": h, "w": w, "context": context, "sizes": sizes, "wanted": wanted}
+def _strings(letters: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))])
 
 
-def _ask_words(shards: int):
-    def ask(part: pa.Table) -> pa.Table:
-        b = _Block(part)
-        counts = b.word_counts().astype(np.uint32)
-        at = part.column("block")[0].as_py()
-        return _rows(_WORDS, [(at, s, _two(b.keys[x:y], counts[x:y]), None) for s, x, y in cuts(b.keys, shards)])
-
-    return ask
+def _letters(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of strings, one after another, and their sizes."""
+    if not len(strings):
+        return np.empty(0, np.uint8), np.empty(0, np.int64)
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    letters = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return letters[at[0] : at[-1]], np.diff(at)
 
 
-def _two(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    return pack_all(np.diff(keys, prepend=np.uint64(0)), counts)
+def _hashes(strings: pa.Array) -> np.ndarray:
+    letters, sizes = _letters(strings)
+    ends = np.cumsum(sizes)
+    return hashes_of(letters, ends - sizes, ends)
 
 
 def _counts_of_counts(totals: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(totals, TRUST + 2), minlength=TRUST + 3)[1 : TRUST + 2].tolist()
 
 
-def _tell_words(part: pa.Table) -> pa.Table:
-    keys, counts = [], []
-    for q in part.column("payload").to_pylist():
-        k, c = unpack_all(q, "uint64", "uint32")
-        keys.append(np.cumsum(k, dtype=np.uint64))
-        counts.append(c.astype(np.int64))
-    distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(back, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
-    ends = np.cumsum([len(k) for k in keys]).tolist()
-    told = totals[back].astype(np.uint64)
-    shard = part.column("shard").to_pylist()
-    rows = [(b, s, pack(told[e - len(k) : e]), None) for b, s, k, e in zip(part.column("block").to_pylist(), shard, keys, ends, strict=True)]
-    real = totals[(distinct != START) & (totals > 0)]
-    return _rows(_WORDS, [*rows, (-1 - shard[0], shard[0], b"", [int(real.sum()), len(real), *_counts_of_counts(real)])])
-
-
-def _totals(b: _Block, shards: int, answers: pa.Table) -> np.ndarray:
-    totals = np.zeros(len(b.keys), np.int64)
-    where = {s: (x, y) for s, x, y in cuts(b.keys, shards)}
-    for kind, s, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "payload")), strict=True):
-        if kind == _WORDS:
-            x, y = where[s]
-            totals[x:y] = unpack(blob, "uint64")
-    return totals
-
-
-def _by_shard(g: dict, n: int, shards: int) -> Iterator[tuple[int, slice, slice]]:
-    """Each shard's range among contexts, and among bigrams in their order."""
-    edges = np.searchsorted(g["context"], np.arange(shards + 1) * n)
-    to = np.r_[0, np.cumsum(g["sizes"])]
-    for s, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-        if x < y:
-            yield s, slice(x, y), slice(int(to[x]), int(to[y]))
-
-
-def _ask_bigrams(shards: int):
-    def ask(part: pa.Table, answers: pa.Table) -> pa.Table:
-        if not part.num_rows:
-            return _rows(_BIGRAMS, [])
-        b = _Block(part)
-        totals = _totals(b, shards, answers)
-        g = b.bigrams(totals, shards)
-        n, at, rows = len(b.keys), part.column("block")[0].as_py(), []
-        for s, cs, bs in _by_shard(g, n, shards):
-            h, which = g["context"][cs] % n, g["order"][bs]
-            w = g["w"][which]
-            rows.append((at, s, pack_all(b.keys[h], g["sizes"][cs].astype(np.uint32), g["wanted"][h].astype(np.uint8), b.keys[w] >> np.uint64(24), g["counts"][which].astype(np.uint32), totals[w].astype(np.uint64)), None))
-        return _rows(_BIGRAMS, rows)
+# Blocks.
 
-    return ask
 
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """block, ids, held, sizes, texts: rows dealt to blocks, many in a deflated row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            block = np.asarray(batch.column("block"))
+            order = np.argsort(block, kind="stable")
+            texts = [(t or "").encode() for t in batch.column("text").take(pa.array(order)).to_pylist()]
+            ids, held = batch.column("id").take(pa.array(order)), np.asarray(batch.column("held").to_numpy(zero_copy_only=False), bool)[order]
+            at = np.r_[0, np.flatnonzero(np.diff(block[order])) + 1, len(order)] if len(order) else np.zeros(1, np.int64)
+            out = []
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                mine = ids.slice(a, b - a)
+                head = pack_all(np.asarray(mine.fill_null(0)), np.asarray(mine.is_null().to_numpy(zero_copy_only=False), np.uint8), held[a:b].astype(np.uint8), np.array([len(t) for t in texts[a:b]], np.int64))
+                out.append((int(block[order[a]]), head, z.compress(b"".join(texts[a:b]))))
+            blocks, heads, bodies = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())], ["block", "head", "body"])
+
+    named = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
+    return named.mapInArrow(run, "block long, head binary, body binary").repartition(min(n, MOST_PARTITIONS), "block")
+
+
+class _Level:
+    """The n-grams of one order in a block: each token's n-gram, and what is known of each n-gram.
+
+    of: the n-gram at each token, -1 for none. After the answers, total: training count; number: its number
+    among all; alone: whether no other block has it. For orders above 1 also, of each context, low: whether it
+    has a follower of a low count; sums: its followers' tallies.
+    """
+
+    def __init__(self, of: np.ndarray, counts: np.ndarray) -> None:
+        self.of, self.counts, self.n = of, counts, len(counts)
+        self.total = self.number = self.alone = self.low = self.sums = None
 
-def _tell_bigrams(part: pa.Table) -> pa.Table:
-    got = [unpack_all(q, "uint64", "uint32", "uint8", "uint64", "uint32", "uint64") for q in part.column("payload").to_pylist()]
-    heads = np.concatenate([np.repeat(g[0], g[1]) for g in got])
-    words, counts, unigram = (np.concatenate([g[i] for g in got]) for i in (3, 4, 5))
-    order = np.lexsort((words, heads))
-    h, w = heads[order], words[order]
-    first = np.ones(len(h), bool)
-    first[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
-    starts = np.flatnonzero(first)
-    totals = np.add.reduceat(counts[order].astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
-    told = np.empty(len(h), np.uint64)
-    told[order] = np.repeat(totals, np.diff(np.r_[starts, len(h)])).astype(np.uint64)
-    seen = totals > 0
-    of, c, u = h[starts][seen], totals[seen], unigram[order][starts][seen].astype(np.int64)
-    contexts, back = np.unique(of, return_inverse=True)
+
+class _Block:
+    """The tokens of a block, and its n-grams order by order."""
+
+    def __init__(self, part: pa.Table, shards: int) -> None:
+        z = zstandard.ZstdDecompressor()
+        heads = [unpack_all(h, "int64", "uint8", "uint8", "int64") for h in part.column("head").to_pylist()]
+        self.ids, self.null, self.held, bytes_ = (np.concatenate(x) for x in zip(*heads, strict=True))
+        data = np.frombuffer(b"".join([z.decompress(b) for b in part.column("body").to_pylist()]), np.uint8)
+        self.shards, self.at = shards, part.column("block")[0].as_py()
+        bounds = np.zeros(len(bytes_) + 1, np.int64)
+        np.cumsum(bytes_, out=bounds[1:])
+        data = lowered(data)
+        starts, ends, to = word_spans(data, bounds)
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts] += 1
+        inside[ends] -= 1
+        found = _strings(data[np.cumsum(inside[:-1]) > 0], ends - starts).dictionary_encode()
+        self.words = pa.concat_arrays([pa.array([b" ", b"\n"], pa.large_binary()), found.dictionary])
+        n = np.diff(to)
+        self.sizes, self.held = n + 1, self.held > 0
+        self.ends = np.cumsum(self.sizes)
+        token = np.full(len(starts) + len(n), _END)
+        token[np.arange(len(starts)) + np.repeat(np.arange(len(n)), n)] = np.asarray(found.indices).astype(np.int64) + 2
+        self.train = np.repeat(~self.held, self.sizes)
+        self.first = np.zeros(len(token), bool)
+        self.first[self.ends - self.sizes] = True
+        counts = np.bincount(token[self.train], minlength=len(self.words))
+        counts[_START] = int((~self.held).sum())
+        self.token, self.levels = token, [_Level(token, counts)]
+
+    # Words.
+
+    def _word_order(self) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        h = _hashes(self.words)
+        order = np.argsort(h, kind="stable")
+        return order, cuts(h[order], self.shards)
+
+    def ask_words(self) -> pa.Table:
+        order, where = self._word_order()
+        words, counts, rows = self.words.take(pa.array(order)), self.levels[0].counts[order].astype(np.uint32), []
+        for s, a, b in where:
+            letters, sizes = _letters(words.slice(a, b - a))
+            rows.append((self.at, s, pack_all(letters, sizes.astype(np.uint32), counts[a:b]), None))
+        return _rows(1, rows)
+
+    def learn_words(self, answers: dict[int, bytes]) -> None:
+        order, where = self._word_order()
+        level = self.levels[0]
+        level.total, level.number, level.alone = np.zeros(level.n, np.int64), np.zeros(level.n, np.int64), np.zeros(level.n, bool)
+        for s, a, b in where:
+            total, place, alone = unpack_all(answers[s], "uint64", "uint64", "uint8")
+            mine = order[a:b]
+            level.total[mine], level.alone[mine] = total, alone > 0
+            level.number[mine] = np.cumsum(place, dtype=np.uint64).astype(np.int64) * self.shards + s
+
+    # N-grams above words.
+
+    def grow(self) -> dict:
+        """The n-grams of the next order, and how they are dealt over the shards."""
+        below, words = self.levels[-1], self.levels[0]
+        k = len(self.levels) + 1
+        context = np.r_[-1, below.of[:-1]]
+        context[self.first] = _START if k == 2 else -1
+        there = np.flatnonzero(context >= 0)
+        # nothing follows a context that training does not have
+        there = there[below.total[context[there]] > 0]
+        pair, at, back = np.unique(context[there] * words.n + self.token[there], return_index=True, return_inverse=True)
+        of = np.full(len(self.token), -1)
+        of[there] = back
+        new = _Level(of, np.bincount(back[self.train[there]], minlength=len(pair)))
+        new.head, new.word, new.lower = pair // words.n, pair % words.n, below.total[below.of[there[at]]]
+        new.total, new.number, new.alone = np.zeros(new.n, np.int64), np.zeros(new.n, np.int64), np.zeros(new.n, bool)
+        new.low, new.sums = np.zeros(below.n, bool), np.zeros((below.n, _FOLLOWERS), np.int64)
+        self.levels.append(new)
+        # contexts that only this block has need no shard
+        mine = below.alone[new.head]
+        own = np.flatnonzero(mine)
+        tallies = _tallied(new.head[own], new.counts[own], new.lower[own])
+        new.total[own], new.alone[own] = new.counts[own], True
+        new.low[tallies[0]], new.sums[tallies[0]] = tallies[1], tallies[2]
+        ask = np.flatnonzero(~mine)
+        head_number, word_number = below.number[new.head[ask]], words.number[new.word[ask]]
+        parts = np.clip(-(-below.total // CONTEXT_TOKENS), 1, self.shards)
+        home = lambda c: (mix64(below.number[c].astype(np.uint64)) % np.uint64(self.shards)).astype(np.int64)
+        spread = (mix64(word_number.astype(np.uint64)) % parts[new.head[ask]].astype(np.uint64)).astype(np.int64)
+        shard = (home(new.head[ask]) + spread) % self.shards
+        order = np.lexsort((word_number, head_number, shard))
+        # contexts whose followers this block must know, in all their shards
+        wanted = parts > 1
+        held = context[there[~self.train[there]]]
+        wanted[held] = True
+        used = np.unique(new.head[ask])
+        full = used[wanted[used]]
+        each = np.repeat(full, parts[full])
+        sub = np.arange(len(each)) - np.repeat(np.cumsum(parts[full]) - parts[full], parts[full])
+        extra = (home(each) + sub) % self.shards
+        pairs_of = np.unique(shard * below.n + new.head[ask])
+        every = np.unique(np.r_[pairs_of, extra * below.n + each])
+        at_shard, c = every // below.n, every % below.n
+        by = np.lexsort((below.number[c], at_shard))
+        at_shard, c = at_shard[by], c[by]
+        # how many of the block's n-grams each context has in each shard
+        key, n = np.unique(shard * below.n + new.head[ask], return_counts=True)
+        place = np.searchsorted(key, at_shard * below.n + c)
+        place = np.minimum(place, max(len(key) - 1, 0))
+        sizes = np.where(key[place] == at_shard * below.n + c, n[place], 0) if len(key) else np.zeros(len(c), np.int64)
+        return {"rows": ask[order], "word": word_number[order], "shard": at_shard, "context": c, "sizes": sizes, "wanted": wanted[c], "stats": tallies[3]}
+
+    def _by_shard(self, g: dict) -> Iterator[tuple[int, slice, slice]]:
+        edges = np.searchsorted(g["shard"], np.arange(self.shards + 1))
+        to = np.r_[0, np.cumsum(g["sizes"])]
+        for s, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if x < y:
+                yield s, slice(x, y), slice(int(to[x]), int(to[y]))
+
+    def ask(self) -> pa.Table:
+        below, g = self.levels[-1], self.grow()
+        new, k, rows = self.levels[-1], len(self.levels), []
+        for s, cs, ws in self._by_shard(g):
+            which = g["rows"][ws]
+            numbers = below.number[g["context"][cs]].astype(np.uint64)
+            # followers' numbers rise within a context
+            steps = np.diff(g["word"][ws], prepend=0).astype(np.uint64)
+            payload = pack_all(
+                np.diff(numbers, prepend=np.uint64(0)), g["sizes"][cs].astype(np.uint32), g["wanted"][cs].astype(np.uint8), steps,
+                new.counts[which].astype(np.uint32), new.lower[which].astype(np.uint64),
+            )
+            rows.append((self.at, s, payload, None))
+        return _rows(k, [*rows, (-1 - self.at, 0, b"", g["stats"])])
+
+    def learn(self, answers: dict[int, bytes]) -> None:
+        g = self.grow()
+        new = self.levels[-1]
+        for s, cs, ws in self._by_shard(g):
+            total, place, alone, low, sums = unpack_all(answers[s], "uint64", "uint64", "uint8", "uint8", "uint64")
+            which, c = g["rows"][ws], g["context"][cs]
+            new.total[which], new.alone[which] = total, alone > 0
+            new.number[which] = np.cumsum(place, dtype=np.uint64).astype(np.int64) * self.shards + s
+            new.low[c] |= low > 0
+            new.sums[c[g["wanted"][cs]]] += sums.reshape(_FOLLOWERS, -1).T.astype(np.int64)
+
+
+def _tallied(head: np.ndarray, total: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Contexts, whether each has a low count, its tallies, and the counts of counts, of seen n-grams.
+
+    Tallies: how many followers have counts 1 to TRUST, the sum of higher counts; the same of the counts below.
+    """
+    seen = total > 0
+    contexts, back = np.unique(head[seen], return_inverse=True)
     sums = np.zeros((len(contexts), _FOLLOWERS), np.int64)
-    for offset, x in ((0, c), (TRUST + 1, u)):
+    for offset, x in ((0, total[seen]), (TRUST + 1, lower[seen])):
         for r in range(1, TRUST + 1):
             sums[:, offset + r - 1] = np.bincount(back[x == r], minlength=len(contexts))
         sums[:, offset + TRUST] = np.bincount(back, weights=np.where(x > TRUST, x, 0), minlength=len(contexts))
-    low = sums[:, :TRUST].any(axis=1)
-    rows, done = [], 0
-    shard = part.column("shard")[0].as_py()
-    for at, g in zip(part.column("block").to_pylist(), got, strict=True):
-        place = np.searchsorted(contexts, g[0])
-        there = place < len(contexts)
-        there[there] = contexts[place[there]] == g[0][there]
-        flag = np.zeros(len(g[0]), np.uint8)
-        flag[there] = low[place[there]]
-        asked = np.flatnonzero(g[2])
-        table = np.zeros((len(asked), _FOLLOWERS), np.uint64)
-        table[there[asked]] = sums[place[asked][there[asked]]]
-        n = len(g[3])
-        rows.append((at, shard, pack_all(told[done : done + n], flag, table.T.ravel()), None))
-        done += n
-    return _rows(_BIGRAMS, [*rows, (-1 - shard, shard, b"", _counts_of_counts(c))])
+    return contexts, sums[:, :TRUST].any(axis=1), sums, _counts_of_counts(total[seen])
+
+
+def _known(part: pa.Table, answers: pa.Table | None, shards: int, upto: int) -> _Block:
+    """The block with the answers on all orders up to `upto`."""
+    block = _Block(part, shards)
+    by: dict[int, dict[int, bytes]] = {k: {} for k in range(1, upto + 1)}
+    if answers is not None:
+        for k, s, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "payload")), strict=True):
+            by[k][s] = blob
+    for k in range(1, upto + 1):
+        block.learn_words(by[k]) if k == 1 else block.learn(by[k])
+    return block
+
+
+def _ask_words(shards: int):
+    return lambda part: _Block(part, shards).ask_words()
+
+
+def _ask(shards: int, order: int):
+    def ask(part: pa.Table, answers: pa.Table) -> pa.Table:
+        return _known(part, answers, shards, order - 1).ask() if part.num_rows else _rows(order, [])
+
+    return ask
+
+
+# Shards.
+
+
+def _tell_words(part: pa.Table) -> pa.Table:
+    words, counts = [], []
+    for q in part.column("payload").to_pylist():
+        letters, sizes, n = unpack_all(q, "uint8", "uint32", "uint32")
+        words.append(_strings(letters, sizes))
+        counts.append(n.astype(np.int64))
+    found = pa.concat_arrays(words).dictionary_encode()
+    back = np.asarray(found.indices).astype(np.int64)
+    order = np.argsort(_hashes(found.dictionary), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    totals = np.bincount(back, weights=np.concatenate(counts), minlength=len(order)).astype(np.int64)
+    alone = np.bincount(back, minlength=len(order)) == 1
+    rows, done, shard = [], 0, part.column("shard")[0].as_py()
+    for at, c in zip(part.column("block").to_pylist(), counts, strict=True):
+        mine = back[done : done + len(c)]
+        done += len(c)
+        rows.append((at, shard, pack_all(totals[mine].astype(np.uint64), np.diff(place[mine].astype(np.uint64), prepend=np.uint64(0)), alone[mine].astype(np.uint8)), None))
+    start = found.dictionary.index(pa.scalar(b" ", pa.large_binary())).as_py()
+    real = totals > 0
+    if start >= 0:
+        real[start] = False
+    real = totals[real]
+    return _rows(1, [*rows, (-1 - shard, shard, b"", [int(real.sum()), len(real), *_counts_of_counts(real)])])
+
+
+def _tell(order: int):
+    def tell(part: pa.Table) -> pa.Table:
+        shard, blocks = part.column("shard")[0].as_py(), part.column("block").to_pylist()
+        # a block's own counts of counts pass through
+        passed = [(b, s, b"", x) for b, s, x in zip(blocks, part.column("shard").to_pylist(), part.column("stats").to_pylist(), strict=True) if b < 0]
+        mine = [(b, unpack_all(q, "uint64", "uint32", "uint8", "uint64", "uint32", "uint64")) for b, q in zip(blocks, part.column("payload").to_pylist(), strict=True) if b >= 0]
+        if not mine:
+            return _rows(order, passed)
+        got = [(np.cumsum(q[0], dtype=np.uint64), q[1], q[2] > 0, np.cumsum(q[3], dtype=np.uint64), q[4], q[5]) for _, q in mine]
+        heads = np.concatenate([np.repeat(g[0], g[1]) for g in got])
+        words, counts, lower = (np.concatenate([g[i] for g in got]) for i in (3, 4, 5))
+        by = np.lexsort((words, heads))
+        h, w = heads[by], words[by]
+        first = np.ones(len(h), bool)
+        first[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
+        starts = np.flatnonzero(first)
+        runs = np.diff(np.r_[starts, len(h)])
+        totals = np.add.reduceat(counts[by].astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
+        contexts, low, sums, tally = _tallied(h[starts], totals, lower[by][starts].astype(np.int64))
+        told, place, alone = np.empty(len(h), np.uint64), np.empty(len(h), np.uint64), np.empty(len(h), np.uint8)
+        told[by] = np.repeat(totals, runs).astype(np.uint64)
+        place[by] = np.repeat(np.arange(len(starts)), runs).astype(np.uint64)
+        alone[by] = np.repeat(runs == 1, runs)
+        rows, done = [], 0
+        for (at, _), g in zip(mine, got, strict=True):
+            spot = np.searchsorted(contexts, g[0])
+            there = spot < len(contexts)
+            there[there] = contexts[spot[there]] == g[0][there]
+            flag = np.zeros(len(g[0]), np.uint8)
+            flag[there] = low[spot[there]]
+            asked = np.flatnonzero(g[2])
+            table = np.zeros((len(asked), _FOLLOWERS), np.uint64)
+            table[there[asked]] = sums[spot[asked][there[asked]]]
+            to = done + len(g[3])
+            steps = np.diff(place[done:to], prepend=np.uint64(0))
+            rows.append((at, shard, pack_all(told[done:to], steps, alone[done:to], flag, table.T.ravel()), None))
+            done = to
+        return _rows(order, [*rows, (-1 - shard, shard, b"", tally), *passed])
+
+    return tell
+
+
+# Scores.
+
+_STATE_KINDS = ("int64", "uint8", "uint8", "int64", "int64", "float64", "float64", "int64", *["int64", "uint32", "int64", "int64", "uint8", "int64", "uint8", "uint64"] * (ORDER - 1), "int64")
 
 
 def _state(shards: int):
@@ -206,54 +373,48 @@ def _state(shards: int):
     def gather(part: pa.Table, answers: pa.Table) -> pa.Table:
         if not part.num_rows:
             return answers.select(["kind", "block", "shard", "payload", "stats"])
-        b = _Block(part)
-        totals = _totals(b, shards, answers)
-        g = b.bigrams(totals, shards)
-        n = len(b.keys)
-        kinds, at, blobs = (answers.column(c).to_pylist() for c in ("kind", "shard", "payload"))
-        told = {s: blob for k, s, blob in zip(kinds, at, blobs, strict=True) if k == _BIGRAMS}
-        count, low, table = np.zeros(len(g["pair"]), np.int64), np.zeros(n, bool), np.zeros((n, _FOLLOWERS), np.uint64)
-        for s, cs, bs in _by_shard(g, n, shards):
-            h = g["context"][cs] % n
-            c, flag, sums = unpack_all(told[s], "uint64", "uint8", "uint64")
-            count[g["order"][bs]] = c
-            low[h] |= flag > 0
-            table[h[g["wanted"][h]]] += sums.reshape(_FOLLOWERS, -1).T
-        c, ch, cw = count[g["back"]], totals[b.context], totals[b.token]
+        b = _known(part, answers, shards, ORDER)
         begin = b.ends - b.sizes
         per = lambda x: np.add.reduceat(x, begin)
-        seen = c > 0
-        # a context without low counts leaves no mass: it counts one more
-        ratio = np.log10(np.maximum(c, 1)) - np.log10(np.maximum(ch + ~low[b.context], 1))
-        discounted = [per((c == r).astype(np.int64)) for r in range(1, TRUST + 1)]
-        missed = np.flatnonzero(~seen)
-        backs, local = np.unique(b.context[missed], return_inverse=True)
-        owner = np.searchsorted(b.ends, missed, side="right")
-        ids = part.column("id").combine_chunks()
-        payload = pack_all(
-            np.asarray(ids.fill_null(0)),
-            np.asarray(ids.is_null().to_numpy(zero_copy_only=False), np.uint8),
-            b.held.astype(np.uint8),
-            b.sizes,
-            per((cw > 0).astype(np.int64)),
-            per(np.log10(cw + 1.0)),
-            per(np.where(seen, ratio, 0.0)),
-            np.concatenate(discounted),
-            np.diff(np.r_[np.searchsorted(owner, np.arange(len(b.sizes))), len(owner)]),
-            local.astype(np.uint32),
-            cw[missed],
-            totals[backs],
-            low[backs].astype(np.uint8),
-            table[backs].T.ravel(),
-        )
-        return _rows(_STATE, [(part.column("block")[0].as_py(), 0, payload, None)])
+        words = b.levels[0]
+        cw = words.total[b.token]
+        ratio, discounted, missing = np.zeros(len(b.token)), [], []
+        left = np.arange(len(b.token))
+        for k in range(ORDER, 1, -1):
+            level, below = b.levels[k - 1], b.levels[k - 2]
+            of = level.of[left]
+            count = np.zeros(len(of), np.int64)
+            count[of >= 0] = level.total[of[of >= 0]]
+            # a context without low counts leaves no mass: it counts one more
+            base = np.maximum(below.total + ~level.low, 1)
+            hit = count > 0
+            at = left[hit]
+            ratio[at] = np.log10(count[hit]) - np.log10(base[level.head[of[hit]]])
+            for r in range(1, TRUST + 1):
+                full = np.zeros(len(b.token), np.int64)
+                full[at[count[hit] == r]] = 1
+                discounted.append(per(full))
+            # tokens that back off from a context that training has
+            off = left[~hit & (of >= 0)]
+            heads, local = np.unique(level.head[level.of[off]], return_inverse=True)
+            owner = np.searchsorted(b.ends, off, side="right")
+            times = np.diff(np.r_[np.searchsorted(owner, np.arange(len(b.sizes))), len(owner)])
+            # the base of the context one word shorter, by which the followers' mass below is measured
+            if k > 2:
+                shorter = below.word[heads]  # a bigram's last word
+                lower_total, lower_low = b.levels[k - 3].total[shorter], below.low[shorter]
+            else:
+                lower_total, lower_low = np.zeros(len(heads), np.int64), np.zeros(len(heads), bool)
+            missing += [times, local.astype(np.uint32), below.total[heads], np.array([len(heads)]), level.low[heads].astype(np.uint8), lower_total, lower_low.astype(np.uint8), level.sums[heads].T.ravel().astype(np.uint64)]
+            left = left[~hit]
+        owner = np.searchsorted(b.ends, left, side="right")
+        rest = np.diff(np.r_[np.searchsorted(owner, np.arange(len(b.sizes))), len(owner)])
+        payload = pack_all(b.ids, b.null, b.held.astype(np.uint8), b.sizes, per((cw > 0).astype(np.int64)), per(np.log10(cw + 1.0)), per(ratio), np.concatenate(discounted), *missing, np.r_[rest, cw[left]])
+        return _rows(_STATE, [(b.at, 0, payload, None)])
 
     return gather
 
 
-_STATE_KINDS = ("int64", "uint8", "uint8", "int64", "int64", "float64", "float64", "int64", "int64", "uint32", "int64", "int64", "uint8", "uint64")
-
-
 def discounts(n: list[int]) -> list[float]:
     """Good-Turing discount ratios of counts 1 to TRUST from the numbers of types with counts 1 to TRUST + 1.
 
@@ -272,32 +433,37 @@ def discounts(n: list[int]) -> list[float]:
     return [(r - off) / r for r in range(1, TRUST + 1)]
 
 
+def unseen_types(n: list[int]) -> float:
+    """How many words training has not seen, from the numbers of those seen once and twice; 1 at least."""
+    return max(1.0, n[0] * (n[0] - 1) / (2 * (n[1] + 1)))
+
+
 class Model:
-    """Discounts and unigram shares, from counts of counts."""
+    """Discounts of each order and unigram shares, from counts of counts."""
 
-    def __init__(self, tokens: int, types: int, unigrams: list[int], bigrams: list[int]) -> None:
+    def __init__(self, tokens: int, types: int, tallies: list[list[int]]) -> None:
         self.tokens, self.types = tokens, types
-        self.d1, self.d2 = np.array(discounts(unigrams)), np.array(discounts(bigrams))
+        self.d = [np.array(discounts(n)) for n in tallies]
         r = np.arange(1, TRUST + 1)
-        low = r * np.array(unigrams[:TRUST])
-        left = float((low * (1 - self.d1)).sum())
-        # if every word is frequent, one token more stands for the unknown word
+        low = r * np.array(tallies[0][:TRUST])
+        left = float((low * (1 - self.d[0])).sum())
+        # if every word is frequent, one token more stands for unknown words
         self.base = tokens if left > 0 else tokens + 1
-        self.unknown = (left if left > 0 else 1.0) / self.base
+        self.unknown = (left if left > 0 else 1.0) / self.base / unseen_types(tallies[0])
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
-        """The share of a word by its training count."""
-        d = np.r_[0.0, self.d1, 1.0][np.minimum(counts, TRUST + 1)]
+        """The share of a word by its training count; unknown words share what is left among those not seen."""
+        d = np.r_[0.0, self.d[0], 1.0][np.minimum(counts, TRUST + 1)]
         return np.where(counts > 0, d * counts / self.base, self.unknown)
 
-    def backoff(self, context: np.ndarray, low: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """The weights of contexts: mass left by seen followers over the unigram mass left by them."""
+    def backoff(self, order: int, context: np.ndarray, low: np.ndarray, base: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """The weights of contexts: mass left by seen followers over what they leave at the order below; base: by which that is measured."""
         r = np.arange(1, TRUST + 1)
         table = table.astype(np.float64)
-        seen = table[:, :TRUST] @ (r * self.d2) + table[:, TRUST]
-        under = table[:, TRUST + 1 : -1] @ (r * self.d1) + table[:, -1]
+        seen = table[:, :TRUST] @ (r * self.d[order - 1]) + table[:, TRUST]
+        under = table[:, TRUST + 1 : -1] @ (r * self.d[order - 2]) + table[:, -1]
         total = np.maximum(context + ~low, 1)
-        return np.where(context > 0, (total - seen) / total / np.maximum(1 - under / self.base, 1e-300), 1.0)
+        return (total - seen) / total / np.maximum(1 - under / base, 1e-300)
 
 
 def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -307,40 +473,51 @@ def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key:
     other than space and bytes 9 to 13, A-Z in lower case), then one end. A null or empty text is one end token;
     a null key counts as an empty text in the fold; repeated rows count each; an empty table gives none. If no
     row is for training, train_tokens is 0 and scores are those of a model of unknown words only. The key must
-    be an integer; other columns of `docs` are not carried.
+    be an integer; other columns of `docs` are not carried. Rows equal in key and text go to one block.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("held", fold("id", train_folds) == held_fold)
     n = n_blocks(rows, "text")
-    dealt, _ = in_blocks(rows, n, ["id", "text"])
-    by_block = dealt.groupBy("block")
-    words = by_block.applyInArrow(_ask_words(n), _MESSAGE).groupBy("shard").applyInArrow(_tell_words, _MESSAGE)
-    asked = by_block.cogroup(words.where("block >= 0").groupBy("block")).applyInArrow(_ask_bigrams(n), _MESSAGE)
-    bigrams = asked.groupBy("shard").applyInArrow(_tell_bigrams, _MESSAGE)
-    state = by_block.cogroup(words.union(bigrams).groupBy("block")).applyInArrow(_state(n), _MESSAGE)
+    by_block = _dealt(rows, n).groupBy("block")
+    told = by_block.applyInArrow(_ask_words(n), _MESSAGE).groupBy("shard").applyInArrow(_tell_words, _MESSAGE)
+    for order in range(2, ORDER + 1):
+        asked = by_block.cogroup(told.where("block >= 0").groupBy("block")).applyInArrow(_ask(n, order), _MESSAGE)
+        told = told.union(asked.groupBy("shard").applyInArrow(_tell(order), _MESSAGE))
+    state = by_block.cogroup(told.groupBy("block")).applyInArrow(_state(n), _MESSAGE)
     path = f"{shared_dir(spark)}/tagmill/katz-{np.random.default_rng().integers(1 << 62):x}"
     state.write.option("compression", "zstd").partitionBy("kind").parquet(path)
     table = spark.read.schema(state.schema).parquet(path)
 
-    sums = {_WORDS: [0] * (TRUST + 3), _BIGRAMS: [0] * (TRUST + 1)}
-    # a few numbers for each kind, whatever the input's size
-    for r in table.where("kind <> 3").select("kind", F.posexplode("stats")).groupBy("kind", "pos").agg(F.sum("col").alias("n")).collect():
-        sums[r["kind"]][r["pos"]] = r["n"]
-    model = Model(sums[_WORDS][0], sums[_WORDS][1], sums[_WORDS][2:], sums[_BIGRAMS])
+    sums = [[0] * (TRUST + 3)] + [[0] * (TRUST + 1) for _ in range(ORDER - 1)]
+    # a few numbers for each order, whatever the input's size
+    for r in table.where(f"kind <> {_STATE}").select("kind", F.posexplode("stats")).groupBy("kind", "pos").agg(F.sum("col").alias("n")).collect():
+        sums[r["kind"] - 1][r["pos"]] = r["n"]
+    model = Model(sums[0][0], sums[0][1], [sums[0][2:], *sums[1:]])
+
+    def scored(blob: bytes) -> list[pa.Array]:
+        ids, null, held, sizes, known, base, score, low_counts, *rest = unpack_all(blob, *_STATE_KINDS)
+        docs_ = np.arange(len(sizes))
+        score = score.copy()
+        low_counts = low_counts.reshape(ORDER - 1, TRUST, -1)
+        for i, order in enumerate(range(ORDER, 1, -1)):
+            score += np.log10(model.d[order - 1]) @ low_counts[i]
+            times, local, total, _, low, lower_total, lower_low, sums_ = rest[8 * i : 8 * i + 8]
+            if len(local):
+                under = np.maximum(lower_total + ~(lower_low > 0), 1) if order > 2 else np.full(len(total), model.base)
+                weight = np.log10(model.backoff(order, total, low > 0, under, sums_.reshape(_FOLLOWERS, -1).T))
+                score += np.bincount(np.repeat(docs_, times), weights=weight[local], minlength=len(sizes))
+        last = rest[-1]
+        times, counts = last[: len(sizes)], last[len(sizes) :]
+        score += np.bincount(np.repeat(docs_, times), weights=np.log10(model.unigram(counts)), minlength=len(sizes))
+        base = base - sizes * np.log10(model.tokens + model.types + 1)
+        return [pa.array(ids, mask=null > 0), pa.array(held > 0), pa.array(sizes), pa.array(known), pa.array(np.full(len(ids), model.tokens)), pa.array(base), pa.array(score)]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         for batch in batches:
             for blob in batch.column("payload").to_pylist():
-                ids, null, held, sizes, known, base, seen, low_counts, missed, local, cw, ch, low, table = unpack_all(blob, *_STATE_KINDS)
-                score = seen + np.log10(model.d2) @ low_counts.reshape(TRUST, -1)
-                weight = np.log10(model.backoff(ch, low > 0, table.reshape(_FOLLOWERS, -1).T))
-                lost = weight[local] + np.log10(model.unigram(cw))
-                score += np.bincount(np.repeat(np.arange(len(sizes)), missed), weights=lost, minlength=len(sizes))
-                base = base - sizes * np.log10(model.tokens + model.types + 1)
-                cols = [pa.array(ids, mask=null > 0), pa.array(held > 0), pa.array(sizes), pa.array(known), pa.array(np.full(len(ids), model.tokens)), pa.array(base), pa.array(score)]
-                yield pa.RecordBatch.from_arrays(cols, names)
+                yield pa.RecordBatch.from_arrays(scored(blob), names)
 
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return table.where("kind = 3").select("payload").mapInArrow(finish, schema).withColumnRenamed("id", key)
+    return table.where(f"kind = {_STATE}").select("payload").mapInArrow(finish, schema).withColumnRenamed("id", key)

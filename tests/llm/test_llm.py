@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import struct
@@ -365,39 +366,61 @@ def test_quantiles_are_exact_with_ties(spark):
 # Katz.
 
 
-def _plain_katz(rows):
+def _plain_katz(rows, order=3):
     toks = [((t or "").encode().lower().split() + [b"</s>"], zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2) for k, t in rows]
-    uni, bi = Counter(), defaultdict(Counter)
+
+    def grams(t):
+        line = [b"<s>", *t]
+        for i in range(1, len(line)):
+            for n in range(1, order):
+                if i - n >= 0:
+                    yield tuple(line[i - n : i]), line[i]
+
+    uni, after = Counter(), defaultdict(Counter)
     for t, held in toks:
         if not held:
             uni.update(t)
-            for a, b in zip([b"<s>", *t], t):
-                bi[a][b] += 1
+            for h, w in grams(t):
+                after[h][w] += 1
     n, v = sum(uni.values()), len(uni)
     tally = lambda c: [sum(x == i for x in c) for i in range(1, 7)]
-    d1 = katz.discounts(tally(uni.values()))
-    d2 = katz.discounts(tally([c for f in bi.values() for c in f.values()]))
-    keep = lambda d, c: c * (d[c - 1] if c <= 5 else 1)
-    left = n - sum(keep(d1, c) for c in uni.values())
-    base, unknown = (n, left / n) if left > 1e-9 else (n + 1, 1 / (n + 1))
-    p1 = lambda w: keep(d1, uni[w]) / base if uni[w] else unknown
-
-    def p(a, b):
-        f = bi.get(a)
-        if not f:
-            return p1(b)
+    d = [katz.discounts(tally(uni.values()))]
+    d += [katz.discounts(tally([c for h, f in after.items() if len(h) == k for c in f.values()])) for k in range(1, order)]
+    keep = lambda k, c: c * (d[k][c - 1] if c <= 5 else 1)
+    left = n - sum(keep(0, c) for c in uni.values())
+    base, mass = (n, left / n) if left > 1e-9 else (n + 1, 1 / (n + 1))
+    ones, twos = tally(uni.values())[:2]
+    unknown = mass / max(1, ones * (ones - 1) / (2 * (twos + 1)))
+
+    @functools.cache
+    def weight(h):
+        f = after[h]
         total = sum(f.values()) + (not any(c <= 5 for c in f.values()))
-        if f[b] if b in f else 0:
-            return keep(d2, f[b]) / total
-        return (1 - sum(keep(d2, c) for c in f.values()) / total) / (1 - sum(map(p1, f))) * p1(b)
-
-    for t, held in toks:
-        yield held, len(t), sum(uni[w] > 0 for w in t), n, sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t), sum(math.log10(p(a, b)) for a, b in zip([b"<s>", *t], t))
+        return total, (1 - sum(keep(len(h), c) for c in f.values()) / total) / (1 - sum(p(h[1:], w) for w in f))
 
+    def p(h, w):
+        if not h:
+            return keep(0, uni[w]) / base if uni[w] else unknown
+        if h not in after:
+            return p(h[1:], w)
+        total, back = weight(h)
+        return keep(len(h), after[h][w]) / total if w in after[h] else back * p(h[1:], w)
 
-@pytest.mark.parametrize("source", ["documents", "odd"])
-def test_katz_equals_a_plain_version(spark, odd, nothing, source, monkeypatch):
-    docs = spark.read.parquet(f"{SF}/documents.parquet") if source == "documents" else odd
+    for t, held in toks:
+        line = [b"<s>", *t]
+        score = sum(math.log10(p(tuple(line[max(0, i - order + 1) : i]), line[i])) for i in range(1, len(line)))
+        yield held, len(t), sum(uni[w] > 0 for w in t), n, sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t), score
+
+
+@pytest.mark.parametrize("source", ["documents", "odd", "words"])
+def test_katz_equals_a_plain_version(spark, odd, nothing, source):
+    if source == "words":
+        rng = np.random.default_rng(3)
+        x, y = _alike()
+        rows = [(i, " ".join(rng.choice(["a", "b", "c", "d", x, y], int(rng.integers(0, 12))).tolist())) for i in range(90)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+    else:
+        docs = spark.read.parquet(f"{SF}/documents.parquet") if source == "documents" else odd
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in _rows(katz.katz_scores(docs)))
     want = sorted((k if k is not None else -1, h, a, b, c, round(d, 6), round(e, 6)) for (k, _), (h, a, b, c, d, e) in zip(rows, _plain_katz(rows)))
@@ -406,22 +429,20 @@ def test_katz_equals_a_plain_version(spark, odd, nothing, source, monkeypatch):
     assert katz.katz_scores(nothing).count() == 0
 
 
-def test_katz_deals_frequent_contexts_over_shards(monkeypatch):
-    monkeypatch.setattr(katz, "CONTEXT_TOKENS", 2)
-    import pyarrow as pa
+def test_katz_deals_frequent_contexts_over_shards(spark, monkeypatch):
+    plain = katz.katz_scores
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {r.doc_id: r.score for r in _rows(plain(docs))}
+    monkeypatch.setattr(katz, "CONTEXT_TOKENS", 3)
+    assert {r.doc_id: r.score for r in _rows(katz.katz_scores(docs))} == pytest.approx(want, abs=1e-9)
+
 
-    part = pa.table({"id": [0, 1], "text": ["a b a c a d a e a f", "a g a b"], "held": [False, True], "block": [0, 0]})
-    shards = 5
-    asked = katz._ask_words(shards)(part)
-    told = pa.concat_tables([katz._tell_words(asked.filter(pa.array([s == x for x in asked.column("shard").to_pylist()]))) for s in sorted(set(asked.column("shard").to_pylist()))])
-    mine = told.filter(pa.array([b >= 0 for b in told.column("block").to_pylist()]))
-    pairs = katz._ask_bigrams(shards)(part, mine)
-    back = pa.concat_tables([katz._tell_bigrams(pairs.filter(pa.array([s == x for x in pairs.column("shard").to_pylist()]))) for s in sorted(set(pairs.column("shard").to_pylist()))])
-    state = katz._state(shards)(part, pa.concat_tables([mine, back.filter(pa.array([b >= 0 for b in back.column("block").to_pylist()]))]))
-    got = katz.unpack_all(state.column("payload")[0].as_py(), *katz._STATE_KINDS)
-    # "a" is followed five times in training, by five words once each
-    table = got[13].reshape(katz._FOLLOWERS, -1).T
-    assert [5, 0, 0, 0, 0, 0] in table[:, :6].tolist()
+def test_katz_sums_to_one():
+    tallies = [[40, 20, 11, 7, 5, 4], [90, 30, 14, 9, 6, 4], [200, 40, 15, 9, 6, 4]]
+    n = sum(r * x for r, x in enumerate(tallies[0][:5], 1)) + 500
+    model = katz.Model(n, sum(tallies[0]), tallies)
+    seen = sum(x * float(model.unigram(np.array([r]))[0]) for r, x in enumerate(tallies[0][:5], 1)) + 500 / model.base
+    assert seen + katz.unseen_types(tallies[0]) * float(model.unigram(np.array([0]))[0]) == pytest.approx(1)
 
 
 # Near duplicates.

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import pack_all, shared_dir, unpack_all
+from tagmill.llm.common import pack, pack_all, shared_dir, unpack, unpack_all
 from tagmill.llm.exchange import MOST_PARTITIONS, cuts, n_blocks
 from tagmill.llm.language_id import fold
 from tagmill.llm.wordhash import hashes_of, lowered, mix64, word_spans
@@ -35,6 +35,8 @@ CONTEXT_TOKENS = 1_000_000
 _MESSAGE = "kind int, block long, shard long, payload binary, stats array<long>"
 _FOLLOWERS = 2 * (TRUST + 1)
 _STATE = 0
+#: A number is a shard and a place in it of so many bits.
+_PLACE = 40
 #: What stands for a text's start, and its end: no word holds white space.
 _START, _END = 0, 1
 
@@ -68,6 +70,21 @@ def _hashes(strings: pa.Array) -> np.ndarray:
     return hashes_of(letters, ends - sizes, ends)
 
 
+def _split(numbers: np.ndarray, steps: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Shards, and places within them or the steps between these."""
+    place = (numbers & ((1 << _PLACE) - 1)).astype(np.uint64)
+    return (numbers >> _PLACE).astype(np.uint32), np.diff(place, prepend=np.uint64(0)) if steps else place
+
+
+def _joined(shard: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (shard.astype(np.int64) << _PLACE) + place.astype(np.int64)
+
+
+def _numbers(shard: int, places: dict[int, bytes]) -> np.ndarray | int:
+    """The numbers that a shard gave; only the shard, where no more questions follow."""
+    return (shard << _PLACE) + (unpack(places[shard], "uint64", delta=True).astype(np.int64) if shard in places else 0)
+
+
 def _counts_of_counts(totals: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(totals, TRUST + 2), minlength=TRUST + 3)[1 : TRUST + 2].tolist()
 
@@ -128,52 +145,51 @@ class _Block:
         inside[starts] += 1
         inside[ends] -= 1
         found = _strings(data[np.cumsum(inside[:-1]) > 0], ends - starts).dictionary_encode()
-        self.words = pa.concat_arrays([pa.array([b" ", b"\n"], pa.large_binary()), found.dictionary])
+        words = pa.concat_arrays([pa.array([b" ", b"\n"], pa.large_binary()), found.dictionary])
+        # words stand in the order of their hashes, so by shard, and in the order in which shards number them
+        hashes = _hashes(words)
+        order = np.argsort(hashes, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.words, self.hashes, self.start = words.take(pa.array(order)), hashes[order], int(place[_START])
+        self.cuts = cuts(self.hashes, shards)
         n = np.diff(to)
         self.sizes, self.held = n + 1, self.held > 0
         self.ends = np.cumsum(self.sizes)
-        token = np.full(len(starts) + len(n), _END)
-        token[np.arange(len(starts)) + np.repeat(np.arange(len(n)), n)] = np.asarray(found.indices).astype(np.int64) + 2
+        token = np.full(len(starts) + len(n), place[_END])
+        token[np.arange(len(starts)) + np.repeat(np.arange(len(n)), n)] = place[2:][np.asarray(found.indices)]
         self.train = np.repeat(~self.held, self.sizes)
         self.first = np.zeros(len(token), bool)
         self.first[self.ends - self.sizes] = True
         counts = np.bincount(token[self.train], minlength=len(self.words))
-        counts[_START] = int((~self.held).sum())
+        counts[self.start] = int((~self.held).sum())
         self.token, self.levels = token, [_Level(token, counts)]
 
     # Words.
 
-    def _word_order(self) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        h = _hashes(self.words)
-        order = np.argsort(h, kind="stable")
-        return order, cuts(h[order], self.shards)
-
     def ask_words(self) -> pa.Table:
-        order, where = self._word_order()
-        words, counts, rows = self.words.take(pa.array(order)), self.levels[0].counts[order].astype(np.uint32), []
-        for s, a, b in where:
-            letters, sizes = _letters(words.slice(a, b - a))
+        counts, rows = self.levels[0].counts.astype(np.uint32), []
+        for s, a, b in self.cuts:
+            letters, sizes = _letters(self.words.slice(a, b - a))
             rows.append((self.at, s, pack_all(letters, sizes.astype(np.uint32), counts[a:b]), None))
         return _rows(1, rows)
 
-    def learn_words(self, answers: dict[int, bytes]) -> None:
-        order, where = self._word_order()
+    def learn_words(self, answers: dict[int, bytes], places: dict[int, bytes]) -> None:
         level = self.levels[0]
         level.total, level.number, level.alone = np.zeros(level.n, np.int64), np.zeros(level.n, np.int64), np.zeros(level.n, bool)
-        for s, a, b in where:
-            total, place, alone = unpack_all(answers[s], "uint64", "uint64", "uint8")
-            mine = order[a:b]
-            level.total[mine], level.alone[mine] = total, alone > 0
-            level.number[mine] = np.cumsum(place, dtype=np.uint64).astype(np.int64) * self.shards + s
+        for s, a, b in self.cuts:
+            total, alone = unpack_all(answers[s], "uint64", "uint8")
+            level.total[a:b], level.alone[a:b] = total, alone > 0
+            level.number[a:b] = _numbers(s, places)
 
     # N-grams above words.
 
-    def grow(self) -> dict:
-        """The n-grams of the next order, and how they are dealt over the shards."""
+    def grow(self, tally: bool = False) -> dict:
+        """The n-grams of the next order, and how they are dealt over the shards; tally: of contexts too."""
         below, words = self.levels[-1], self.levels[0]
         k = len(self.levels) + 1
         context = np.r_[-1, below.of[:-1]]
-        context[self.first] = _START if k == 2 else -1
+        context[self.first] = self.start if k == 2 else -1
         there = np.flatnonzero(context >= 0)
         # nothing follows a context that training does not have
         there = there[below.total[context[there]] > 0]
@@ -183,41 +199,43 @@ class _Block:
         new = _Level(of, np.bincount(back[self.train[there]], minlength=len(pair)))
         new.head, new.word, new.lower = pair // words.n, pair % words.n, below.total[below.of[there[at]]]
         new.total, new.number, new.alone = np.zeros(new.n, np.int64), np.zeros(new.n, np.int64), np.zeros(new.n, bool)
-        new.low, new.sums = np.zeros(below.n, bool), np.zeros((below.n, _FOLLOWERS), np.int64)
         self.levels.append(new)
         # contexts that only this block has need no shard
         mine = below.alone[new.head]
         own = np.flatnonzero(mine)
-        tallies = _tallied(new.head[own], new.counts[own], new.lower[own])
         new.total[own], new.alone[own] = new.counts[own], True
-        new.low[tallies[0]], new.sums[tallies[0]] = tallies[1], tallies[2]
+        if tally:
+            new.low, new.sums = np.zeros(below.n, bool), np.zeros((below.n, _FOLLOWERS), np.int64)
+            contexts, low, sums = _tallied(new.head[own], new.counts[own], new.lower[own])
+            new.low[contexts], new.sums[contexts] = low, sums
         ask = np.flatnonzero(~mine)
-        head_number, word_number = below.number[new.head[ask]], words.number[new.word[ask]]
-        parts = np.clip(-(-below.total // CONTEXT_TOKENS), 1, self.shards)
-        home = lambda c: (mix64(below.number[c].astype(np.uint64)) % np.uint64(self.shards)).astype(np.int64)
-        spread = (mix64(word_number.astype(np.uint64)) % parts[new.head[ask]].astype(np.uint64)).astype(np.int64)
-        shard = (home(new.head[ask]) + spread) % self.shards
-        order = np.lexsort((word_number, head_number, shard))
-        # contexts whose followers this block must know, in all their shards
-        wanted = parts > 1
-        held = context[there[~self.train[there]]]
-        wanted[held] = True
-        used = np.unique(new.head[ask])
-        full = used[wanted[used]]
-        each = np.repeat(full, parts[full])
-        sub = np.arange(len(each)) - np.repeat(np.cumsum(parts[full]) - parts[full], parts[full])
-        extra = (home(each) + sub) % self.shards
-        pairs_of = np.unique(shard * below.n + new.head[ask])
-        every = np.unique(np.r_[pairs_of, extra * below.n + each])
-        at_shard, c = every // below.n, every % below.n
-        by = np.lexsort((below.number[c], at_shard))
-        at_shard, c = at_shard[by], c[by]
-        # how many of the block's n-grams each context has in each shard
-        key, n = np.unique(shard * below.n + new.head[ask], return_counts=True)
-        place = np.searchsorted(key, at_shard * below.n + c)
-        place = np.minimum(place, max(len(key) - 1, 0))
-        sizes = np.where(key[place] == at_shard * below.n + c, n[place], 0) if len(key) else np.zeros(len(c), np.int64)
-        return {"rows": ask[order], "word": word_number[order], "shard": at_shard, "context": c, "sizes": sizes, "wanted": wanted[c], "stats": tallies[3]}
+        heads = new.head[ask]
+        # a context's followers go to the shard that numbered it; a frequent context's also to the next ones
+        home, parts = below.number >> _PLACE, np.clip(-(-below.total // CONTEXT_TOKENS), 1, self.shards)
+        shard, hot = home[heads], parts > 1
+        wide = np.flatnonzero(hot[heads])
+        spread = mix64(self.hashes[new.word[ask[wide]]]) % parts[heads[wide]].astype(np.uint64)
+        shard[wide] = (shard[wide] + spread.astype(np.int64)) % self.shards
+        order = np.argsort(shard.astype(np.uint16) if self.shards < 1 << 16 else shard, kind="stable")
+        rows, shard, heads = ask[order], shard[order], heads[order]
+        first = np.ones(len(rows), bool)
+        first[1:] = (heads[1:] != heads[:-1]) | (shard[1:] != shard[:-1])
+        at = np.flatnonzero(first)
+        at_shard, c, sizes = shard[at], heads[at], np.diff(np.r_[at, len(rows)])
+        if len(wide):
+            # frequent contexts are asked about in all their shards
+            full = np.unique(heads[hot[heads]])
+            each = np.repeat(full, parts[full])
+            sub = np.arange(len(each)) - np.repeat(np.cumsum(parts[full]) - parts[full], parts[full])
+            more = ((home[each] + sub) % self.shards) * below.n + each
+            more = more[~np.isin(more, at_shard * below.n + c)]
+            at_shard, c, sizes = np.r_[at_shard, more // below.n], np.r_[c, more % below.n], np.r_[sizes, np.zeros(len(more), np.int64)]
+            by = np.argsort(at_shard, kind="stable")
+            at_shard, c, sizes = at_shard[by], c[by], sizes[by]
+        # contexts whose followers this block must know
+        wanted = hot.copy()
+        wanted[context[there[~self.train[there]]]] = True
+        return {"rows": rows, "shard": at_shard, "context": c, "sizes": sizes, "wanted": wanted[c], "stats": _counts_of_counts(new.counts[own][new.counts[own] > 0])}
 
     def _by_shard(self, g: dict) -> Iterator[tuple[int, slice, slice]]:
         edges = np.searchsorted(g["shard"], np.arange(self.shards + 1))
@@ -227,34 +245,34 @@ class _Block:
                 yield s, slice(x, y), slice(int(to[x]), int(to[y]))
 
     def ask(self) -> pa.Table:
-        below, g = self.levels[-1], self.grow()
+        below, words, g = self.levels[-1], self.levels[0], self.grow()
         new, k, rows = self.levels[-1], len(self.levels), []
         for s, cs, ws in self._by_shard(g):
             which = g["rows"][ws]
-            numbers = below.number[g["context"][cs]].astype(np.uint64)
-            # followers' numbers rise within a context
-            steps = np.diff(g["word"][ws], prepend=0).astype(np.uint64)
+            heads, last = below.number[g["context"][cs]], words.number[new.word[which]]
             payload = pack_all(
-                np.diff(numbers, prepend=np.uint64(0)), g["sizes"][cs].astype(np.uint32), g["wanted"][cs].astype(np.uint8), steps,
+                *_split(heads, steps=True), g["sizes"][cs].astype(np.uint32), g["wanted"][cs].astype(np.uint8), *_split(last, steps=False),
                 new.counts[which].astype(np.uint32), new.lower[which].astype(np.uint64),
             )
             rows.append((self.at, s, payload, None))
         return _rows(k, [*rows, (-1 - self.at, 0, b"", g["stats"])])
 
-    def learn(self, answers: dict[int, bytes]) -> None:
-        g = self.grow()
+    def learn(self, answers: dict[int, bytes], places: dict[int, bytes], tally: bool) -> None:
+        g = self.grow(tally)
         new = self.levels[-1]
         for s, cs, ws in self._by_shard(g):
-            total, place, alone, low, sums = unpack_all(answers[s], "uint64", "uint64", "uint8", "uint8", "uint64")
+            total, alone, low, sums = unpack_all(answers[s], "uint64", "uint8", "uint8", "uint64")
             which, c = g["rows"][ws], g["context"][cs]
             new.total[which], new.alone[which] = total, alone > 0
-            new.number[which] = np.cumsum(place, dtype=np.uint64).astype(np.int64) * self.shards + s
+            new.number[which] = _numbers(s, places)
+            if not tally:
+                continue
             new.low[c] |= low > 0
             new.sums[c[g["wanted"][cs]]] += sums.reshape(_FOLLOWERS, -1).T.astype(np.int64)
 
 
-def _tallied(head: np.ndarray, total: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
-    """Contexts, whether each has a low count, its tallies, and the counts of counts, of seen n-grams.
+def _tallied(head: np.ndarray, total: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, whether each has a low count, and its tallies, of seen n-grams.
 
     Tallies: how many followers have counts 1 to TRUST, the sum of higher counts; the same of the counts below.
     """
@@ -265,18 +283,18 @@ def _tallied(head: np.ndarray, total: np.ndarray, lower: np.ndarray) -> tuple[np
         for r in range(1, TRUST + 1):
             sums[:, offset + r - 1] = np.bincount(back[x == r], minlength=len(contexts))
         sums[:, offset + TRUST] = np.bincount(back, weights=np.where(x > TRUST, x, 0), minlength=len(contexts))
-    return contexts, sums[:, :TRUST].any(axis=1), sums, _counts_of_counts(total[seen])
+    return contexts, sums[:, :TRUST].any(axis=1), sums
 
 
-def _known(part: pa.Table, answers: pa.Table | None, shards: int, upto: int) -> _Block:
+def _known(part: pa.Table, answers: pa.Table, shards: int, upto: int, tally: bool = False) -> _Block:
     """The block with the answers on all orders up to `upto`."""
     block = _Block(part, shards)
-    by: dict[int, dict[int, bytes]] = {k: {} for k in range(1, upto + 1)}
-    if answers is not None:
-        for k, s, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "payload")), strict=True):
-            by[k][s] = blob
-    for k in range(1, upto + 1):
-        block.learn_words(by[k]) if k == 1 else block.learn(by[k])
+    by: dict[int, dict[int, bytes]] = {k: {} for k in range(-upto, upto + 1)}
+    for k, s, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "payload")), strict=True):
+        by[k][s] = blob
+    block.learn_words(by[1], by[-1])
+    for k in range(2, upto + 1):
+        block.learn(by[k], by[-k], tally)
     return block
 
 
@@ -307,17 +325,19 @@ def _tell_words(part: pa.Table) -> pa.Table:
     place[order] = np.arange(len(order))
     totals = np.bincount(back, weights=np.concatenate(counts), minlength=len(order)).astype(np.int64)
     alone = np.bincount(back, minlength=len(order)) == 1
-    rows, done, shard = [], 0, part.column("shard")[0].as_py()
+    rows, places, done, shard = [], [], 0, part.column("shard")[0].as_py()
     for at, c in zip(part.column("block").to_pylist(), counts, strict=True):
         mine = back[done : done + len(c)]
         done += len(c)
-        rows.append((at, shard, pack_all(totals[mine].astype(np.uint64), np.diff(place[mine].astype(np.uint64), prepend=np.uint64(0)), alone[mine].astype(np.uint8)), None))
+        rows.append((at, shard, pack_all(totals[mine].astype(np.uint64), alone[mine].astype(np.uint8)), None))
+        places.append((at, shard, pack(place[mine].astype(np.uint64), delta=True), None))
     start = found.dictionary.index(pa.scalar(b" ", pa.large_binary())).as_py()
     real = totals > 0
     if start >= 0:
         real[start] = False
     real = totals[real]
-    return _rows(1, [*rows, (-1 - shard, shard, b"", [int(real.sum()), len(real), *_counts_of_counts(real)])])
+    rows.append((-1 - shard, shard, b"", [int(real.sum()), len(real), *_counts_of_counts(real)]))
+    return pa.concat_tables([_rows(1, rows), _rows(-1, places)])
 
 
 def _tell(order: int):
@@ -325,10 +345,10 @@ def _tell(order: int):
         shard, blocks = part.column("shard")[0].as_py(), part.column("block").to_pylist()
         # a block's own counts of counts pass through
         passed = [(b, s, b"", x) for b, s, x in zip(blocks, part.column("shard").to_pylist(), part.column("stats").to_pylist(), strict=True) if b < 0]
-        mine = [(b, unpack_all(q, "uint64", "uint32", "uint8", "uint64", "uint32", "uint64")) for b, q in zip(blocks, part.column("payload").to_pylist(), strict=True) if b >= 0]
+        mine = [(b, unpack_all(q, "uint32", "uint64", "uint32", "uint8", "uint32", "uint64", "uint32", "uint64")) for b, q in zip(blocks, part.column("payload").to_pylist(), strict=True) if b >= 0]
         if not mine:
             return _rows(order, passed)
-        got = [(np.cumsum(q[0], dtype=np.uint64), q[1], q[2] > 0, np.cumsum(q[3], dtype=np.uint64), q[4], q[5]) for _, q in mine]
+        got = [(_joined(q[0], np.cumsum(q[1], dtype=np.uint64)), q[2], q[3] > 0, _joined(q[4], q[5]), q[6], q[7]) for _, q in mine]
         heads = np.concatenate([np.repeat(g[0], g[1]) for g in got])
         words, counts, lower = (np.concatenate([g[i] for g in got]) for i in (3, 4, 5))
         by = np.lexsort((words, heads))
@@ -338,12 +358,13 @@ def _tell(order: int):
         starts = np.flatnonzero(first)
         runs = np.diff(np.r_[starts, len(h)])
         totals = np.add.reduceat(counts[by].astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
-        contexts, low, sums, tally = _tallied(h[starts], totals, lower[by][starts].astype(np.int64))
+        contexts, low, sums = _tallied(h[starts], totals, lower[by][starts].astype(np.int64))
+        tally = _counts_of_counts(totals[totals > 0])
         told, place, alone = np.empty(len(h), np.uint64), np.empty(len(h), np.uint64), np.empty(len(h), np.uint8)
         told[by] = np.repeat(totals, runs).astype(np.uint64)
         place[by] = np.repeat(np.arange(len(starts)), runs).astype(np.uint64)
         alone[by] = np.repeat(runs == 1, runs)
-        rows, done = [], 0
+        rows, places, done = [], [], 0
         for (at, _), g in zip(mine, got, strict=True):
             spot = np.searchsorted(contexts, g[0])
             there = spot < len(contexts)
@@ -354,10 +375,11 @@ def _tell(order: int):
             table = np.zeros((len(asked), _FOLLOWERS), np.uint64)
             table[there[asked]] = sums[spot[asked][there[asked]]]
             to = done + len(g[3])
-            steps = np.diff(place[done:to], prepend=np.uint64(0))
-            rows.append((at, shard, pack_all(told[done:to], steps, alone[done:to], flag, table.T.ravel()), None))
+            rows.append((at, shard, pack_all(told[done:to], alone[done:to], flag, table.T.ravel()), None))
+            if order < ORDER:
+                places.append((at, shard, pack(place[done:to], delta=True), None))
             done = to
-        return _rows(order, [*rows, (-1 - shard, shard, b"", tally), *passed])
+        return pa.concat_tables([_rows(order, [*rows, (-1 - shard, shard, b"", tally), *passed]), _rows(-order, places)])
 
     return tell
 
@@ -373,7 +395,7 @@ def _state(shards: int):
     def gather(part: pa.Table, answers: pa.Table) -> pa.Table:
         if not part.num_rows:
             return answers.select(["kind", "block", "shard", "payload", "stats"])
-        b = _known(part, answers, shards, ORDER)
+        b = _known(part, answers, shards, ORDER, tally=True)
         begin = b.ends - b.sizes
         per = lambda x: np.add.reduceat(x, begin)
         words = b.levels[0]
@@ -484,7 +506,8 @@ def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key:
     for order in range(2, ORDER + 1):
         asked = by_block.cogroup(told.where("block >= 0").groupBy("block")).applyInArrow(_ask(n, order), _MESSAGE)
         told = told.union(asked.groupBy("shard").applyInArrow(_tell(order), _MESSAGE))
-    state = by_block.cogroup(told.groupBy("block")).applyInArrow(_state(n), _MESSAGE)
+    # numbers are for questions only
+    state = by_block.cogroup(told.where("kind > 0").groupBy("block")).applyInArrow(_state(n), _MESSAGE)
     path = f"{shared_dir(spark)}/tagmill/katz-{np.random.default_rng().integers(1 << 62):x}"
     state.write.option("compression", "zstd").partitionBy("kind").parquet(path)
     table = spark.read.schema(state.schema).parquet(path)

@@ -136,6 +136,20 @@ def holdout_units(units: DataFrame, share: float, seed: str) -> DataFrame:
     return ranked.where((F.col("n") >= 2) & (F.col("place") <= k)).select("tradition", "unit")
 
 
+def held_candidates(candidates: DataFrame, vectors: DataFrame, readable: DataFrame, share: float, seed: str) -> DataFrame:
+    """Candidates (a, b) with both ends readable and in held-out works, with ta, the first one's tradition, and leak.
+
+    A tradition's only work is held out with it: pairs with it are disjoint by text only, others by work.
+    """
+    units = vectors.select("tradition", F.col("work").alias("unit")).distinct()
+    only = units.groupBy("tradition").agg(F.min("unit").alias("unit"), F.count("*").alias("n")).where("n = 1").select("unit", F.lit(True).alias("only"))
+    held = holdout_units(units, share, seed).select("unit", F.lit(False).alias("only")).union(only)
+    known = vectors.join(readable, "vec_id", "left_semi").join(held, F.col("work") == F.col("unit")).select("vec_id", "tradition", "only")
+    side = lambda c: known.select(F.col("vec_id").alias(c), F.col("tradition").alias(f"t{c}"), F.col("only").alias(f"only_{c}"))
+    leak = F.when(F.col("only_a") | F.col("only_b"), "text-disjoint").otherwise("work-disjoint")
+    return candidates.join(side("a"), "a").join(side("b"), "b").withColumn("leak", leak).drop("tb", "only_a", "only_b")
+
+
 def quarantine_plan(tags: DataFrame, suspects: DataFrame) -> DataFrame:
     """Accepted tags of suspect (concept, tradition) cells, and pending ones that they would collide with."""
     rows = tags.withColumn("tradition", tradition_of("chunk_id")).join(F.broadcast(suspects), ["concept_id", "tradition"])

@@ -146,9 +146,14 @@ def starved_blocks(t: Tables) -> DataFrame:
     return vec.starved(_current(t), t.vectors, 4)
 
 
-_ALLOC = _SIMS | {
-    "wt": """SELECT least(p.tradition, q.tradition) || '|' || greatest(p.tradition, q.tradition) AS block, (count_if(positive) / count(*) + 0.1) * sqrt(count(*)) AS weight
-        FROM vector_labels JOIN vectors p ON p.vec_id = a JOIN vectors q ON q.vec_id = b GROUP BY 1"""
+_LOWER = "greatest(0, (p + 3.8416 / (2 * n) - 1.96 * sqrt((p * (1 - p) + 3.8416 / (4 * n)) / n)) / (1 + 3.8416 / n))"
+_ALLOC = {
+    "pt": "SELECT tradition, count(*) AS n FROM vectors GROUP BY 1",
+    "lb": """SELECT block, n, CASE WHEN n >= 20 THEN """
+    + _LOWER
+    + """ END AS lower FROM (SELECT least(p.tradition, q.tradition) || '|' || greatest(p.tradition, q.tradition) AS block, count(*) AS n, count_if(positive) / count(*) AS p
+        FROM vector_labels JOIN vectors p ON p.vec_id = a JOIN vectors q ON q.vec_id = b GROUP BY 1)""",
+    "wt": "SELECT x.tradition || '|' || y.tradition AS block, (coalesce(lower, 0.15) + 0.15) * sqrt(x.n * y.n) AS weight FROM pt x JOIN pt y ON x.tradition < y.tradition LEFT JOIN lb ON block = x.tradition || '|' || y.tradition",
 }
 
 
@@ -157,18 +162,10 @@ def _quotas(t: Tables, budget: int = 1000) -> DataFrame:
     return vec.allocate(vec.tradition_weights(t.vectors, t.vector_labels), budget, 10)
 
 
-def _labelled_quotas(t: Tables, budget: int = 1000) -> DataFrame:
-    """Of pairs of traditions with labels only, by raw rate and number of labels."""
-    tr = t.vectors.select("vec_id", "tradition")
-    lab = t.vector_labels.join(tr.selectExpr("vec_id AS a", "tradition AS ta"), "a").join(tr.selectExpr("vec_id AS b", "tradition AS tb"), "b")
-    blocks = lab.groupBy(pair_key("ta", "tb").alias("block")).agg(((F.count_if("positive") / F.count("*") + 0.1) * F.sqrt(F.count("*"))).alias("weight"))
-    return vec.allocate(blocks, budget, 10)
-
-
 @query("SELECT block, (least(10, floor(1000 / n)) + round_even((1000 - least(10, floor(1000 / n)) * n) * weight / s, 0))::INT AS quota FROM (SELECT *, count(*) OVER () AS n, sum(weight) OVER () AS s FROM wt)", _ALLOC)
 def budget_alloc(t: Tables) -> DataFrame:
-    """The reduced form that its SQL states; select_budget and select_hybrid give every pair of traditions a quota."""
-    return _labelled_quotas(t).select("block", "quota")
+    """A floor and a share by weight for every pair of traditions, labelled or not."""
+    return _quotas(t).select("block", "quota")
 
 
 @query()
@@ -197,6 +194,14 @@ def hybrid_candidates(t: Tables) -> DataFrame:
     return _current(t).select("a", "b").union(near).distinct()
 
 
+#: Vectors whose passage has a text.
+_READABLE = {"readable": "SELECT DISTINCT doc_id AS vec_id FROM documents WHERE length(text) > 0"}
+
+
+def _readable(t: Tables) -> DataFrame:
+    return t.raw("documents").where(F.length("text") > 0).select(F.col("doc_id").alias("vec_id")).distinct()
+
+
 _ARMS = _CUR | {
     "ch": "SELECT a, b FROM un WHERE rank BETWEEN 2 AND 12",
     "pa": """SELECT 'shared' AS arm, a, b FROM (SELECT DISTINCT a, b FROM cur) SEMI JOIN ch USING (a, b) UNION ALL SELECT 'current_only', a, b FROM (SELECT DISTINCT a, b FROM cur) ANTI JOIN ch USING (a, b)
@@ -204,10 +209,10 @@ _ARMS = _CUR | {
 }
 
 
-@query("SELECT arm, a, b FROM (SELECT *, row_number() OVER (PARTITION BY arm ORDER BY sha256('13:' || a || ':' || b)) AS r FROM pa WHERE a % 9 <> 0 AND b % 9 <> 0) WHERE r <= 60", _ARMS)
+@query("SELECT arm, a, b FROM (SELECT *, row_number() OVER (PARTITION BY arm ORDER BY sha256('13:' || a || ':' || b)) AS r FROM pa WHERE a IN (SELECT vec_id FROM readable) AND b IN (SELECT vec_id FROM readable)) WHERE r <= 60", _ARMS | _READABLE)
 def probe_arms(t: Tables) -> DataFrame:
     challenger = vec.unordered(vec.neighbours(t.vectors, 50)).where("rank BETWEEN 2 AND 12").select("a", "b")
-    return pairs.probe_arms(_current(t).select("a", "b"), challenger, t.vectors.where("vec_id % 9 <> 0"), 60, "13")
+    return pairs.probe_arms(_current(t).select("a", "b"), challenger, _readable(t), 60, "13")
 
 
 _DRAW = "('0x' || substr(sha256('17:' || {side} || ':' || r), 1, 8))::BIGINT"
@@ -247,16 +252,25 @@ def calibration_arm(t: Tables) -> DataFrame:
     return known.withColumn("r", F.row_number().over(w)).where("r <= 40").select("a", "b", "positive")
 
 
+_HELD = {
+    "un_": "SELECT tradition, work, row_number() OVER (PARTITION BY tradition ORDER BY sha256('43:' || work), work) AS place, count(*) OVER (PARTITION BY tradition) AS n FROM (SELECT DISTINCT tradition, work FROM vectors)",
+    "hd": "SELECT work, n = 1 AS only FROM un_ WHERE n = 1 OR place <= least(n - 1, greatest(1, round_even(n * 0.3, 0)))",
+}
+
+
 @query(
-    f"""SELECT a, b, band, turn FROM (SELECT *, row_number() OVER (ORDER BY turn, band, ta) AS pick FROM (SELECT *, row_number() OVER (PARTITION BY band, ta ORDER BY sha256('23:' || a || '-' || b), a || '-' || b) AS turn FROM
-    (SELECT u.a, u.b, {_BAND} AS band, p.tradition AS ta FROM un u ANTI JOIN vector_labels l ON l.a = u.a AND l.b = u.b JOIN vectors p ON p.vec_id = u.a WHERE rank > 5))) WHERE pick <= 120""",
-    _UN,
+    f"""SELECT a, b, band, turn, leak FROM (SELECT *, row_number() OVER (ORDER BY turn, band, ta) AS pick FROM (SELECT *, row_number() OVER (PARTITION BY band, ta ORDER BY sha256('23:' || a || '-' || b), a || '-' || b) AS turn FROM
+    (SELECT u.a, u.b, {_BAND} AS band, p.tradition AS ta, CASE WHEN x.only OR y.only THEN 'text-disjoint' ELSE 'work-disjoint' END AS leak FROM un u ANTI JOIN vector_labels l ON l.a = u.a AND l.b = u.b
+    JOIN vectors p ON p.vec_id = u.a JOIN vectors q ON q.vec_id = u.b JOIN hd x ON x.work = p.work JOIN hd y ON y.work = q.work
+    WHERE rank > 5 AND u.a IN (SELECT vec_id FROM readable) AND u.b IN (SELECT vec_id FROM readable)))) WHERE pick <= 120""",
+    _UN | _READABLE | _HELD,
 )
 def band_eval_set(t: Tables) -> DataFrame:
-    """Unlabelled candidates below rank 5, one of each band and tradition in turn."""
+    """Unlabelled candidates below rank 5 with texts, inside the held-out works, one of each band and tradition in turn."""
     c = vec.unordered(vec.neighbours(t.vectors, 50)).where("rank > 5").join(t.vector_labels, ["a", "b"], "left_anti")
-    c = c.join(t.vectors.selectExpr("vec_id AS a", "tradition AS ta"), "a").withColumns({"band": vec.sub_band(F.col("rank")), "key": F.concat_ws("-", "a", "b")})
-    return pairs.stratified(c, ["band", "ta"], 120, "23", "key").select("a", "b", "band", "turn")
+    held = pairs.held_candidates(c, t.vectors, _readable(t), 0.3, "43")
+    held = held.withColumns({"band": vec.sub_band(F.col("rank")), "key": F.concat_ws("-", "a", "b")})
+    return pairs.stratified(held, ["band", "ta"], 120, "23", "key").select("a", "b", "band", "turn", "leak")
 
 
 # Geometry.
@@ -396,11 +410,11 @@ _SWEEP = {k: v for k, v in _SWEEP.items() if k not in ("dr", "gc", "df", "dn", "
 }
 
 
-@query(
-    """SELECT half, setting, count(*) AS n, round_even(coalesce(nullif(corr(rx, ry), 'nan'::DOUBLE), 0), 6) AS spearman FROM (SELECT *, rank() OVER (PARTITION BY half, setting ORDER BY cosine) + (count(*) OVER (PARTITION BY half, setting, cosine) - 1) / 2 AS rx,
-    rank() OVER (PARTITION BY half, setting ORDER BY verdict) + (count(*) OVER (PARTITION BY half, setting, verdict) - 1) / 2 AS ry FROM sw) GROUP BY 1, 2""",
-    _SWEEP,
-)
+_RHO = """SELECT half, setting, count(*) AS n, round_even(coalesce(nullif(corr(rx, ry), 'nan'::DOUBLE), 0), 6) AS spearman FROM (SELECT *, rank() OVER (PARTITION BY half, setting ORDER BY cosine) + (count(*) OVER (PARTITION BY half, setting, cosine) - 1) / 2 AS rx,
+    rank() OVER (PARTITION BY half, setting ORDER BY verdict) + (count(*) OVER (PARTITION BY half, setting, verdict) - 1) / 2 AS ry FROM sw) GROUP BY 1, 2"""
+
+
+@query(_RHO, _SWEEP)
 def sweep_select(t: Tables) -> DataFrame:
     """Rank correlation of verdict and cosine on the tuning half and the test half for several settings."""
     half = _gold(t).withColumn("half", F.when(F.substring(shuffle_key("31", "ta", "tb", "concept"), 1, 1) < "8", "tune").otherwise("test"))
@@ -412,10 +426,16 @@ def sweep_select(t: Tables) -> DataFrame:
     return out
 
 
-@query("SELECT model, max_by(concept_id, (f1, concept_id)) AS best FROM (SELECT model, concept_id, round(avg(model_score), 6) AS f1 FROM cells GROUP BY 1, 2) GROUP BY 1")
+@query(
+    "SELECT x.setting, x.spearman AS tune, y.spearman AS test FROM rs x LEFT JOIN rs y ON y.setting = x.setting AND y.half = 'test' WHERE x.half = 'tune' ORDER BY x.spearman DESC, x.setting LIMIT 1",
+    _SWEEP | {"rs": _RHO},
+)
 def best_config(t: Tables) -> DataFrame:
-    each = t.cells.groupBy("model", "concept_id").agg(F.round(F.avg("model_score"), 6).alias("f1"))
-    return each.groupBy("model").agg(F.max_by("concept_id", F.struct("f1", "concept_id")).alias("best"))
+    """The limit is the feature: the setting that the tuning half likes best, the first on ties, and what the test half says of it."""
+    rows = checkpointed(sweep_select(t))
+    test = rows.where("half = 'test'").select("setting", F.col("spearman").alias("test"))
+    best = rows.where("half = 'tune'").orderBy(F.desc("spearman"), "setting").limit(1)
+    return best.join(test, "setting", "left").select("setting", F.col("spearman").alias("tune"), "test")
 
 
 # Derived relations.

@@ -434,9 +434,9 @@ def near_duplicates(
     several = keyed.select("id", F.xxhash64("digest").alias("set")).groupBy("id").agg(F.min("set").alias("x"), F.max("set").alias("y")).where("x <> y").select("id")
     heavy = classes.where(F.col("times") > heavy_above(total[1]))
     same = join_heavy(keyed.join(several, "id", "left_semi").select("id", "digest").distinct(), classes.select("digest", F.col("id").alias("rep")), "digest", heavy.select("digest", F.col("id").alias("rep")))
-    forget(roots)
-    roots = components(links.union(more).union(same.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
-    forget(lists, pairs, likely, bodies, links, more)
+    # what is connected already is a star by now
+    stars, roots = roots, components(roots.select("id", "root").toDF("a", "b").union(more).union(same.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    forget(lists, pairs, likely, bodies, links, more, stars)
     named = classes.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("root"), "times")
     out = join_heavy(keyed.select("id", "n", "digest"), named, "digest", named.where(F.col("times") > heavy_above(total[1]))).select("id", "n", "root")
     alone = signed.where("id is null or n = 0").select("id", "n", F.col("id").alias("root"))

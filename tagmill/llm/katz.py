@@ -1,14 +1,14 @@
-"""Language-model scores: a Katz back-off trigram model with Good-Turing discounts, learned from the whole corpus.
+"""Language-model scores: a Katz back-off n-gram model with Good-Turing discounts, learned from the whole corpus.
 
 Counts live in shards (see exchange.py). Blocks of documents ask for the training counts of their words, then for
-those of their bigrams, then of their trigrams. Answers bring counts and numbers: a word is told by its letters,
+those of their bigrams, and so on up to the model's order. Answers bring counts and numbers: a word is told by its letters,
 a bigram by its words' numbers, a trigram by its first bigram's and its last word's, so no two n-grams are ever
 taken for one. The shards of a context also add up, as integers, what its back-off weight needs: its followers by
 their counts at its own order and at the order below. So every weight is exactly
 (1 - mass of seen followers) / (1 - their mass at the order below). An n-gram that only one block has is settled
 there, without asking on. What scoring needs is stored as a partitioned table, and discounts, known once all counts of
-counts are summed, are applied to it token by token: trigram, else weight times bigram, else weight times
-unigram, else a share of the mass of unknown words.
+counts are summed, are applied to it token by token, order by order: the n-gram, else its context's weight times
+the n-gram one word shorter, down to the word, else a share of the mass of unknown words.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from tagmill.llm.wordhash import hashes_of, lowered, mix64, word_spans
 
 #: Counts above this are not discounted.
 TRUST = 5
-#: The model's order.
-ORDER = 3
+#: The model's order, unless another is asked for.
+ORDER = 2
 #: Training tokens of a context that one shard takes; a more frequent context is dealt over several.
 CONTEXT_TOKENS = 1_000_000
 _MESSAGE = "kind int, block long, shard long, payload binary, stats array<long>"
@@ -197,7 +197,9 @@ class _Block:
         of = np.full(len(self.token), -1)
         of[there] = back
         new = _Level(of, np.bincount(back[self.train[there]], minlength=len(pair)))
-        new.head, new.word, new.lower = pair // words.n, pair % words.n, below.total[below.of[there[at]]]
+        # suffix: the n-gram without its first word
+        new.head, new.word, new.suffix = pair // words.n, pair % words.n, below.of[there[at]]
+        new.lower = below.total[new.suffix]
         new.total, new.number, new.alone = np.zeros(new.n, np.int64), np.zeros(new.n, np.int64), np.zeros(new.n, bool)
         self.levels.append(new)
         # contexts that only this block has need no shard
@@ -340,7 +342,7 @@ def _tell_words(part: pa.Table) -> pa.Table:
     return pa.concat_tables([_rows(1, rows), _rows(-1, places)])
 
 
-def _tell(order: int):
+def _tell(order: int, top: int):
     def tell(part: pa.Table) -> pa.Table:
         shard, blocks = part.column("shard")[0].as_py(), part.column("block").to_pylist()
         # a block's own counts of counts pass through
@@ -376,7 +378,7 @@ def _tell(order: int):
             table[there[asked]] = sums[spot[asked][there[asked]]]
             to = done + len(g[3])
             rows.append((at, shard, pack_all(told[done:to], alone[done:to], flag, table.T.ravel()), None))
-            if order < ORDER:
+            if order < top:
                 places.append((at, shard, pack(place[done:to], delta=True), None))
             done = to
         return pa.concat_tables([_rows(order, [*rows, (-1 - shard, shard, b"", tally), *passed]), _rows(-order, places)])
@@ -386,23 +388,26 @@ def _tell(order: int):
 
 # Scores.
 
-_STATE_KINDS = ("int64", "uint8", "uint8", "int64", "int64", "float64", "float64", "int64", *["int64", "uint32", "int64", "int64", "uint8", "int64", "uint8", "uint64"] * (ORDER - 1), "int64")
 
+def _state_kinds(top: int) -> list[str]:
+    each = ["int64", "uint32", "int64", "int64", "uint8", "int64", "uint8", "uint64"]
+    return ["int64", "uint8", "uint8", "int64", "int64", "float64", "float64", "int64", *each * (top - 1), "int64"]
 
-def _state(shards: int):
+
+def _state(shards: int, top: int):
     """What scores need, without discounts: one row for each block; counts of counts pass through."""
 
     def gather(part: pa.Table, answers: pa.Table) -> pa.Table:
         if not part.num_rows:
             return answers.select(["kind", "block", "shard", "payload", "stats"])
-        b = _known(part, answers, shards, ORDER, tally=True)
+        b = _known(part, answers, shards, top, tally=True)
         begin = b.ends - b.sizes
         per = lambda x: np.add.reduceat(x, begin)
         words = b.levels[0]
         cw = words.total[b.token]
         ratio, discounted, missing = np.zeros(len(b.token)), [], []
         left = np.arange(len(b.token))
-        for k in range(ORDER, 1, -1):
+        for k in range(top, 1, -1):
             level, below = b.levels[k - 1], b.levels[k - 2]
             of = level.of[left]
             count = np.zeros(len(of), np.int64)
@@ -423,7 +428,7 @@ def _state(shards: int):
             times = np.diff(np.r_[np.searchsorted(owner, np.arange(len(b.sizes))), len(owner)])
             # the base of the context one word shorter, by which the followers' mass below is measured
             if k > 2:
-                shorter = below.word[heads]  # a bigram's last word
+                shorter = below.suffix[heads]
                 lower_total, lower_low = b.levels[k - 3].total[shorter], below.low[shorter]
             else:
                 lower_total, lower_low = np.zeros(len(heads), np.int64), np.zeros(len(heads), bool)
@@ -488,14 +493,14 @@ class Model:
         return (total - seen) / total / np.maximum(1 - under / base, 1e-300)
 
 
-def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Learns from rows whose crc32(key as text) modulo train_folds is not held_fold. Tokens: words (runs of bytes
     other than space and bytes 9 to 13, A-Z in lower case), then one end. A null or empty text is one end token;
     a null key counts as an empty text in the fold; repeated rows count each; an empty table gives none. If no
     row is for training, train_tokens is 0 and scores are those of a model of unknown words only. The key must
-    be an integer; other columns of `docs` are not carried. Rows equal in key and text go to one block.
+    be an integer; other columns of `docs` are not carried. `order` is 2 or more. Rows equal in key and text go to one block.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -503,32 +508,32 @@ def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key:
     n = n_blocks(rows, "text")
     by_block = _dealt(rows, n).groupBy("block")
     told = by_block.applyInArrow(_ask_words(n), _MESSAGE).groupBy("shard").applyInArrow(_tell_words, _MESSAGE)
-    for order in range(2, ORDER + 1):
-        asked = by_block.cogroup(told.where("block >= 0").groupBy("block")).applyInArrow(_ask(n, order), _MESSAGE)
-        told = told.union(asked.groupBy("shard").applyInArrow(_tell(order), _MESSAGE))
+    for k in range(2, order + 1):
+        asked = by_block.cogroup(told.where("block >= 0").groupBy("block")).applyInArrow(_ask(n, k), _MESSAGE)
+        told = told.union(asked.groupBy("shard").applyInArrow(_tell(k, order), _MESSAGE))
     # numbers are for questions only
-    state = by_block.cogroup(told.where("kind > 0").groupBy("block")).applyInArrow(_state(n), _MESSAGE)
+    state = by_block.cogroup(told.where("kind > 0").groupBy("block")).applyInArrow(_state(n, order), _MESSAGE)
     path = f"{shared_dir(spark)}/tagmill/katz-{np.random.default_rng().integers(1 << 62):x}"
     state.write.option("compression", "zstd").partitionBy("kind").parquet(path)
     table = spark.read.schema(state.schema).parquet(path)
 
-    sums = [[0] * (TRUST + 3)] + [[0] * (TRUST + 1) for _ in range(ORDER - 1)]
+    sums = [[0] * (TRUST + 3)] + [[0] * (TRUST + 1) for _ in range(order - 1)]
     # a few numbers for each order, whatever the input's size
     for r in table.where(f"kind <> {_STATE}").select("kind", F.posexplode("stats")).groupBy("kind", "pos").agg(F.sum("col").alias("n")).collect():
         sums[r["kind"] - 1][r["pos"]] = r["n"]
     model = Model(sums[0][0], sums[0][1], [sums[0][2:], *sums[1:]])
 
     def scored(blob: bytes) -> list[pa.Array]:
-        ids, null, held, sizes, known, base, score, low_counts, *rest = unpack_all(blob, *_STATE_KINDS)
+        ids, null, held, sizes, known, base, score, low_counts, *rest = unpack_all(blob, *_state_kinds(order))
         docs_ = np.arange(len(sizes))
         score = score.copy()
-        low_counts = low_counts.reshape(ORDER - 1, TRUST, -1)
-        for i, order in enumerate(range(ORDER, 1, -1)):
-            score += np.log10(model.d[order - 1]) @ low_counts[i]
+        low_counts = low_counts.reshape(order - 1, TRUST, -1)
+        for i, k in enumerate(range(order, 1, -1)):
+            score += np.log10(model.d[k - 1]) @ low_counts[i]
             times, local, total, _, low, lower_total, lower_low, sums_ = rest[8 * i : 8 * i + 8]
             if len(local):
-                under = np.maximum(lower_total + ~(lower_low > 0), 1) if order > 2 else np.full(len(total), model.base)
-                weight = np.log10(model.backoff(order, total, low > 0, under, sums_.reshape(_FOLLOWERS, -1).T))
+                under = np.maximum(lower_total + ~(lower_low > 0), 1) if k > 2 else np.full(len(total), model.base)
+                weight = np.log10(model.backoff(k, total, low > 0, under, sums_.reshape(_FOLLOWERS, -1).T))
                 score += np.bincount(np.repeat(docs_, times), weights=weight[local], minlength=len(sizes))
         last = rest[-1]
         times, counts = last[: len(sizes)], last[len(sizes) :]

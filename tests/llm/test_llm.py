@@ -396,7 +396,7 @@ def test_quantiles_are_exact_with_ties(spark):
 # Katz.
 
 
-def _plain_katz(rows, order=3):
+def _plain_katz(rows, order):
     toks = [((t or "").encode().lower().split() + [b"</s>"], zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2) for k, t in rows]
 
     def grams(t):
@@ -442,8 +442,8 @@ def _plain_katz(rows, order=3):
         yield held, len(t), sum(uni[w] > 0 for w in t), n, sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t), score
 
 
-@pytest.mark.parametrize("source", ["documents", "odd", "words"])
-def test_katz_equals_a_plain_version(spark, odd, nothing, source):
+@pytest.mark.parametrize(("source", "order"), [("documents", 2), ("documents", 3), ("odd", 2), ("odd", 3), ("words", 2), ("words", 4)])
+def test_katz_equals_a_plain_version(spark, odd, nothing, source, order):
     if source == "words":
         rng = np.random.default_rng(3)
         x, y = _alike()
@@ -452,8 +452,8 @@ def test_katz_equals_a_plain_version(spark, odd, nothing, source):
     else:
         docs = spark.read.parquet(f"{SF}/documents.parquet") if source == "documents" else odd
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in _rows(katz.katz_scores(docs)))
-    want = sorted((k if k is not None else -1, h, a, b, c, round(d, 6), round(e, 6)) for (k, _), (h, a, b, c, d, e) in zip(rows, _plain_katz(rows)))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in _rows(katz.katz_scores(docs, order=order)))
+    want = sorted((k if k is not None else -1, h, a, b, c, round(d, 6), round(e, 6)) for (k, _), (h, a, b, c, d, e) in zip(rows, _plain_katz(rows, order)))
     for x, y in zip(got, want, strict=True):
         assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], abs=1e-5)
     assert katz.katz_scores(nothing).count() == 0
@@ -462,9 +462,9 @@ def test_katz_equals_a_plain_version(spark, odd, nothing, source):
 def test_katz_deals_frequent_contexts_over_shards(spark, monkeypatch):
     plain = katz.katz_scores
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    want = {r.doc_id: r.score for r in _rows(plain(docs))}
+    want = {r.doc_id: r.score for r in _rows(plain(docs, order=3))}
     monkeypatch.setattr(katz, "CONTEXT_TOKENS", 3)
-    assert {r.doc_id: r.score for r in _rows(katz.katz_scores(docs))} == pytest.approx(want, abs=1e-9)
+    assert {r.doc_id: r.score for r in _rows(katz.katz_scores(docs, order=3))} == pytest.approx(want, abs=1e-9)
 
 
 def test_katz_sums_to_one():

@@ -154,6 +154,33 @@ def test_media_round_trip(spark, odd, nothing):
     assert media.read_media(media.store_media(nothing)).count() == 0
 
 
+def _plain_feature(payload, width):
+    """The hash by its definition: means over a 32 x 32 raster, cosine sums less their median."""
+    h = len(payload) // width
+    cells = lambda n: [range(i * n // 32, max((i + 1) * n // 32, i * n // 32 + 1)) for i in range(32)]
+    image = [[sum(payload[y * width + x] for y in ys for x in xs) / len(ys) / len(xs) for xs in cells(width)] for ys in cells(h)]
+    wave = lambda k, i: math.cos(math.pi / 32 * (i + 0.5) * k)
+    low = [sum(image[y][x] * wave(u, y) * wave(v, x) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+    return [x - sorted(low[1:])[31] for x in low]
+
+
+def test_op4_features_equal_a_plain_version(spark, texts):
+    got = {r.doc_id: r for r in _rows(queries()["op4_media_columns"](spark, SF))}
+    assert len(got) == len(texts)
+    for k, t in texts.items():
+        raw = (t or "").encode()
+        payload = media.padded(raw)
+        r = got[k]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        stored = media.encode_png(payload)
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        if k % 10 == 0:
+            want = _plain_feature(payload, media.decode_png(stored).shape[1])
+            mine = f"{int(r.feature, 16):064b}"
+            # coefficients that equal the median but for rounding may fall to either side
+            assert all(abs(x) < 1e-6 or (bit == "1") == (x > 0) for bit, x in zip(mine, want, strict=True))
+
+
 @pytest.mark.parametrize("kind", [0, 1, 2])
 def test_png_filters(kind):
     payload = bytes(range(256)) * 3

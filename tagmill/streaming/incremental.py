@@ -40,6 +40,11 @@ def score_stream(stream: DataFrame, cache_path: str, checkpoint: str, keys: list
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append all that a stream has to a log of files, each row once, also over restarts: the sink commits by batch."""
+    return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _timed(stream: DataFrame, at: str) -> DataFrame:
     """`stream` with `at` as an instant: watermarks refuse times without a zone, which are read in the session's."""
     return stream.withColumn(at, F.col(at).cast("timestamp"))

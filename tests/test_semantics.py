@@ -519,3 +519,32 @@ def test_fill_goes_on_until_quotas_are_met(spark, monkeypatch):
     for most in (200_000, 0):
         monkeypatch.setattr(vectors, "MOST_BLOCKS", most)
         assert {(r.a, r.b) for r in vectors.fill_from(df, "tradition", quotas, 1).collect()} == want
+
+
+def test_log_has_each_row_once_over_restarts(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"r{i}") for i in range(20)], "id long, raw string")
+    for k in range(2):
+        rows.where(f"id % 2 = {k}").write.mode("append").parquet(str(tmp_path / "in"))
+        for _ in range(2):
+            stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+            incremental.append_stream(stream, str(tmp_path / "log"), str(tmp_path / "check")).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "log")).count() == 10 * (k + 1)
+
+
+def test_verdicts_without_an_order_come_first(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "x", None), (1, "y", -5), (2, "z", None)], "id long, verdict string, at long")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    q = incremental.last_verdicts(stream, "id", "verdict", "at").writeStream.format("memory").queryName("unordered").outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {r.id: r.verdict for r in spark.table("unordered").collect()} == {1: "y", 2: "z"}
+
+
+def test_containments_equal_a_plain_version(spark):
+    rng = np.random.default_rng(9)
+    words = "a bb ccc dd e\nf".split(" ")
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 40))).tolist()) for _ in range(60)]
+    items = [" ".join(rng.choice(words, int(rng.integers(1, 12))).tolist()) for _ in range(40)] + [t[3:40] for t in texts[:20]] + ["", "zz"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "doc_id long, text string")
+    got = {r.item_id: r.n_leaks for r in tagging.containments(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert got == {k: sum(x in t for t in texts) for k, x in enumerate(items)}

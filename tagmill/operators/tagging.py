@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions.columns import bucket, ratio, shuffle_key, split_name
+from tagmill.functions.working import checkpointed
 
 
 def without_prefixes(tags: DataFrame, prefixes: Sequence[str], model: str = "model") -> DataFrame:
@@ -130,14 +131,16 @@ def exclude_frozen(queries: DataFrame, frozen: DataFrame) -> DataFrame:
     return queries.join(frozen.select("work").distinct(), "work", "left_anti")
 
 
-#: Words of the runs by which texts that may hold an item are found.
+#: Words of the runs by which texts that may hold an item are found: two doublings of one.
 RUN = 4
 
 
 def _runs(text: str) -> Column:
-    """The distinct runs of RUN words between spaces."""
-    words = F.split(F.col(text), " ", -1)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - RUN + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, RUN), " "))))
+    """The distinct runs of RUN words between spaces, as hashes; pairs of words first, then pairs of pairs."""
+    joined = lambda xs, by: F.zip_with(xs, F.slice(xs, by + 1, F.size(xs)), lambda x, y: F.concat(x, F.lit(" "), y))
+    four = joined(joined(F.split(F.col(text), " ", -1), 1), 2)
+    # the last places have no run
+    return F.array_distinct(F.transform(F.array_compact(four), lambda x: F.xxhash64(x)))
 
 
 def containments(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -152,9 +155,9 @@ def containments(docs: DataFrame, items: DataFrame) -> DataFrame:
     cut = F.array_join(F.slice(F.split("item", " ", -1), 2, F.greatest(inner, F.lit(1))), " ")
     long = named.where(inner >= RUN).withColumn("inner", cut)
     gram = long.select("item_id", "item", F.explode(_runs("inner")).alias("run"))
-    # texts are read twice, but only runs that an item has too leave the scan's partial counts
+    # only the runs that an item has too are kept
     enough = F.size(F.split("text", " ", -1)) >= RUN + 2
-    seen = docs.where(enough).select("doc_id", F.explode(_runs("text")).alias("run")).join(gram.select("run").distinct(), "run", "left_semi")
+    seen = checkpointed(docs.where(enough).select("doc_id", F.explode(_runs("text")).alias("run")).join(gram.select("run").distinct(), "run", "left_semi"))
     times = seen.groupBy("run").agg(F.count("*").alias("times"))
     rarest = gram.join(times, "run").groupBy("item_id").agg(F.count("*").alias("known"), F.min(F.struct("times", "run")).alias("x"))
     # a text with the item has all of its runs, so an item with a run that no text has is in none

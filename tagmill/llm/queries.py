@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import ann, bpe_codec, katz, language_id, media, near_dedup, packing, quality, substring_dedup, token_counts
+from tagmill.llm import ann, bpe_codec, fill_in_middle, katz, language_id, lexical, media, near_dedup, packing, quality, substring_dedup, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,28 @@ def op10_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-_QUERIES = [op1_best_fit_packing, op2_quality_classifier, op3_bpe_codec, op4_media_columns, op5_katz_scoring, op6_token_counts, op7_minhash_near_dedup, op8_substring_dedup, op9_language_id, op10_additive_ann]
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranking_report(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.middle_report(_documents(spark, sf_dir))
+
+
+_QUERIES = [
+    op1_best_fit_packing,
+    op2_quality_classifier,
+    op3_bpe_codec,
+    op4_media_columns,
+    op5_katz_scoring,
+    op6_token_counts,
+    op7_minhash_near_dedup,
+    op8_substring_dedup,
+    op9_language_id,
+    op10_additive_ann,
+    op11_lexical_search,
+    op12_fill_in_middle,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -62,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_lexical_search": lexical.RANKING_SQL, "op12_fill_in_middle": fill_in_middle.MIDDLE_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import ann, bpe_codec, fill_in_middle, katz, language_id, lexical, media, near_dedup, packing, quality, substring_dedup, token_counts
+from tagmill.llm import ann, bpe_codec, fill_in_middle, katz, language_id, lexical, media, near_dedup, packing, pii, quality, substring_dedup, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.middle_report(_documents(spark, sf_dir))
 
 
+def op13_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(_documents(spark, sf_dir))
+
+
 _QUERIES = [
     op1_best_fit_packing,
     op2_quality_classifier,
@@ -75,6 +79,7 @@ _QUERIES = [
     op10_additive_ann,
     op11_lexical_search,
     op12_fill_in_middle,
+    op13_pii_spans,
 ]
 
 

@@ -166,7 +166,7 @@ def _votes(x: Column) -> list[Column]:
         IP: _vote(like(_IP), ~like(_IP)),
         CARD: _vote(_luhn(digits), ~_luhn(digits)),
         PHONE: _vote(like(r"^\+") & n.between(10, 15), like(r"^\+")),
-        SECRET: _vote(distinct >= 10, distinct < 6),
+        SECRET: _vote((distinct >= 10) & (n >= 3), distinct < 6),
         ACCOUNT: _vote(iban & (_iban_rest(m) == 1), iban | like(r"^(?:000|666|9)")),
         PERSON: F.lit(_SILENT),
     }

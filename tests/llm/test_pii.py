@@ -172,7 +172,7 @@ def test_estimates_find_reliabilities_and_truths():
 
 def test_learning_from_nothing():
     theta, prior, posterior = pii.estimate({})
-    assert posterior == {} and (prior == 0.5).all() and np.allclose(theta.sum(-1), 1)
+    assert posterior == {} and (prior == 0.25).all() and np.allclose(theta.sum(-1), 1)
     weights, bias = pii.fit({}, {})
     assert bias == 0 and not any(map(any, weights))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="tagmill-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -20,22 +20,23 @@ SLICE_BYTES = 1 << 20
 HEAVY = 4000
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset, one of our own.
 
     Unset on a local master: a temporary folder of this machine, which driver and executors share there.
-    Unset on a cluster: a folder in the warehouse.
+    Unset on a cluster: a folder in the warehouse. Our own stays the same for an application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        base = "file://" + tempfile.mkdtemp(prefix="tagmill-")
-    else:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tagmill-work"
-    spark.sparkContext.setCheckpointDir(base)
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if context.applicationId not in _own:
+        local = context.master.startswith("local")
+        _own[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="tagmill-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tagmill-work"
+    return _own[context.applicationId]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -336,7 +336,7 @@ def _plain_kneser_ney(lines, order, v):
 
 def test_model_equals_a_plain_version_and_sums_to_one(spark):
     words = ["abab cab", "bad cab", "a cab", "dab abab"]
-    model = quality.stored(quality.train(spark.createDataFrame([(w,) for w in words], "text string"), order=3), "model")
+    model = quality.train(spark.createDataFrame([(w,) for w in words], "text string"), order=3)
     lines = [[ord(c) for c in w] for w in words]
     symbols = sorted({c for x in lines for c in x} | {2})
     p, _ = _plain_kneser_ney(lines, 3, len(symbols))
@@ -353,7 +353,7 @@ def test_model_equals_a_plain_version_and_sums_to_one(spark):
 def _plain_symbols(text):
     out = []
     for c in text:
-        s = 32 if ord(c) <= 32 or c in "\xa0\x85" else 48 if "0" <= c <= "9" else min(ord(c), 4095)
+        s = 32 if ord(c) <= 32 or c in "\xa0\x85" else 48 if "0" <= c <= "9" else ord(c) if ord(c) < 2048 else 2048 + (ord(c) * 2654435761 >> 7) % 2047
         if s != 32 or not out or out[-1] != 32:
             out.append(s)
     return out
@@ -369,18 +369,23 @@ def _plain_quality(spark):
     fit = {r.doc_id for r in best[:most]}
     lines = [_plain_symbols(r.text) for r in rows if r.doc_id in fit]
     p = functools.cache(_plain_kneser_ney(lines, 5, len({s for x in lines for s in x} | {2}))[0])
-    found, held = {}, defaultdict(list)
+    found, held, all_trusted = {}, defaultdict(list), defaultdict(list)
     for r in rows:
         x = _plain_symbols(r.text or "")
         s = [1] * 4 + x + [2]
         found[r.doc_id] = None if x in ([], [32]) else 2 ** (-sum(math.log2(p(tuple(s[i - 4 : i + 1]))) for i in range(4, len(s))) / (len(x) + 1))
-        if r.doc_id in trusted - fit and found[r.doc_id] is not None:
-            held[r.lang].append(found[r.doc_id])
-    every = [v for x in held.values() for v in x]
+        for members, values in ((trusted, all_trusted), (trusted - fit, held)):
+            if r.doc_id in members and found[r.doc_id] is not None:
+                values[r.lang].append(found[r.doc_id])
+
+    def drawn(values, lang, q):
+        every = [v for x in values.values() for v in x]
+        own, n = values.get(lang, every), len(values.get(lang, []))
+        return math.exp((n * math.log(np.quantile(own, q)) + quality.EVEN * math.log(np.quantile(every, q))) / (n + quality.EVEN))
+
     out = {}
     for r in rows:
-        own, n, v = held.get(r.lang, every), len(held.get(r.lang, [])), found[r.doc_id]
-        lo, hi = (math.exp((n * math.log(np.quantile(own, q)) + quality.EVEN * math.log(np.quantile(every, q))) / (n + quality.EVEN)) for q in (0.001, 0.999))
+        v, lo, hi = found[r.doc_id], drawn(all_trusted, r.lang, 0.001), drawn(held, r.lang, 0.999)
         out[r.doc_id] = v, v is not None and lo / 1.06 <= v <= hi * 1.06
     return out
 
@@ -409,6 +414,46 @@ def test_quality_separates_and_handles_odd_rows(spark, odd, nothing):
     assert once == more
 
 
+def test_no_trusted_text_goes_for_having_trained_the_model(spark, tmp_path, monkeypatch):
+    """Nor an exact or a near copy of one; what bad texts go is hardly less; no working table but the scores is left."""
+    monkeypatch.setattr("tagmill.llm.common.shared_dir", lambda _: f"file://{tmp_path}")
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet").select(*c) for t, c in (("documents", ["doc_id", "text", "lang"]), ("labels", ["doc_id", "quality", "toxic"])))
+    trusted = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+    good = docs.join(trusted, "doc_id")
+    copies = good.selectExpr("doc_id + 1000000 AS doc_id", "text", "lang").union(good.selectExpr("doc_id + 2000000 AS doc_id", "concat(text, ' ', substring_index(text, ' ', 3)) AS text", "lang"))
+    out = _rows(quality.assess(docs.union(copies), trusted).select("doc_id", "accepted"))
+    bad = {r.doc_id for r in _rows(labels.where("quality = 0"))}
+    good_ids = {r.doc_id for r in _rows(trusted)}
+    gone = [r.doc_id for r in out if r.doc_id % 1000000 in good_ids and not r.accepted]
+    assert len(gone) <= 3
+    assert sum(not r.accepted for r in out if r.doc_id in bad) >= 0.75 * len(bad)
+    left = {p.name.split("-")[0] for p in (tmp_path / "tagmill").iterdir()}
+    assert left == {"perplexities"}
+
+
+def test_quality_knows_the_letters_of_all_scripts(spark):
+    """Real order against shuffled letters, after fitting on the real one."""
+    rng = np.random.default_rng(5)
+    rows, at = [], 0
+    for alphabet in ("的一是不了人我在有他這中大來上個國和也子", "가나다라마바사아자차카타파하거너더러머버"):
+        words = ["".join(rng.choice(list(alphabet), 3)) for _ in range(12)]
+        for _ in range(30):
+            rows.append((at, "".join(rng.choice(words, 60))))
+            at += 1
+    mixed = [(at + i, "".join(rng.permutation(list(t)))) for i, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame([(i, t, None) for i, t in rows + mixed], "doc_id long, text string, lang string")
+    ppl = {r.doc_id: r.perplexity for r in _rows(quality.assess(df, df.select("doc_id").where(f"doc_id < {at}")))}
+    assert all(ppl[i + at] > 2 * ppl[i] for i in range(at))
+
+
+def test_quality_of_a_very_long_text(spark):
+    rng = np.random.default_rng(6)
+    long = " ".join(rng.choice(WORDS, 400_000))
+    df = spark.createDataFrame([(i, " ".join(rng.choice(WORDS, 50)), "en") for i in range(30)] + [(99, long, "en")], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in _rows(quality.assess(df, df.select("doc_id").where("doc_id < 30")))}
+    assert rows[99].accepted and 0.8 < rows[99].perplexity / rows[0].perplexity < 1.25
+
+
 def test_quantiles_are_exact_with_ties(spark):
     rng = np.random.default_rng(5)
     values = {"a": rng.lognormal(2, 1, 3000), "b": np.repeat([3.0, 3.0001, 9.0], 70), "c": np.array([4.0])}

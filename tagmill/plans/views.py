@@ -44,7 +44,7 @@ VIEWS = {
         CASE WHEN o_orderkey % 31 <> 0 THEN o_totalprice / 10000 END AS latency_s
         FROM orders JOIN chunks USING (o_orderkey), (VALUES ('base'), ('v1'), ('v2')) m(model)""",
     "grades": "SELECT doc_id AS idx, quality AS g1, 1 - toxic AS g2, n_chars AS score, lang AS stratum FROM labels JOIN documents USING (doc_id)",
-    "queries": """SELECT substring(text, 1, 60) AS query, 'work_' || (conv_id % 23) AS work, CASE WHEN turn = 0 THEN 'probe' ELSE 'relevance' END AS kind,
+    "queries": """SELECT text AS query, 'work_' || (conv_id % 23) AS work, CASE WHEN turn = 0 THEN 'probe' ELSE 'relevance' END AS kind,
         'src_' || (conv_id % 3) AS source, conv_id * 1000 + turn AS ord FROM conversations WHERE role = 'user'""",
 }
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tagmill.sources.versions import Versions
+
 
 def optional_column(df: DataFrame, name: str, kind: str) -> DataFrame:
     """`df` with the column, null where the table has none."""
@@ -17,10 +19,16 @@ def optional_column(df: DataFrame, name: str, kind: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str:
-    """The name of the last snapshot folder under `root`; names are UTC stamps, so the largest is the last."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    """The name of the last whole snapshot folder under `root`; names are UTC stamps, so the largest is the last.
+
+    Where there is a log of commits only what it lists counts. Folders that others made count unless a write that
+    was lost left its temporary files in them or in a table of theirs.
+    """
+    versions = Versions(spark, root)
+    if versions.logged():
+        names = [versions.at(n).name for n in versions.numbers()]
+    else:
+        names = versions.foreign()
     if not names:
         raise FileNotFoundError(f"no snapshot in {root}")
     return max(names)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagmill.sources.files import latest_snapshot
+from tagmill.sources.versions import Commit, Overtaken, Versions, write_whole
 
 
 def stamp(at: datetime | None = None) -> str:
@@ -57,52 +57,62 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
 
 
 def snapshot(tables: dict[str, DataFrame], root: str, label: str | None = None, at: datetime | None = None) -> str:
-    """Copy tables to <root>/<stamp>[-label]/<name> and write a manifest of their counts; the snapshot's name."""
-    name = stamp(at) + (f"-{label}" if label else "")
-    path, first = f"{root.rstrip('/')}/{name}", next(iter(tables.values()))
+    """Copy tables to <root>/<stamp>[-label]/<name>, write a manifest of their counts, and commit; the snapshot's name.
+
+    A name that a lost write has used gets "-1" behind it.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    versions = Versions(spark, root)
+    versions.begin()
+    name, last = stamp(at) + (f"-{label}" if label else ""), versions.latest()
+    while versions.taken(name):
+        name += "-1"
+    path = f"{root.rstrip('/')}/{name}"
     for t, df in tables.items():
         df.write.mode("errorifexists").parquet(f"{path}/{t}")
-    spark = first.sparkSession
     counts = [spark.read.schema(df.schema).parquet(f"{path}/{t}").agg(F.count("*").alias("n")).select(F.lit(t).alias("name"), "n") for t, df in tables.items()]
     union = counts[0]
     for c in counts[1:]:
         union = union.union(c)
     row = union.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "n")))).alias("counts"))
     write_report(row.select(F.lit(name).alias("created_at"), "counts"), f"{path}/manifest.json")
-    return name
+    number = last.number + 1 if last else 0
+    while True:
+        try:
+            versions.publish(Commit(number, name, {"0": name}))
+            return name
+        except Overtaken:  # snapshots do not rest on one another
+            number += 1
 
 
 def keyed_by_snapshot(spark: SparkSession, root: str, cache: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """The table that `compute` makes from the last snapshot under `root`: from the cache if that has this snapshot's."""
-    path = f"{cache.rstrip('/')}/{latest_snapshot(spark, root)}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        compute().write.parquet(path)
-        return spark.read.parquet(path)
+    """The table that `compute` makes from the last snapshot under `root`: from the cache if that has this snapshot's.
+
+    A cache whose write was lost has nothing of that snapshot and is made again.
+    """
+    name, versions = latest_snapshot(spark, root), Versions(spark, cache)
+    found = versions.named(name)
+    if found is None:
+        try:
+            found = versions.write(compute(), name)
+        except Overtaken:  # by a writer of this or another snapshot
+            found = versions.named(name) or versions.write(compute(), name)
+    return versions.read(found)
 
 
-def upsert(spark: SparkSession, root: str, rows: DataFrame, keys: list[str], order: str, at: datetime | None = None) -> DataFrame:
+def upsert(spark: SparkSession, root: str, rows: DataFrame, keys: list[str], order: str, at: datetime | None = None, buckets: int = 64) -> DataFrame:
     """Merge rows into a keyed table: of each key the row with the largest `order` stays, of equal ones the new.
 
-    Every merge is a new version under `root`, so readers keep theirs and a lost write leaves the last one whole.
+    Every merge is a commit under `root`: readers keep their version, a lost write changes nothing, and only the
+    buckets of keys that the rows touch are rewritten.
     """
-    try:
-        last = latest_snapshot(spark, root)
-        old = spark.read.parquet(f"{root}/{last}")
-    except Exception as e:
-        if not isinstance(e, FileNotFoundError) and "FileNotFoundException" not in str(e):
-            raise
-        last, old = "", None
-    both = rows.withColumn("new_", F.lit(1))
-    if old is not None:
-        both = both.unionByName(old.withColumn("new_", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order), F.desc("new_"))
-    name = stamp(at)
-    while name <= last:  # a second merge within one second
-        name = last + "-1"
-    both.withColumn("rn_", F.row_number().over(w)).where("rn_ = 1").drop("rn_", "new_").write.parquet(f"{root}/{name}")
-    return spark.read.parquet(f"{root}/{name}")
+
+    def name(last: str) -> str:
+        wanted = stamp(at)
+        return wanted if wanted > last else last + "-1"  # a second merge within one second
+
+    versions = Versions(spark, root)
+    return versions.read(versions.merge(rows, keys, order, name, buckets))
 
 
 def withheld(df: DataFrame, key: list[str], hidden: list[str], shown_path: str, hidden_path: str) -> None:
@@ -120,8 +130,8 @@ def reopen(tags: DataFrame, changed: DataFrame, path: str, backup: str, mark: st
     is_marked = F.contains(F.coalesce("justification", F.lit("")), F.lit(mark)) & (F.col("status") == "pending")
     out = {"planned": changed.where(is_marked).count() - tags.where(is_marked).count()}
     if execute:
-        tags.write.mode("errorifexists").parquet(backup)
-        changed.write.mode("errorifexists").parquet(path)
+        write_whole(tags, backup)
+        write_whole(changed, path)
         row = tags.sparkSession.read.parquet(path).agg(F.count_if(is_marked).alias("marked"), F.count("*").alias("rows")).first()
         out |= row.asDict()
     return out
@@ -140,4 +150,4 @@ def frozen(report: DataFrame, df: DataFrame, path: str) -> None:
     row = report.first()
     if not row["may_freeze"]:
         raise ValueError(f"not complete: {row.asDict()}")
-    df.write.mode("errorifexists").parquet(path)
+    write_whole(df, path)

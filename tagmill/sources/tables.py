@@ -169,7 +169,7 @@ class Tables:
     def queries(self) -> DataFrame:
         """query, work, kind, source, ord: search queries by work."""
         return self.raw("conversations").where("role = 'user'").selectExpr(
-            "substring(text, 1, 60) AS query",
+            "text AS query",
             "concat('work_', conv_id % 23) AS work",
             "if(turn = 0, 'probe', 'relevance') AS kind",
             "concat('src_', conv_id % 3) AS source",

@@ -11,7 +11,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tagmill.functions import agreement, columns, parsing, working
@@ -385,7 +384,7 @@ def test_lines_tables_and_reports_are_written(spark, tmp_path):
     sinks.frozen(good, df, str(tmp_path / "frozen"))
     with pytest.raises(ValueError):
         sinks.frozen(good.selectExpr("NOT may_freeze AS may_freeze"), df, str(tmp_path / "other"))
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         sinks.frozen(good, df, str(tmp_path / "frozen"))
 
 

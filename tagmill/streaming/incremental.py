@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tagmill.sources.models import pair_keys, scored_pairs
 from tagmill.sources.tables import Tables
 
 
@@ -31,6 +32,23 @@ def append_scores(rows: DataFrame, cache_path: str, keys: list[str], score: Call
     score(todo).write.mode("append").parquet(cache_path)
 
 
+def score_pairs(pairs: DataFrame, cache_path: str, model: Callable, query: str = "query", chunk: str = "chunk_id", body: str = "body", out: str = "teacher_logit", slices: int = 16, **how) -> None:
+    """Add the model's scores of pairs that the cache lacks, keyed by the query's digest and the chunk.
+
+    Pairs go in slices by a hash of their key, each appended when it is whole: a run that is interrupted has
+    lost one slice, and the next one scores only what is left. Of rows with one key one is scored; how: more
+    parameters of scored_pairs().
+    """
+    keyed = pair_keys(pairs, query)
+    place = F.pmod(F.xxhash64("qh", chunk), F.lit(slices))
+
+    def score(todo: DataFrame) -> DataFrame:
+        return scored_pairs(todo, model, query, body, out, **how).select("qh", chunk, out)
+
+    for n in range(slices):
+        append_scores(keyed.where(place == n), cache_path, ["qh", chunk], score)
+
+
 def score_stream(stream: DataFrame, cache_path: str, checkpoint: str, keys: list[str], score: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """The same for a stream: each micro-batch scores its unseen keys and appends them."""
 

@@ -19,6 +19,10 @@ BLOCK = 2048
 #: Bins of similarity from -1 to 1 in histograms of pairs, and blocks whose ranges of bins go to all tasks.
 BINS = 4096
 MOST_BLOCKS = 200_000
+#: Blocks up to which all meet all; pivots, at most; blocks that a vector meets before there is a bound.
+FEW_BLOCKS = 16
+MOST_PIVOTS = 1024
+FIRST_BLOCKS = 3
 #: Times its quota that a greedy fill looks at first in a block.
 POOL = 4
 
@@ -44,33 +48,148 @@ def _meet(vectors: DataFrame, compare, schema: str, asks: Column | None = None,
     return left.groupBy("x", "y").cogroup(right.groupBy("x2", "y2")).applyInArrow(compare, schema)
 
 
+def _best_of(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
+    """i, j, sim: for each vector of one block its k most similar ones of other traditions in another, ties by id."""
+    if not left.num_rows or not right.num_rows:
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["i", "j", "sim"])
+    a, b = np.asarray(left.column("vec_id")), np.asarray(right.column("id2"))
+    ta, tb = (np.array(x.to_pylist(), object) for x in (left.column("tradition"), right.column("t2")))
+    # by id, so that of equal similarities the first ones stay
+    order = np.argsort(b, kind="stable")
+    b, sim = b[order], _matrix(left.column("v")) @ _matrix(right.column("v2"))[order].T
+    sim[ta[:, None] == tb[order][None, :]] = -np.inf
+    take = min(k, len(b))
+    last = np.partition(sim, len(b) - take, axis=1)[:, len(b) - take]
+    above, tied = sim > last[:, None], (sim == last[:, None]) & (sim > -np.inf)
+    tied &= np.cumsum(tied, axis=1) <= (take - above.sum(1))[:, None]
+    at = np.argwhere(above | tied)
+    return pa.table([pa.array(a[at[:, 0]]), pa.array(b[at[:, 1]]), pa.array(sim[at[:, 0], at[:, 1]])], ["i", "j", "sim"])
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("i").orderBy(F.desc("sim"), "j")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def neighbours(vectors: DataFrame, k: int, floor: float | None = None, asks: Column | None = None) -> DataFrame:
     """i, j, sim, rank: for each vector its k most similar ones of other traditions, by cosine, then id.
 
     Each pair of blocks is one matrix product that keeps k for each vector; the blocks' best are ranked. Only
-    vectors where `asks` holds are queries.
+    vectors where `asks` holds are queries. More than FEW_BLOCKS blocks are made by pivots, and pairs of blocks
+    that cannot hold a neighbour are left out; fewer all meet, which takes less time than to tell.
     """
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["i", "j", "sim"])
-        a, b = np.asarray(left.column("vec_id")), np.asarray(right.column("id2"))
-        ta, tb = (np.array(x.to_pylist(), object) for x in (left.column("tradition"), right.column("t2")))
-        sim = _matrix(left.column("v")) @ _matrix(right.column("v2")).T
-        sim[ta[:, None] == tb[None, :]] = -np.inf
-        take = min(k, len(b))
-        near = np.argpartition(-sim, take - 1, axis=1)[:, :take]
-        # all ties with the last one stay in, for the ranking by id
-        last = np.take_along_axis(sim, near, 1).min(1)
-        at = np.argwhere((sim >= last[:, None]) & (sim > -np.inf))
-        return pa.table([pa.array(a[at[:, 0]]), pa.array(b[at[:, 1]]), pa.array(sim[at[:, 0], at[:, 1]])], ["i", "j", "sim"])
-
-    found = _meet(vectors, compare, "i long, j long, sim double", asks)
-    w = Window.partitionBy("i").orderBy(F.desc("sim"), "j")
-    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if vectors.count() > FEW_BLOCKS * BLOCK:
+        ranked = PivotJoin(vectors, k, asks).run()
+    else:
+        ranked = _ranked(_meet(vectors, lambda left, right: _best_of(left, right, k), "i long, j long, sim double", asks), k)
     return ranked if floor is None else ranked.where(F.col("sim") >= floor)
 
 
+class PivotJoin:
+    """Exact neighbours with blocks around pivots and the triangle inequality of angles between unit vectors.
+
+    A vector at an angle x to a pivot is at an angle of at least x - far or near - x to all vectors whose angles to
+    that pivot lie between near and far. Vectors first meet their own block and those of the next pivots, which
+    gives each a k-th similarity; then a vector meets only the blocks whose bound reaches it. A block pair where no
+    vector of the left does so is never made. Zero vectors are at right angles to all.
+    """
+
+    def __init__(self, vectors: DataFrame, k: int, asks: Column | None = None) -> None:
+        self.k = k
+        rows = vectors.select("vec_id", "tradition", unit("v").alias("v"), (F.lit(True) if asks is None else asks).alias("asks"))
+        n = rows.count()
+        many = min(MOST_PIVOTS, max(2, 2 * -(-n // BLOCK)))
+        # a bounded sample in hash order
+        sample = rows.where("exists(v, x -> x <> 0)").orderBy(F.xxhash64("vec_id"), "vec_id").limit(many).collect()
+        self.pivots = np.array([r["v"] for r in sample]).reshape(len(sample), -1)
+        near = rows.mapInArrow(self._nearest(), "vec_id long, tradition string, v array<double>, asks boolean, pivot int, angle double")
+        near = checkpointed(near)
+        # dealt inside a pivot by angle: narrow rings prune more; as many rings as blocks
+        sizes = near.groupBy("pivot").agg((F.ceil(F.count("*") / F.lit(BLOCK))).cast("int").alias("rings"), F.min("angle").alias("low"), F.max("angle").alias("high"))
+        # a row for each pivot
+        ring = F.least(F.floor(F.col("rings") * (F.col("angle") - F.col("low")) / F.greatest(F.col("high") - F.col("low"), F.lit(1e-12))), F.col("rings") - 1).cast("int")
+        ringed = near.join(F.broadcast(sizes), "pivot").withColumn("ring", ring)
+        counts = ringed.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("parts"))
+        # at most two rows for each BLOCK vectors and one for each pivot
+        cut = ringed.join(F.broadcast(counts), ["pivot", "ring"]).withColumn("piece", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+        stats = cut.groupBy("pivot", "ring", "piece").agg(F.min("angle").alias("near"), F.max("angle").alias("far"), F.count_if("asks").alias("asks")).orderBy("pivot", "ring", "piece").collect()
+        self.stats = stats
+        self.owner = np.array([r["pivot"] for r in stats], np.int64)
+        self.near, self.far = np.array([r["near"] for r in stats]), np.array([r["far"] for r in stats])
+        names = vectors.sparkSession.createDataFrame([(r["pivot"], r["ring"], r["piece"], i) for i, r in enumerate(stats)], "pivot int, ring int, piece int, block int")
+        self.rows = checkpointed(cut.join(F.broadcast(names), ["pivot", "ring", "piece"]).select("vec_id", "tradition", "v", "asks", "block"))
+        self.met = 0
+
+    @property
+    def possible(self) -> int:
+        """Pairs of blocks with a query on the left."""
+        return sum(r["asks"] > 0 for r in self.stats) * len(self.stats)
+
+    def _nearest(self):
+        pivots = self.pivots
+
+        def run(batches):
+            for batch in batches:
+                v = _matrix(pa.chunked_array([batch.column("v")]))
+                angles = np.arccos(np.clip(v @ pivots.T, -1, 1)) if len(pivots) and len(v) else np.zeros((batch.num_rows, 1))
+                best = angles.argmin(1) if batch.num_rows else np.empty(0, np.int64)
+                new = [pa.array(best.astype(np.int32)), pa.array(angles[np.arange(batch.num_rows), best])]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "pivot", "angle"])
+
+        return run
+
+    def _visits(self, rows: DataFrame, chosen) -> DataFrame:
+        """vec_id, tradition, v, x, y: queries of block x that are to meet block y, where chosen(lower angles, own block, kth) says so."""
+        pivots, owner, near, far = self.pivots, self.owner, self.near, self.far
+
+        def run(batches):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                v = _matrix(pa.chunked_array([batch.column("v")]))
+                angles = (np.arccos(np.clip(v @ pivots.T, -1, 1)) if len(pivots) else np.zeros((batch.num_rows, 1)))[:, owner]
+                lower = np.maximum(np.maximum(angles - far, near - angles), 0)
+                own = np.asarray(batch.column("block"))
+                at = np.argwhere(chosen(lower, own, np.asarray(batch.column("kth"))))
+                for a in range(0, len(at), 4096):
+                    part = batch.take(pa.array(at[a : a + 4096, 0]))
+                    cols = [part.column("vec_id"), part.column("tradition"), part.column("v"), part.column("block"), pa.array(at[a : a + 4096, 1].astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(cols, ["vec_id", "tradition", "v", "x", "y"])
+
+        return rows.mapInArrow(run, "vec_id long, tradition string, v array<double>, x int, y int")
+
+    def _found(self, visits: DataFrame) -> DataFrame:
+        """i, j, sim of the visits, a task for each pair of blocks."""
+        k, visits = self.k, checkpointed(visits)
+        cells = checkpointed(visits.select("x", "y").distinct())
+        self.met += cells.count()
+        right = self.rows.select(F.col("vec_id").alias("id2"), F.col("tradition").alias("t2"), F.col("v").alias("v2"), F.col("block").alias("y2"))
+        right = right.join(cells.select(F.col("x").alias("x2"), F.col("y").alias("y2")), "y2")
+        meet = visits.groupBy("x", "y").cogroup(right.groupBy("x2", "y2"))
+        return meet.applyInArrow(lambda left, right: _best_of(left, right, k), "i long, j long, sim double")
+
+    def run(self) -> DataFrame:
+        """i, j, sim, rank."""
+        asking = self.rows.where("asks").drop("asks")
+        closest = min(FIRST_BLOCKS, len(self.stats))
+
+        def first(lower: np.ndarray, own: np.ndarray, _: np.ndarray) -> np.ndarray:
+            out = np.zeros(lower.shape, bool)
+            np.put_along_axis(out, np.argpartition(lower, closest - 1, axis=1)[:, :closest], True, axis=1)
+            out[np.arange(len(own)), own] = True
+            return out
+
+        def rest(lower: np.ndarray, own: np.ndarray, kth: np.ndarray) -> np.ndarray:
+            # a little more than rounding can take away
+            return (np.cos(lower) >= kth[:, None] - 1e-9) & ~first(lower, own, kth)
+
+        one = checkpointed(_ranked(self._found(self._visits(asking.withColumn("kth", F.lit(-2.0)), first)), self.k))
+        kth = one.where(F.col("rank") == self.k).select(F.col("i").alias("vec_id"), F.col("sim").alias("kth"))
+        known = asking.join(kth, "vec_id", "left").withColumn("kth", F.coalesce("kth", F.lit(-2.0)))
+        two = self._found(self._visits(known, rest))
+        return _ranked(one.drop("rank").unionByName(two), self.k)
+
+
 def _pairs_of(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, ...]:
     """Of two blocks: ids of both ends and similarity of each pair of different traditions with a < b, its block, and the blocks' names."""
     a, b = np.asarray(left.column("vec_id")), np.asarray(right.column("id2"))

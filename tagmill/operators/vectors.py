@@ -23,6 +23,8 @@ MOST_BLOCKS = 200_000
 FEW_BLOCKS = 16
 MOST_PIVOTS = 1024
 FIRST_BLOCKS = 3
+#: Candidates of a block that one task fills, at most.
+GROUP_ROWS = 200_000
 #: Times its quota that a greedy fill looks at first in a block.
 POOL = 4
 
@@ -364,8 +366,22 @@ def work_weights(vectors: DataFrame, labels: DataFrame, shrink: float = 20.0) ->
 def greedy_fill(candidates: DataFrame, quotas: DataFrame, block: str, cap: int) -> DataFrame:
     """a, b, sim and the block: in each block its most similar pairs up to its quota, no vector more than `cap` times in a block.
 
-    Taking pairs in order needs state, so a block's candidates meet in one task; fill_from bounds them.
+    quotas may have `rows`, at least the number of the block's candidates; else these are counted. Blocks of up
+    to GROUP_ROWS are filled in one task each, pair after pair; larger ones in rounds over all tasks, with the
+    same result.
     """
+    if "rows" not in quotas.columns:
+        quotas = quotas.join(candidates.groupBy(block).agg(F.count("*").alias("rows")), block)
+    large = quotas.where(F.col("rows") > GROUP_ROWS)
+    if large.isEmpty():
+        return _filled(candidates, quotas, block, cap)
+    candidates = checkpointed(candidates)
+    small = _filled(candidates, quotas.where(F.col("rows") <= GROUP_ROWS), block, cap)
+    return small.unionByName(matched_in_rounds(candidates, large, block, cap))
+
+
+def _filled(candidates: DataFrame, quotas: DataFrame, block: str, cap: int) -> DataFrame:
+    """The fill of small blocks, some to a task: calls cost more than small blocks do."""
 
     def fill(part: pd.DataFrame) -> pd.DataFrame:
         kept = []
@@ -382,12 +398,60 @@ def greedy_fill(candidates: DataFrame, quotas: DataFrame, block: str, cap: int)
                     taken += 1
         return pd.DataFrame(kept, columns=["a", "b", "sim", block])
 
-    # some blocks to a task: calls cost more than small blocks do
     bundle = F.pmod(F.xxhash64(block), F.lit(max(1, quotas.count() // 64)))
     short = candidates.select("a", "b", "sim", block).join(quotas.select(block, "quota"), block)
     return short.withColumn("bundle", bundle).groupBy("bundle").applyInPandas(fill, f"a long, b long, sim double, {block} string")
 
 
+def matched_in_rounds(candidates: DataFrame, quotas: DataFrame, block: str, cap: int) -> DataFrame:
+    """The same fill as a b-matching in rounds, without a task that sees a block.
+
+    A pair that is at both its ends among the best open pairs that the end has room for would be taken whatever
+    becomes of the others, so it is taken; an end without room closes its other pairs. Pairs below the bin of
+    similarity where taken ones above meet the quota are closed too. The best open pair of a block is taken in
+    every round, so this ends; the last bin alone is ranked to cut the quota. Windows keep `cap` rows of an end,
+    cut before they are shuffled.
+    """
+    bin_ = F.least(F.greatest(F.floor((F.col("sim") + 1) * (BINS / 2)), F.lit(0)), F.lit(BINS - 1)).cast("int")
+    due = quotas.select(block, "quota")
+    open_ = checkpointed(candidates.select("a", "b", "sim", block).join(due, block).withColumn("bin_", bin_).drop("quota"))
+    order = Window.partitionBy(block, "v").orderBy(F.desc("sim"), "a", "b")
+    ends = lambda df: df.select(block, "a", "b", "sim", "bin_", F.explode(F.array("a", "b")).alias("v"))
+    taken = used = None
+    while not open_.isEmpty():
+        best = ends(open_).withColumn("r", F.row_number().over(order)).where(F.col("r") <= cap)
+        if used is not None:
+            best = best.join(used, [block, "v"], "left").where(F.col("r") <= cap - F.coalesce("used", F.lit(0)))
+        both = best.groupBy(block, "a", "b", "sim", "bin_").agg(F.count("*").alias("n")).where("n = 2").drop("n")
+        now = checkpointed(both)
+        taken = now if taken is None else checkpointed(taken.unionByName(now))
+        used = checkpointed(ends(taken).groupBy(block, "v").agg(F.count("*").alias("used")))
+        full = used.where(F.col("used") >= cap).select(block, "v")
+        enough = _bins_taken(taken, due, block).where(F.col("above") >= F.col("quota")).groupBy(block).agg(F.max("bin_").alias("enough"))
+        rest = open_.join(now.select(block, "a", "b"), [block, "a", "b"], "left_anti")
+        for end in ("a", "b"):
+            rest = rest.join(full.withColumnRenamed("v", end), [block, end], "left_anti")
+        rest = rest.join(enough, block, "left").where(F.col("enough").isNull() | (F.col("bin_") >= F.col("enough"))).drop("enough")
+        open_ = checkpointed(rest)
+    if taken is None:
+        return candidates.select("a", "b", "sim", block).limit(0)
+    # bins wholly inside the quota, and the one that it ends in
+    bins = _bins_taken(taken, due, block)
+    placed_ = taken.join(bins, [block, "bin_"])
+    inside = placed_.where(F.col("above") <= F.col("quota"))
+    edge = placed_.where((F.col("above") > F.col("quota")) & (F.col("above") - F.col("n") < F.col("quota")))
+    place = F.row_number().over(Window.partitionBy(block, "bin_").orderBy(F.desc("sim"), "a", "b"))
+    edge = edge.withColumn("place", place).where(F.col("place") <= F.col("quota") - (F.col("above") - F.col("n"))).drop("place")
+    return inside.unionByName(edge).select("a", "b", "sim", block)
+
+
+def _bins_taken(taken: DataFrame, due: DataFrame, block: str) -> DataFrame:
+    """block, bin_, n, above (pairs in this bin and those above it) and quota: at most BINS rows for each block."""
+    counts = taken.groupBy(block, "bin_").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.partitionBy(block).orderBy(F.desc("bin_")))
+    return counts.withColumn("above", above).join(due, block)
+
+
 def fill_from(vectors: DataFrame, part: str, quotas: DataFrame, cap: int, floors: DataFrame | None = None, but: DataFrame | None = None) -> DataFrame:
     """a, b, sim: greedy_fill over all pairs of each block that reach its floor and are not in `but`.
 
@@ -404,8 +468,9 @@ def fill_from(vectors: DataFrame, part: str, quotas: DataFrame, cap: int, floors
     histogram = checkpointed(pair_histogram(vectors, part).join(low, "block").where("bin >= least_").withColumn("above", above))
     done, pool = [], POOL
     while True:
-        enough = F.min(F.when(F.col("above") - F.col("n") < F.lit(pool) * F.col("quota"), F.col("bin"))).alias("least")
-        ranges = checkpointed(histogram.groupBy("block", "quota", "floor").agg(enough, F.min("bin").alias("last")).withColumn("most", F.lit(BINS - 1)))
+        wanted = F.col("above") - F.col("n") < F.lit(pool) * F.col("quota")
+        enough = [F.min(F.when(wanted, F.col("bin"))).alias("least"), F.max(F.when(wanted, F.col("above"))).alias("rows")]
+        ranges = checkpointed(histogram.groupBy("block", "quota", "floor").agg(*enough, F.min("bin").alias("last")).withColumn("most", F.lit(BINS - 1)))
         found = pairs_between(vectors, part, ranges).join(ranges.select("block", "floor"), "block").where("sim >= floor")
         found = found if but is None else found.join(but.select("a", "b"), ["a", "b"], "left_anti")
         picked = checkpointed(greedy_fill(found, ranges, "block", cap))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,12 +146,51 @@ def _runs(text: str) -> Column:
     return F.array_distinct(F.transform(F.array_compact(four), lambda x: F.xxhash64(x)))
 
 
+#: Characters of the items that one automaton looks for, apart from a single longer item.
+TRIE_CHARS = 1 << 20
+
+
+def found_briefly(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """item_id, n_leaks of items (item_id, item) that a row of docs holds: all items of a batch in one reading of each text.
+
+    A task builds the automaton of its batch, counts the texts that hold each item, and emits its counts at its end.
+    """
+    texts = checkpointed(items.select("item").distinct())
+    size = texts.agg(F.coalesce(F.sum(F.length("item")), F.lit(0))).first()[0]
+    batches, parts = -(-size // TRIE_CHARS), []
+    whole = docs.agg(F.count("text").alias("n")).select(F.lit("").alias("item"), "n")  # an empty item is everywhere
+    for number in range(batches):
+        # a batch of bounded size
+        some = [r["item"] for r in texts.where("item <> ''").where(F.pmod(F.xxhash64("item"), F.lit(batches)) == number).collect()]
+        if some:
+            parts.append(docs.select("text").mapInArrow(_counter(some), "item string, n long").groupBy("item").agg(F.sum("n").alias("n")))
+    counts = reduce(DataFrame.unionByName, parts, whole)
+    return items.join(counts, "item").select("item_id", F.col("n").alias("n_leaks")).where("n_leaks > 0")
+
+
+def _counter(wanted: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = ahocorasick.Automaton()
+        for i, item in enumerate(wanted):
+            trie.add_word(item, i)
+        trie.make_automaton()
+        counts: Counter[int] = Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                if text.is_valid:
+                    counts.update({i for _, i in trie.iter(text.as_py())})
+        yield pa.RecordBatch.from_arrays([pa.array([wanted[i] for i in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["item", "n"])
+
+    return run
+
+
 def containments(docs: DataFrame, items: DataFrame) -> DataFrame:
     """item_id, n_leaks: in how many rows of docs (doc_id, text) an item's text stands, wherever it begins.
 
     A text that holds an item holds the item's inner words as whole words. So an item of RUN + 2 words or more is
     looked for only in the texts that share its rarest inner run of words, and is then compared as it is. Shorter
-    items are compared with all texts, in blocks.
+    items go into automata of TRIE_CHARS characters, each of which reads every text once. A null text holds none, a
+    null item is in none, an empty one in every text.
     """
     inner = F.size(F.split("item", " ", -1)) - 2
     named = items.select("item_id", F.col("text").alias("item")).where("item IS NOT NULL")
@@ -165,7 +207,6 @@ def containments(docs: DataFrame, items: DataFrame) -> DataFrame:
     rarest = rarest.join(all_runs, "item_id").where("known = runs").select("item_id", F.col("x.run").alias("run"))
     meet = seen.join(rarest, "run").select("doc_id", "item_id").distinct()
     found = meet.join(long.select("item_id", "item"), "item_id").join(docs, "doc_id").where(F.contains(F.col("text"), F.col("item"))).select("item_id")
-    # short items: every text against all of them, as a nested loop over blocks of both
-    brief = named.where(inner < RUN).select("item_id", "item").join(docs.select("text"), F.contains(F.col("text"), F.col("item"))).select("item_id")
-    counts = found.union(brief).groupBy("item_id").agg(F.count("*").alias("n_leaks"))
+    brief = found_briefly(docs, named.where(inner < RUN).select("item_id", "item"))
+    counts = found.groupBy("item_id").agg(F.count("*").alias("n_leaks")).unionByName(brief)
     return items.select("item_id").join(counts, "item_id", "left").na.fill(0, ["n_leaks"])

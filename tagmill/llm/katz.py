@@ -501,6 +501,7 @@ def katz_scores(docs: DataFrame, train_folds: int = 7, held_fold: int = 2, key:
     a null key counts as an empty text in the fold; repeated rows count each; an empty table gives none. If no
     row is for training, train_tokens is 0 and scores are those of a model of unknown words only. The key must
     be an integer; other columns of `docs` are not carried. `order` is 2 or more. Rows equal in key and text go to one block.
+    Texts are scored whole, however long: a block holds some 10 MB of text, a longer text alone.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

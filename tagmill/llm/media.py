@@ -126,7 +126,12 @@ def cosine_hash(grid: np.ndarray) -> str:
 
 
 def store_media(docs: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
-    """`docs` with n_bytes (of the text in UTF-8) and the text as an image in a binary column; null counts as empty."""
+    """`docs` with n_bytes (of the text in UTF-8) and the text as an image in a binary column; null counts as empty.
+
+    Texts are stored whole, however long: a task holds a few copies of one text beside its batch. Equal texts and
+    repeated rows give equal images; an empty table gives none. New columns whose names are taken get a leading
+    underscore.
+    """
     names = [fresh("n_bytes", docs.columns), fresh(media, docs.columns)]
     schema = plus(docs.schema, **dict(zip(names, ("long", "binary"), strict=True)))
 

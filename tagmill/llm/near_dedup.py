@@ -406,7 +406,8 @@ def near_duplicates(
     the key is that. A row with a null key links with nothing, has a null component_id and is kept. Rows with
     one key give a row each, are connected with each other, and connect what their texts are similar to; rows
     without words are not. An empty table gives none. The key must be an integer; the
-    result has no other columns of `docs`, so clashing names do not matter.
+    result has no other columns of `docs`, so clashing names do not matter. Texts are taken whole, however long;
+    a task that compares a text holds all its shingles.
     """
     overlap = least_overlap(percent, k) if overlap is None else overlap
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))

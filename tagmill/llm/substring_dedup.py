@@ -217,7 +217,8 @@ def drop_repeats(docs: DataFrame, text: str = "text", size: int = WINDOW, blocks
     of fewer than `size` words lose nothing; kept_text joins the kept words by one space and is empty for a null
     text. Repeated rows lose all windows they share. An empty table gives none. New columns whose names are
     taken get a leading underscore. Windows count as equal by a 61-bit hash of their words' hashes and a 64-bit
-    digest of their words. Rows that are equal in every column go to one block.
+    digest of their words. Rows that are equal in every column go to one block. Texts are taken whole, however
+    long: a block holds some 10 MB of text, a longer text alone.
     """
     n = blocks or n_blocks(docs, text)
     dealt, block = in_blocks(docs, n, docs.columns)

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions.columns import dot, norm, rounded, shuffle_key, unit
-from tagmill.functions.working import checkpointed
+from tagmill.functions.working import checkpointed, places_within, sums_within
+
+#: Anchors of one concept that meet its list's head in one task.
+SLICE = 20_000
 
 
 def mean_vectors(rows: DataFrame, by: list[str], least: int = 1) -> DataFrame:
@@ -43,11 +46,10 @@ def matched_negatives(cells: DataFrame, concept: str, seed: str, times: int = 3)
     works = cells.groupBy("tradition", "work").agg(F.count_if(is_positive).alias("k"), F.count_if(~is_positive).alias("avail"))
     works = works.withColumn("take", F.least(F.col("k") * times, F.col("avail"))).withColumn("short", F.col("k") * times - F.col("take"))
     short = works.groupBy("tradition").agg(F.sum("short").alias("due"))
-    w = Window.partitionBy("tradition", "work").orderBy(shuffle_key(seed, "vec_id"))
-    ranked = cells.where(~is_positive).withColumn("place", F.row_number().over(w)).join(works, ["tradition", "work"]).join(short, "tradition")
+    ranked = places_within(cells.where(~is_positive), ["tradition", "work"], [shuffle_key(seed, "vec_id")], "place").join(works, ["tradition", "work"]).join(short, "tradition")
     taken = ranked.where(F.col("place") <= F.col("take")).select("vec_id", "tradition", F.lit("work").alias("pick"))
-    rest = Window.partitionBy("tradition").orderBy(shuffle_key(seed, "vec_id"))
-    more = ranked.where(F.col("place") > F.col("take")).withColumn("place", F.row_number().over(rest)).where(F.col("place") <= F.col("due"))
+    left = ranked.where(F.col("place") > F.col("take")).drop("place")
+    more = places_within(left, ["tradition"], [shuffle_key(seed, "vec_id")], "place").where(F.col("place") <= F.col("due"))
     return taken.unionByName(more.select("vec_id", "tradition", F.lit("rest").alias("pick")))
 
 
@@ -69,13 +71,23 @@ def pair_cosines(gold: DataFrame, dirs: DataFrame) -> DataFrame:
 
 
 def null_percentiles(scored: DataFrame, dirs: DataFrame) -> DataFrame:
-    """`scored` with the share, in percent, of all cells of ta against all cells of tb that lie strictly below its cosine."""
-    traditions = scored.select("ta", "tb").distinct()
+    """`scored` with the share, in percent, of all cells of ta against all cells of tb that lie strictly below its cosine.
+
+    The null's cosines and the scored ones of two traditions stand in one order, in which a count runs along. A
+    cosine that is null, or has no cells to lie among, has a null percentile.
+    """
+    traditions, dirs = scored.select("ta", "tb").distinct(), dirs.where("v IS NOT NULL")
     a = dirs.select(F.col("tradition").alias("ta"), F.col("v").alias("va"))
     b = dirs.select(F.col("tradition").alias("tb"), F.col("v").alias("vb"))
-    null = traditions.join(a, "ta").join(b, "tb").select("ta", "tb", dot("va", "vb").alias("null_cosine"))
-    below = scored.join(null, ["ta", "tb"]).groupBy("ta", "tb", "concept").agg((100 * F.avg((F.col("null_cosine") < F.col("cosine") - 1e-12).cast("double"))).alias("percentile"))
-    return scored.join(below, ["ta", "tb", "concept"], "left")
+    null = traditions.join(a, "ta").join(b, "tb").select("ta", "tb", dot("va", "vb").alias("value_"), F.lit(1).alias("cell_"))
+    # a scored value comes before the cells that it equals
+    both = scored.withColumns({"value_": F.col("cosine") - 1e-12, "cell_": F.lit(0)}).unionByName(null, allowMissingColumns=True)
+    placed = sums_within(both, ["ta", "tb"], [F.col("value_"), F.col("cell_")], {"cell_": "below_"}).where("cell_ = 0")
+    sizes = dirs.groupBy("tradition").agg(F.count("*").alias("n"))
+    side = lambda c: sizes.select(F.col("tradition").alias(c), F.col("n").alias(f"n_{c}"))
+    share = 100 * (F.col("below_") / (F.col("n_ta") * F.col("n_tb")))
+    out = placed.join(side("ta"), "ta", "left").join(side("tb"), "tb", "left")
+    return out.withColumn("percentile", F.when(F.col("cosine").isNotNull(), share)).select(*scored.columns, "percentile")
 
 
 def edge_vias(pairs: DataFrame, expresses: DataFrame) -> DataFrame:
@@ -100,27 +112,30 @@ def derived_panels(scores: DataFrame, floor: float, top_k: int) -> DataFrame:
 
     Each round takes one place of every concept's list of chunks by score; a partner of the anchor's own
     tradition uses up its turn; the first concept keeps a partner; picking stops after the round that reaches
-    2 top_k partners.
+    2 top_k partners. A concept may hold all chunks: places are counted by ranges, and its anchors meet the head
+    of its list in slices of about SLICE.
     """
-    w = Window.partitionBy("via").orderBy(F.desc("score"), "chunk")
-    good = checkpointed(scores.where(F.col("score") >= floor).withColumn("round", F.row_number().over(w)))
-    lengths = good.groupBy("via").agg(F.count("*").alias("length"))
-    anchors = good.select("via", F.col("chunk").alias("anchor"), F.col("tradition").alias("ta"))
+    good = checkpointed(places_within(scores.where(F.col("score") >= floor), ["via"], [F.desc("score"), F.col("chunk")], "round"))
+    # one row for each concept
+    lengths = F.broadcast(good.groupBy("via").agg(F.count("*").alias("length")).withColumn("slices", F.ceil(F.col("length") / SLICE).cast("int")))
+    slice_ = F.pmod(F.xxhash64("chunk"), F.col("slices")).cast("int")
+    anchors = good.join(lengths, "via").select("via", slice_.alias("slice"), F.col("chunk").alias("anchor"), F.col("tradition").alias("ta"))
     ranked = good.select("via", F.col("chunk").alias("partner"), F.col("tradition").alias("tp"), "round")
     whole = Window.partitionBy("anchor")
     upto = whole.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
     # few rounds are enough for most anchors, so only the heads of the lists meet; the others look further down
     done, depth = [], 4 * top_k
     while True:
-        met = anchors.join(ranked.where(F.col("round") <= depth), "via").where("ta <> tp")
+        heads = ranked.where(F.col("round") <= depth).join(lengths, "via").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        met = anchors.join(heads.drop("length", "slices"), ["via", "slice"]).where("ta <> tp")
         first = met.groupBy("anchor", "partner").agg(F.min(F.struct("round", "via")).alias("x")).select("anchor", "partner", "x.*")
         rounds = first.groupBy("anchor", "round").agg(F.count("*").alias("c"))
         rounds = rounds.withColumns({"before": F.coalesce(F.sum("c").over(upto), F.lit(0)), "total": F.sum("c").over(whole)})
         open_ = rounds.where(F.col("before") < 2 * top_k).select("anchor", "round", (F.col("total") < 2 * top_k).alias("short"))
-        longest = anchors.join(F.broadcast(lengths), "via").groupBy("anchor").agg(F.max("length").alias("length"))  # one row for each concept
+        longest = anchors.join(lengths, "via").groupBy("anchor").agg(F.max("length").alias("length"))
         some = checkpointed(first.join(open_, ["anchor", "round"]).join(longest, "anchor"))
         more = F.col("short") & (F.col("length") > depth)
-        done.append(some.where(~more).select("anchor", "partner", "via", "round"))
+        done.append(some.where(~more).select("anchor", "partner", "via", F.col("round").cast("int").alias("round")))
         met_none = longest.where(F.col("length") > depth).join(some.where(~more).select("anchor").distinct(), "anchor", "left_anti").select("anchor")
         left = checkpointed(met_none)
         if left.isEmpty():

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions.columns import pair_key, ratio, rounded, shuffle_key, text_of, tradition_of, wilson_lower
+from tagmill.functions.working import places_within
 from tagmill.operators.tagging import hash_ranked, with_tradition
 
 EDGE_TYPES = ("PARALLELS", "CONTRASTS", "surface_only", "unrelated")
@@ -118,13 +119,13 @@ def completeness(expected: DataFrame, graded: DataFrame, valid: Column) -> DataF
 def stratified(rows: DataFrame, strata: list[str], quota: int, seed: str, key: str) -> DataFrame:
     """A sample that takes one row of each stratum in turn until the quota is full.
 
-    A row's turn is its place in its stratum by a hash; turns before the last need no order among each other,
-    so only the last turn is ranked.
+    A row's turn is its place in its stratum by a hash; `pick` orders rows by turn and stratum, counted by ranges
+    of that order, so no task sees the turns of all strata.
     """
     w = Window.partitionBy(*strata).orderBy(shuffle_key(seed, key), key)
     turns = rows.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= quota)
-    order = Window.partitionBy(F.lit(0)).orderBy("turn", *strata)
-    return turns.withColumn("pick", F.row_number().over(order)).where(F.col("pick") <= quota)
+    picked = places_within(turns, [], [F.col("turn"), *[F.col(s) for s in strata]], "pick").where(F.col("pick") <= quota)
+    return picked.withColumn("pick", F.col("pick").cast("int"))
 
 
 def holdout_units(units: DataFrame, share: float, seed: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.functions.columns import rounded
+from tagmill.functions.working import places_within
 from tagmill.plans.registry import query
 from tagmill.sources.tables import Tables
 from tagmill.streaming import incremental
@@ -30,3 +31,10 @@ def event_windows(t: Tables) -> DataFrame:
 def log_progress(t: Tables) -> DataFrame:
     """Progress of each key in a log, of keys that have come far enough."""
     return t.raw("events").groupBy("user_id").agg(F.count("*").alias("n_rows"), F.max("event_id").alias("last_id")).where("n_rows >= 10")
+
+
+@query("SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY value DESC NULLS LAST, event_id) AS place FROM events")
+def place_in_type(t: Tables) -> DataFrame:
+    """The place of each event among all of its type, of which there are few: by ranges, so no type is one task's."""
+    e = t.raw("events").select("event_id", "event_type", "value")
+    return places_within(e, ["event_type"], [F.desc("value"), F.col("event_id")], "place").drop("value")

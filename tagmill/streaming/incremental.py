@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tagmill.sources.models import pair_keys, scored_pairs
 from tagmill.sources.tables import Tables
+from tagmill.streaming.caches import BUCKETS, ScoreCache
 
 
 def unseen(rows: DataFrame, cache: DataFrame, keys: list[str]) -> DataFrame:
@@ -19,20 +20,17 @@ def unseen(rows: DataFrame, cache: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(cache.select(*keys), keys, "left_anti").dropDuplicates(keys)
 
 
-def append_scores(rows: DataFrame, cache_path: str, keys: list[str], score: Callable[[DataFrame], DataFrame]) -> None:
-    """Score what the cache at `cache_path` lacks and append it; `score` gets only unseen rows."""
-    spark = rows.sparkSession
-    try:
-        cache = spark.read.parquet(cache_path)
-    except Exception as e:  # no cache yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        cache = None
-    todo = rows.dropDuplicates(keys) if cache is None else unseen(rows, cache, keys)
-    score(todo).write.mode("append").parquet(cache_path)
+def append_scores(rows: DataFrame, cache_path: str, keys: list[str], score: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS) -> None:
+    """Score what the cache at `cache_path` lacks and append it; `score` gets only unseen rows.
+
+    A batch that is replayed finds its keys in the cache and adds nothing; of one that was lost midway only the
+    rest is scored. buckets: of a cache that is new.
+    """
+    cache = ScoreCache(rows.sparkSession, cache_path, keys, buckets)
+    cache.append(score(cache.unseen(rows)))
 
 
-def score_pairs(pairs: DataFrame, cache_path: str, model: Callable, query: str = "query", chunk: str = "chunk_id", body: str = "body", out: str = "teacher_logit", slices: int = 16, **how) -> None:
+def score_pairs(pairs: DataFrame, cache_path: str, model: Callable, query: str = "query", chunk: str = "chunk_id", body: str = "body", out: str = "teacher_logit", slices: int = 16, buckets: int = BUCKETS, **how) -> None:
     """Add the model's scores of pairs that the cache lacks, keyed by the query's digest and the chunk.
 
     Pairs go in slices by a hash of their key, each appended when it is whole: a run that is interrupted has
@@ -46,14 +44,14 @@ def score_pairs(pairs: DataFrame, cache_path: str, model: Callable, query: str =
         return scored_pairs(todo, model, query, body, out, **how).select("qh", chunk, out)
 
     for n in range(slices):
-        append_scores(keyed.where(place == n), cache_path, ["qh", chunk], score)
+        append_scores(keyed.where(place == n), cache_path, ["qh", chunk], score, buckets)
 
 
-def score_stream(stream: DataFrame, cache_path: str, checkpoint: str, keys: list[str], score: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def score_stream(stream: DataFrame, cache_path: str, checkpoint: str, keys: list[str], score: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS) -> StreamingQuery:
     """The same for a stream: each micro-batch scores its unseen keys and appends them."""
 
     def batch(rows: DataFrame, _: int) -> None:
-        append_scores(rows, cache_path, keys, score)
+        append_scores(rows, cache_path, keys, score, buckets)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

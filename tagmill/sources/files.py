@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tomllib
 from collections.abc import Iterator
 
@@ -65,26 +66,60 @@ def toml_passages(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(_passages, schema)
 
 
+def _entries_of(node: object) -> object:
+    """A TOML table as its entries in the document's order, which a variant object would lose; texts stay, the rest is null."""
+    if isinstance(node, dict):
+        return [{"k": k, "v": _entries_of(v)} for k, v in node.items()]
+    return node if isinstance(node, str) else None
+
+
+def toml_trees(spark: SparkSession, path: str) -> DataFrame:
+    """file, tree: each TOML of a glob as a VARIANT of entries {k, v}, v a text or entries again; parsed in tasks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            made = [json.dumps(_entries_of(tomllib.loads(bytes(c).decode()))) for c in files["content"]]
+            yield pd.DataFrame({"file": files["file"], "made": made})
+
+    raw = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("file"), "content")
+    return raw.mapInPandas(run, "file string, made string").select("file", F.parse_json("made").alias("tree"))
+
+
+_WALK = """
+WITH RECURSIVE walk(file, path, keys, node) AS (
+  SELECT file, array(e.pos), array(variant_get(e.value, '$.k', 'string')), variant_get(e.value, '$.v', 'variant')
+  FROM {trees}, LATERAL variant_explode(tree) AS e
+  UNION ALL
+  SELECT file, array_append(path, e.pos), array_append(keys, variant_get(e.value, '$.k', 'string')), variant_get(e.value, '$.v', 'variant')
+  FROM walk, LATERAL variant_explode(node) AS e
+)
+SELECT file, path, keys, variant_get(node, '$', 'string') AS text FROM walk WHERE schema_of_variant(node) = 'STRING'
+"""
+
+
+def text_leaves(trees: DataFrame) -> DataFrame:
+    """file, path, keys, text: the texts of trees as toml_trees() makes them, one level of the recursion for each depth.
+
+    `path` has the places of the entries on the way and sorts as the document is written. Values that are neither
+    tables nor texts are left out. Trees of more than 100 levels, or 1,000,000 entries together, are an error.
+    """
+    return trees.sparkSession.sql(_WALK, trees=trees)
+
+
 def taxonomy(spark: SparkSession, path: str) -> DataFrame:
-    """domain, family, concept_id, definition from a TOML of three levels; a taxonomy is one small file."""
-    text = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]).decode()
-    rows = [(d, f, c, v) for d, fs in tomllib.loads(text).items() for f, cs in fs.items() for c, v in cs.items()]
-    return spark.createDataFrame(rows, "domain string, family string, concept_id string, definition string")
+    """domain, family, concept_id, definition from TOMLs of three levels; texts at other depths are left out."""
+    k = lambda i: F.get("keys", F.lit(i))
+    deep = text_leaves(toml_trees(spark, path)).where(F.size("keys") == 3)
+    return deep.select(k(0).alias("domain"), k(1).alias("family"), k(2).alias("concept_id"), F.col("text").alias("definition"))
 
 
 def concept_leaves(spark: SparkSession, path: str) -> DataFrame:
-    """concept_id ("concept." and the key) and definition of every text in a TOML of any depth; one small file."""
-
-    def leaves(tree: dict) -> Iterator[tuple[str, str]]:
-        for key, value in tree.items():
-            if isinstance(value, dict):
-                yield from leaves(value)
-            elif isinstance(value, str):
-                yield f"concept.{key}", value
+    """concept_id ("concept." and the key) and definition of every text in a TOML of any depth.
 
-    text = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]).decode()
-    # a key that stands in several places keeps its last definition
-    return spark.createDataFrame(list(dict(leaves(tomllib.loads(text))).items()), "concept_id string, definition string")
+    A key that stands in several places keeps its last definition.
+    """
+    named = text_leaves(toml_trees(spark, path)).withColumn("concept_id", F.concat(F.lit("concept."), F.element_at("keys", -1)))
+    return named.groupBy("concept_id").agg(F.max_by("text", F.struct("file", "path")).alias("definition"))
 
 
 def work_map(spark: SparkSession, path: str) -> DataFrame:

@@ -41,7 +41,7 @@ MISSED = 1e-10
 CHUNK = 512
 CHUNK_SHINGLES = 250_000
 #: Bytes of texts that are verified in one go.
-VERIFY_BYTES = 4_000_000
+VERIFY_BYTES = 2_000_000
 
 
 def least_overlap(percent: int, k: int = SKETCH) -> int:
@@ -102,18 +102,22 @@ def exact_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
     number = np.asarray(words.dictionary_encode().indices).astype(np.int64)
     first, end, owner = _windows(at, size)
-    place = first[:, None] + np.arange(size)
-    rows = np.where(place < end[:, None], number[np.minimum(place, len(number) - 1)], -1)
-    key = np.zeros(len(rows), np.uint64)
+    final = len(number) - 1
+    # the j-th word of every shingle, -1 where a short text has none; never the words of all places at once
+    word = lambda j: np.where(first + j < end, number[np.minimum(first + j, final)], -1)
+    key = np.zeros(len(first), np.uint64)
     for j in range(size):
-        key = mix64(key ^ rows[:, j].astype(np.uint64))
+        key = mix64(key ^ word(j).astype(np.uint64))
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]
-    differ = (rows[order][1:] != rows[order][:-1]).any(axis=1)
+    differ = np.zeros(len(same), bool)
+    for j in range(size):
+        placed = word(j)[order]
+        differ |= placed[1:] != placed[:-1]
     if (same & differ).any():  # two shingles with one key
-        ids = np.unique(rows, axis=0, return_inverse=True)[1].ravel()
+        ids = np.unique(np.stack([word(j) for j in range(size)], axis=1), axis=0, return_inverse=True)[1].ravel()
     else:
-        ids = np.empty(len(rows), np.int64)
+        ids = np.empty(len(first), np.int64)
         ids[order] = np.r_[0, np.cumsum(~same)]
     keep, to = _sets(owner, ids, len(texts))
     return [ids[keep[a:b]] for a, b in zip(to[:-1].tolist(), to[1:].tolist())]
@@ -250,7 +254,8 @@ def _verified(pairs: DataFrame, bodies: DataFrame, size: int, percent: int, tota
         for batch in batches:
             good: list[bool] = []
             texts, plain, which, held = {}, [], [], 0
-            for pair in zip(batch.column("body_a").to_pylist(), batch.column("body_b").to_pylist(), strict=True):
+            for both in zip(batch.column("body_a"), batch.column("body_b"), strict=True):
+                pair = [body.as_py() for body in both]
                 for body in pair:
                     if body not in texts:
                         texts[body] = len(plain)

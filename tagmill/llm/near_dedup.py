@@ -159,7 +159,7 @@ def _entries(classes: DataFrame) -> DataFrame:
 
 
 def _lists(entries: DataFrame, total: int, least: Column) -> DataFrame:
-    """value, id, low, high, size: the inverted lists, of two sets at least, that must show every similar pair.
+    """value, id, low, high, size: the inverted lists, of two sets at least, that must show every similar pair; stored.
 
     entries: id, set (which tells an id's sets apart), n and value. `least` is how many of a set's values any
     partner must share; so each set enters the lists of all but its least - 1 most frequent ones.
@@ -171,9 +171,12 @@ def _lists(entries: DataFrame, total: int, least: Column) -> DataFrame:
     # values of no other set are the rarest, and need no list
     take = F.greatest(F.size("vs") - least + 1, F.lit(0)).cast("int")
     picked = mine.select("id", F.explode(F.slice("vs", 1, take)).alias("v"))
-    picked = picked.select(F.col("v.value").alias("value"), "id")
+    # written, as each of its uses would repeat its plan on the driver
+    picked = stored(picked.select(F.col("v.value").alias("value"), "id"), "picked")
     ends = picked.groupBy("value").agg(F.count("*").alias("size"), F.min("id").alias("low"), F.max("id").alias("high")).where("size > 1")
-    return join_heavy(picked, ends, "value", ends.where(F.col("size") > much))
+    lists = stored(join_heavy(picked, ends, "value", ends.where(F.col("size") > much)), "lists")
+    forget(picked)
+    return lists
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -276,22 +279,22 @@ def components(links: DataFrame) -> DataFrame:
     """id, root: for every id in links (a, b), the smallest id it is connected with; stored.
 
     Alternates between linking each id's larger neighbours, and each id, to its smallest neighbour, until
-    nothing changes; each round is written to the shared folder.
+    nothing changes; both halves of a round are written to the shared folder, which keeps their plans small.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     summary = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     before, now = None, summary()
     while now != before:
         much = heavy_above(2 * now[0])
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("times"))
         wide = join_heavy(both, low, "u", low.where(F.col("times") > much)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ups = edges.union(wide).where("u <> v")
+        ups = stored(edges.union(wide).where("u <> v"), "links")
         least = ups.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("times"))
         hop = join_heavy(ups, least, "u", least.where(F.col("times") > much)).select(F.col("v").alias("u"), F.col("m").alias("v"))
         linked = least.select("u", F.col("m").alias("v")).union(hop).where("u <> v")
         last, edges = edges, stored(linked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-        forget(last)
+        forget(last, ups)
         before, now = now, summary()
     stars = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("id"), "root")
     roots = stored(stars.union(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()).groupBy("id").agg(F.min("root").alias("root")), "roots")
@@ -349,13 +352,14 @@ def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, perc
     spanning = lambda some: some.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("times")).where("x <> y").select("value", "times")
     rooted = lambda some: some.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     open_lists = rooted(lists.where("size > 3").select("value", "id"))
-    split = spanning(open_lists)
+    split = stored(spanning(open_lists), "split")
     members = join_heavy(open_lists, split, "value", split.where(F.col("times") > heavy_above(lists.count()))).select("id").distinct()
     entries = stored(_shingles(members, bodies, size), "shingles")
     total = entries.count()
-    narrow = stored(_lists(entries, total, F.ceil(F.col("n") * percent / 100)).select("value", "id", "low"), "lists")
-    again = rooted(narrow)
-    split = spanning(again)
+    forget(split)
+    narrow = _lists(entries, total, F.ceil(F.col("n") * percent / 100))
+    again = rooted(narrow.select("value", "id", "low"))
+    split = stored(spanning(again), "split")
     meets = join_heavy(again, split, "value", split.where(F.col("times") > heavy_above(total))).groupBy("low", "id").agg(F.min("root").alias("root"))
     meets = stored(meets.join(entries.groupBy("id").agg(F.count("*").alias("n")), "id"), "meets")
     weight = F.greatest(F.count("*") / CHUNK, F.sum("n") / CHUNK_SHINGLES)
@@ -396,7 +400,7 @@ def _rest(lists: DataFrame, bodies: DataFrame, roots: DataFrame, size: int, perc
         return pa.table([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     found = stored(dealt.groupBy("low", "x", "y").applyInArrow(compare, "a long, b long"), "verified")
-    forget(entries, narrow, meets)
+    forget(entries, narrow, split, meets)
     return found
 
 
@@ -426,7 +430,7 @@ def near_duplicates(
     # a set whose partners all fit their sketches too has at least percent % of it in common with any of them
     least = F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(overlap))
     total = classes.agg(F.coalesce(F.sum(held), F.lit(0)), F.coalesce(F.sum("times"), F.lit(0))).first()
-    lists = stored(_lists(_entries(classes), total[0], least), "lists")
+    lists = _lists(_entries(classes), total[0], least)
     stars = lists.select(F.col("id").alias("a"), F.explode(F.array("low", "high")).alias("b"))
     pairs = stored(_ordered(stars), "pairs")
     n_pairs = pairs.count()

@@ -59,8 +59,8 @@ def shrunk(works: DataFrame, groups: DataFrame, k: float = 5.0) -> DataFrame:
 
 
 def partition_cost(edges: DataFrame, holdout: DataFrame) -> DataFrame:
-    """Edges with no, both or one end in the holdout."""
-    held = F.broadcast(holdout.select(F.col("chunk_id").alias("c"), F.lit(1).alias("in_")))
+    """Edges with no, both or one end in the holdout, each once, however often the holdout has an id."""
+    held = holdout.select(F.col("chunk_id").alias("c"), F.lit(1).alias("in_")).distinct()
     side = lambda df, c: df.join(held.select(F.col("c").alias(c), F.col("in_").alias(f"in_{c}")), c, "left")
     both = side(side(edges, "source_chunk"), "target_chunk").na.fill(0, ["in_source_chunk", "in_target_chunk"])
     ends = F.col("in_source_chunk") + F.col("in_target_chunk")

@@ -23,7 +23,7 @@ def shifted(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["group_key", "human_metrics"])
+@pytest.mark.parametrize("name", ["group_key", "human_metrics", "partition_cost"])
 def test_equals_sql(spark, shifted, name):
     chunks = connect(shifted).execute("SELECT count(*) - count(DISTINCT c_nationkey || '.' || c_mktsegment || '.' || lpad(o_orderkey::VARCHAR, 6, '0')) FROM orders JOIN customer ON o_custkey = c_custkey").fetchall()
     assert chunks[0][0] > 0

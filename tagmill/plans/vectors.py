@@ -22,9 +22,10 @@ _CUR = _UN | {"cur": "SELECT DISTINCT least(i, j) AS a, greatest(i, j) AS b, sim
 _BAND = "CASE WHEN rank BETWEEN 6 AND 10 THEN '06-10' WHEN rank BETWEEN 11 AND 25 THEN '11-25' WHEN rank BETWEEN 26 AND 50 THEN '26-50' END"
 
 
-def _current(t: Tables) -> DataFrame:
-    """Everyone's ten nearest of other traditions at 0.2 or more, each pair once."""
-    return vec.unordered(vec.neighbours(t.vectors, 10, 0.2)).select("a", "b", "sim")
+def _current(t: Tables, near: DataFrame | None = None) -> DataFrame:
+    """Everyone's ten nearest of other traditions at 0.2 or more, each pair once; near: ten neighbours or more, if known."""
+    near = vec.neighbours(t.vectors, 10, 0.2) if near is None else near.where("rank <= 10 AND sim >= 0.2")
+    return vec.unordered(near).select("a", "b", "sim")
 
 
 @query("SELECT vec_id, round_even(sqrt(list_dot_product(v, v)), 6) AS n FROM vectors")
@@ -190,8 +191,10 @@ def select_worklevel(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT a, b FROM (SELECT a, b FROM cur UNION ALL SELECT a, b FROM un WHERE rank <= 2)", _CUR)
 def hybrid_candidates(t: Tables) -> DataFrame:
-    near = vec.unordered(vec.neighbours(t.vectors, 50)).where("rank <= 2").select("a", "b")
-    return _current(t).select("a", "b").union(near).distinct()
+    # a pair's better rank is 2 or less if one of its ends has it among its two nearest: ten hold both selections
+    near = checkpointed(vec.neighbours(t.vectors, 10))
+    first = vec.unordered(near.where("rank <= 2")).select("a", "b")
+    return _current(t, near).select("a", "b").union(first).distinct()
 
 
 #: Vectors whose passage has a text.
@@ -211,8 +214,11 @@ _ARMS = _CUR | {
 
 @query("SELECT arm, a, b FROM (SELECT *, row_number() OVER (PARTITION BY arm ORDER BY sha256('13:' || a || ':' || b)) AS r FROM pa WHERE a IN (SELECT vec_id FROM readable) AND b IN (SELECT vec_id FROM readable)) WHERE r <= 60", _ARMS | _READABLE)
 def probe_arms(t: Tables) -> DataFrame:
-    challenger = vec.unordered(vec.neighbours(t.vectors, 50)).where("rank BETWEEN 2 AND 12").select("a", "b")
-    return pairs.probe_arms(_current(t).select("a", "b"), challenger, _readable(t), 60, "13")
+    # better ranks up to 12 show among the twelve nearest; both sides are read twice
+    near = checkpointed(vec.neighbours(t.vectors, 12))
+    challenger = checkpointed(vec.unordered(near).where("rank BETWEEN 2 AND 12").select("a", "b"))
+    current = checkpointed(_current(t, near).select("a", "b"))
+    return pairs.probe_arms(current, challenger, _readable(t), 60, "13")
 
 
 _DRAW = "('0x' || substr(sha256('17:' || {side} || ':' || r), 1, 8))::BIGINT"

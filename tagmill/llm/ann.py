@@ -188,13 +188,46 @@ def _all_compared(k: int):
     return compare
 
 
+def _within(books, k: int):
+    """Of a chunk each query's k nearest rows that can be at its distance `kth` or nearer, by codes and errors, then exactly."""
+
+    def compare(probe: pa.Table, part: pa.Table) -> pa.Table:
+        names = ["query_id", "id", "guess"]
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if probe.num_rows and part.num_rows:
+            asks, ids, kth = (np.asarray(x) for x in (probe.column("id"), part.column("id"), probe.column("kth")))
+            q, v = _matrix(probe.column("v")), _matrix(part.column("v"))
+            codes = np.frombuffer(b"".join(part.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1).T.copy()
+            length, error, square = (np.asarray(part.column(c)) for c in ("length", "error", "square"))
+            unit, size = directions(q)
+            words = books.value.astype(np.float64)
+            for a in range(len(asks)):
+                lookup, dot = words @ unit[a], np.zeros(len(ids))
+                for j in range(len(lookup)):
+                    dot += lookup[j][codes[j]]
+                with np.errstate(all="ignore"):
+                    r = length / size[a]
+                    # the code's distance, a little less than rounding can add, and the error, in lengths of the query
+                    least = np.sqrt(np.maximum(1 + r * (r * square - 2 * dot) - 1e-12 * (1 + r) ** 2, 0)) - r * error
+                    near = ~(least > kth[a] / size[a] * (1 + 1e-9)) | ~np.isfinite(r)
+                at = np.flatnonzero(near & (ids != asks[a]))
+                score = np.concatenate([np.empty(0), *[exact_distances(v[at[x : x + 8192]], q[a]) for x in range(0, len(at), 8192)]])
+                order = np.lexsort((score, ids[at]))
+                order = order[np.r_[True, ids[at][order][1:] != ids[at][order][:-1]]] if len(order) else order
+                best = order[smallest(score[order], ids[at][order], k)]
+                out.append((np.full(len(best), asks[a]), ids[at][best], score[best]))
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names)
+
+    return compare
+
+
 def _met(asked: DataFrame, part: DataFrame, n_asked: int, chunks: int, compare) -> DataFrame:
     """compare(block of queries, chunk of rows) for every block and chunk."""
     blocks = max(1, -(-n_asked // QUERY_BLOCK))
     chunk, block = F.pmod(F.xxhash64("id"), F.lit(chunks)), F.pmod(F.xxhash64("id"), F.lit(blocks))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     side = part.withColumns({"chunk": chunk, "block": every(blocks)})
-    probes = asked.select("id", "v", block.alias("block"), every(chunks).alias("chunk"))
+    probes = asked.select("id", "v", *[c for c in ("kth",) if c in asked.columns], block.alias("block"), every(chunks).alias("chunk"))
     return probes.groupBy("chunk", "block").cogroup(side.groupBy("chunk", "block")).applyInArrow(compare, _FOUND)
 
 
@@ -217,8 +250,8 @@ def search(
     another length than the most frequent one take no part either. Rows with one key are one neighbour, or one
     query, at the distance of the nearest of them; rows with a query's own key are not its candidates. Fewer
     candidates than k give all of them; an empty table gives none. Codebooks are fitted in one task on at most
-    SAMPLE vectors in the order of a hash of the key; every vector is indexed. The driver gathers the codebooks
-    only. Queries of lengths beyond EXTREME are compared with all vectors. Other columns are not carried.
+    SAMPLE vectors in the order of a hash of the key; every vector is indexed, and what the codes cannot rule out
+    is compared exactly, so the result does not depend on that sample. The driver gathers the codebooks only. Queries of lengths beyond EXTREME are compared with all vectors. Other columns are not carried.
     """
     spark = vectors.sparkSession
     clean = usable(vectors.select(F.col(key).alias("id"), F.col(column).cast("array<double>").alias("v"), queries.alias("asks")), "id", "v")
@@ -246,10 +279,14 @@ def search(
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 unit, size = directions(_matrix(part.column("v")))
-                codes = pa.array([c.tobytes() for c in encode(unit, books.value)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("asks"), codes, pa.array(size)], ["id", "asks", "codes", "length"])
-
-    table = stored(clean.mapInArrow(index, "id long, asks boolean, codes binary, length double"), "additive-index")
+                codes = encode(unit, books.value)
+                made = decode(codes, books.value.astype(np.float64))
+                error, square = np.sqrt(((unit - made) ** 2).sum(1)), (made**2).sum(1)
+                codes = pa.array([c.tobytes() for c in codes], pa.binary())
+                columns = [part.column("id"), part.column("v"), part.column("asks"), codes, pa.array(size), pa.array(error), pa.array(square)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "v", "asks", "codes", "length", "error", "square"])
+
+    table = stored(clean.mapInArrow(index, "id long, v array<double>, asks boolean, codes binary, length double, error double, square double"), "additive-index")
     asked = stored(clean.where("asks").select("id", "v"), "additive-queries")
     odd = ~table["length"].between(median / EXTREME, median * EXTREME)
     n = table.where("asks").agg(F.count("*").alias("n"), F.count_if(odd).alias("odd")).first()
@@ -262,10 +299,20 @@ def search(
         far = table.where(F.col("asks") & odd).select("id").distinct()
         sure = _met(asked.join(far, "id", "left_semi"), clean.select("id", "v"), n["odd"], chunks, _all_compared(k))
         near = near.union(sure.select("query_id", "id")).distinct()
-    pairs = near.join(clean.select("id", "v"), "id").join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
-    scored = pairs.groupBy("query_id", "id").agg(F.min(_distance(F.col("v"), F.col("q"))).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(key), "score")
+    places = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
+
+    def ranked(found: DataFrame) -> DataFrame:
+        pairs = found.join(table.select("id", "v"), "id").join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
+        scored = pairs.groupBy("query_id", "id").agg(F.min(_distance(F.col("v"), F.col("q"))).alias("score"))
+        return scored.withColumn("rank", places).where(F.col("rank") <= k)
+
+    first = stored(ranked(near).select("query_id", "id", "score", "rank"), "additive-first")
+    kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    bounded = asked.join(kth, "id", "left").na.fill({"kth": float("inf")})
+    more = _met(bounded, table.drop("asks"), n["n"], chunks, _within(books, k))
+    more = more.withColumn("r", F.row_number().over(best)).where(F.col("r") <= 2 * k).select("query_id", "id")
+    out = ranked(first.select("query_id", "id").union(more).distinct())
+    return out.select("query_id", "rank", F.col("id").alias(key), "score")
 
 
 def neighbours_report(vectors: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-The model is over characters, so it knows words it has not seen. N-gram counts of a bounded sample of trusted
+The model is over characters, so it knows words it has not seen. N-gram counts of a third of all trusted
 texts are summed in Spark, sharded by n-gram; lower orders count distinct left neighbours; joins of the counts
 with their contexts' sums and with the next lower order, each sharded by key, give every seen n-gram's
 interpolated probability and every context's weight. The same joins give the probability of every n-gram that
@@ -29,7 +29,7 @@ from tagmill.llm.exchange import MOST_PARTITIONS, n_blocks
 from tagmill.llm.wordhash import mix64
 
 ORDER = 5
-#: Texts that the model is fitted on, at most. The thresholds have no bound.
+#: The fold that the model is fitted on: hashes below this, modulo three times this. Neither it nor the thresholds have a bound.
 TRAIN_TEXTS = 3000
 #: Bins of an octave in which quantiles are looked for.
 BINS = 256
@@ -328,7 +328,7 @@ def assess(
     """`docs` with perplexity and accepted.
 
     trusted: a column `key` of rows whose text is trusted; `source` (by default `docs`) holds their texts. The
-    model is fitted on at most TRAIN_TEXTS of them, in the order of a hash of the key, all taken whole. A text is
+    model is fitted on every third of them, by a hash of the key, all taken whole; all others are held out. A text is
     accepted if its perplexity lies between the `low` quantile over `slack` and the `high` quantile times `slack`
     of its language. The high one is taken over the trusted texts that the model was not fitted on, the low one
     over all trusted texts: the model finds those it has seen, and their copies, likelier than others, and none
@@ -344,16 +344,15 @@ def assess(
     texts = source.where(F.octet_length(text) > 0)
     good = trusted.select(key).distinct()
     h = F.xxhash64(F.col(key).cast("string"))
-    # a third of a small table; the rest is held out
+    # a third; the rest is held out
     best = texts.select(key).where(F.pmod(h, F.lit(3 * TRAIN_TEXTS)) < TRAIN_TEXTS).join(good, key, "left_semi").distinct()
-    # a bounded list of ids, at most TRAIN_TEXTS
-    ids = stored(best.orderBy(h, key).limit(TRAIN_TEXTS), "trained")
-    model = train(texts.select(key, text).join(F.broadcast(ids), key, "left_semi"), text)
+    ids = stored(best, "trained")
+    model = train(texts.select(key, text).join(ids, key, "left_semi"), text)
     every = docs.select(key, text) if source is docs else docs.select(key, text).union(source.select(key, text))
     scores = perplexities(every, model, key, text)
     # digests, not texts, are dealt and joined
     known = texts.select(key, F.col(lang).alias("group"), digest_of(text).alias("digest")).join(good, key, "left_semi")
-    known = known.join(F.broadcast(ids.select(key, F.lit(True).alias("fitted"))), key, "left")
+    known = known.join(ids.select(key, F.lit(True).alias("fitted")), key, "left")
     # a group for each language, and one of all; of all trusted texts (t) and of those that were not fitted (h)
     names = lambda side: [F.concat(F.lit(f"{side}l"), "group"), F.lit(f"{side}all")]
     groups = F.explode(F.when(F.col("fitted"), F.array(*names("t"))).otherwise(F.array(*names("t"), *names("h")))).alias("group")

@@ -165,7 +165,7 @@ def _lists(entries: DataFrame, total: int, least: Column) -> DataFrame:
     partner must share; so each set enters the lists of all but its least - 1 most frequent ones.
     """
     much = heavy_above(total)
-    shared = entries.groupBy("value").agg(F.count("*").alias("times")).where("times > 1")
+    shared = stored(entries.groupBy("value").agg(F.count("*").alias("times")).where("times > 1"), "shared")
     mine = join_heavy(entries, shared, "value", shared.where(F.col("times") > much))
     mine = mine.groupBy("id", "set", "n").agg(F.sort_array(F.collect_list(F.struct("times", "value"))).alias("vs"))
     # values of no other set are the rarest, and need no list
@@ -175,7 +175,7 @@ def _lists(entries: DataFrame, total: int, least: Column) -> DataFrame:
     picked = stored(picked.select(F.col("v.value").alias("value"), "id"), "picked")
     ends = picked.groupBy("value").agg(F.count("*").alias("size"), F.min("id").alias("low"), F.max("id").alias("high")).where("size > 1")
     lists = stored(join_heavy(picked, ends, "value", ends.where(F.col("size") > much)), "lists")
-    forget(picked)
+    forget(shared, picked)
     return lists
 
 
@@ -205,17 +205,31 @@ def _sketch_rows(col: pa.Array, k: int) -> np.ndarray:
     return out
 
 
-def _beside(pairs: DataFrame, side: DataFrame, mine: str, other: str, total: int) -> DataFrame:
-    """pairs joined with side on `mine`; the pairs of an id with very many are dealt over several tasks, with a copy of its row for each."""
+def _hubs(pairs: DataFrame, side: DataFrame, first: str, second: str, total: int) -> dict[str, DataFrame]:
+    """For `first` and `second`, joined with side's ids in this order: id and parts of ids with very many pairs; stored.
+
+    Both are counted on the pairs: a plan that counted the second on what the first join gives would hold that
+    join three times. A pair counts to its second as often as side has its first.
+    """
     much = heavy_above(total)
-    hubs = pairs.groupBy(mine).agg(F.count("*").alias("n_")).where(F.col("n_") > much).select(mine, F.ceil(F.col("n_") / much).cast("int").alias("parts"))
+    many = lambda c, rows: stored(rows.groupBy(F.col(c).alias("id")).agg(F.sum("n_").alias("n_")).where(F.col("n_") > much).select("id", F.ceil(F.col("n_") / much).cast("int").alias("parts")), "hubs")
+    again = stored(side.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1"), "again")
+    times = pairs.join(again.withColumnRenamed("id", first), first, "left").withColumn("n_", F.coalesce("rows", F.lit(1)))
+    hubs = {first: many(first, pairs.withColumn("n_", F.lit(1))), second: many(second, times)}
+    forget(again)
+    return hubs
+
+
+def _beside(pairs: DataFrame, side: DataFrame, mine: str, other: str, hubs: dict[str, DataFrame]) -> DataFrame:
+    """pairs joined with side on `mine`; the pairs of a hub are dealt over its parts, with a copy of its row for each."""
+    own = hubs[mine].withColumnRenamed("id", mine)
     parts = F.coalesce("parts", F.lit(1))
-    marked = pairs.join(F.broadcast(hubs), mine, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
-    copies = side.join(F.broadcast(hubs), mine, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    marked = pairs.join(F.broadcast(own), mine, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
+    copies = side.join(F.broadcast(own), mine, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     return marked.join(copies, [mine, "part"]).drop("part")
 
 
-def _promising(pairs: DataFrame, classes: DataFrame, k: int, least: float, total: int) -> DataFrame:
+def _promising(pairs: DataFrame, classes: DataFrame, k: int, least: float, hubs: dict[str, DataFrame]) -> DataFrame:
     """The pairs whose estimated similarity reaches `least`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +238,7 @@ def _promising(pairs: DataFrame, classes: DataFrame, k: int, least: float, total
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    both = _beside(_beside(pairs, side("a"), "a", "b", total), side("b"), "b", "a", total)
+    both = _beside(_beside(pairs, side("a"), "a", "b", hubs), side("b"), "b", "a", hubs)
     near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least
     # an id with several sets has a row for each
     return both.where(near).select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long").distinct()
@@ -242,7 +256,7 @@ def _packed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias(key), text).where(F.col(key).isNotNull()).mapInArrow(run, "id long, body binary")
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, size: int, percent: int, total: int) -> DataFrame:
+def _verified(pairs: DataFrame, bodies: DataFrame, size: int, percent: int, hubs: dict[str, DataFrame]) -> DataFrame:
     """The pairs that are similar by their full shingle sets."""
 
     def similar(texts: dict[bytes, int], plain: list[bytes], which: list[tuple[int, int]]) -> list[bool]:
@@ -272,7 +286,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame, size: int, percent: int, tota
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     side = lambda c: bodies.select(F.col("id").alias(c), F.col("body").alias(f"body_{c}"))
-    return _beside(_beside(pairs, side("b"), "b", "a", total), side("a"), "a", "b", total).mapInArrow(run, "a long, b long")
+    return _beside(_beside(pairs, side("b"), "b", "a", hubs), side("a"), "a", "b", hubs).mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -434,10 +448,14 @@ def near_duplicates(
     stars = lists.select(F.col("id").alias("a"), F.explode(F.array("low", "high")).alias("b"))
     pairs = stored(_ordered(stars), "pairs")
     n_pairs = pairs.count()
-    likely = stored(_promising(pairs, classes, k, overlap / k, n_pairs), "pairs")
+    hubs = _hubs(pairs, classes, "a", "b", n_pairs)
+    likely = stored(_promising(pairs, classes, k, overlap / k, hubs), "pairs")
+    forget(*hubs.values())
     texts = _packed_texts(rows, "id", "text")
     bodies = stored(texts.join(lists.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "body"]), "bodies")
-    links = stored(_verified(likely, bodies, size, percent, n_pairs), "verified")
+    hubs = _hubs(likely, bodies, "b", "a", n_pairs)
+    links = stored(_verified(likely, bodies, size, percent, hubs), "verified")
+    forget(*hubs.values())
     roots = components(links)
     more = _rest(lists, bodies, roots, size, percent)
     # a key with several texts connects their classes

@@ -112,11 +112,12 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame
         tally = here.agg(*[F.count_if(F.col("n") == i).cast("double").alias(f"t{i}") for i in range(1, 5)], F.count("*").alias("types"))
         y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
         ds = [F.least(F.greatest(F.coalesce(i - (i + 1) * y * F.try_divide(F.col(f"t{i + 1}"), F.col(f"t{i}")), F.lit(0.5)), F.lit(0.05)), F.lit(0.95 * i)) for i in (1, 2, 3)]
-        tally = tally.select("types", *[d.alias(f"d{i}") for i, d in enumerate(ds, 1)])
+        tally = kept(tally.select("types", *[d.alias(f"d{i}") for i, d in enumerate(ds, 1)]), "tally")
         here = here.crossJoin(F.broadcast(tally)).withColumn("context", F.shiftright("gram", _BITS))
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         here = here.withColumn("cut", cut)
-        sums = here.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("weight"))
+        # read by the join and by the model, whose plan would repeat the counts' plans of all orders
+        sums = kept(here.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("weight")), "contexts")
         part = here.join(sums, "context").withColumn("own", (F.col("n") - F.col("cut")) / F.col("total"))
         if lower is None:
             probs = part.select("gram", (F.col("own") + F.col("weight") / (F.col("types") + 1)).alias("p"))

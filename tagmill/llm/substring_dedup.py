@@ -23,6 +23,8 @@ from tagmill.llm.exchange import cuts, in_blocks, n_blocks
 from tagmill.llm.wordhash import window_hashes, word_hashes, word_spans
 
 WINDOW = 35
+#: Keys that a task sorts at once, about.
+SORTED = 1 << 18
 #: Kinds of questions, by the number of numbers that make a key.
 _HASHES, _DIGESTS = 1, 2
 _MESSAGE = "kind int, block long, shard long, payload binary"
@@ -57,31 +59,45 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Asked:
-    """The distinct keys of a block: hashes, or hashes with digests, in order; and how to bring answers back."""
+    """The distinct keys of a block: hashes, or hashes with digests, in order; and how to bring answers back.
+
+    Keys are sorted a run of shards at a time, so that a task holds little more than the keys themselves.
+    """
 
     def __init__(self, shards: int, *keys: np.ndarray) -> None:
-        self.order, self.starts = _groups(*keys)
-        self.sizes = np.diff(np.r_[self.starts, len(self.order)])
-        self.keys = [k[self.order[self.starts]] for k in keys]
-        self.cuts = cuts(self.keys[0], shards)
+        self.shards, self.keys = shards, keys
+
+    def _runs(self):
+        """For each run of shards with about SORTED keys: the places of its keys, in order, where equal ones start, and the distinct keys."""
+        n, width = len(self.keys[0]), -(-(1 << 64) // self.shards)
+        step = max(1, self.shards * SORTED // max(1, n))
+        for s in range(0, self.shards, step):
+            mine = np.ones(n, bool) if s == 0 else self.keys[0] >= np.uint64(s * width)
+            if s + step < self.shards:
+                mine &= self.keys[0] < np.uint64((s + step) * width)
+            rows = np.flatnonzero(mine)
+            order, starts = _groups(*[k[rows] for k in self.keys])
+            rows = rows[order]
+            yield rows, starts, [k[rows[starts]] for k in self.keys]
 
     def messages(self, kind: int, block: int) -> pa.Table:
-        twice = self.sizes > 1
-        payload = []
-        for _, a, b in self.cuts:
-            parts = [pack(self.keys[0][a:b], delta=True), *[pack(k[a:b]) for k in self.keys[1:]], _bits(twice[a:b])]
-            payload.append(np.array([b - a, *map(len, parts)], np.uint64).tobytes() + b"".join(parts))
-        return _messages(kind, [block] * len(payload), [s for s, _, _ in self.cuts], payload)
+        shards, payload = [], []
+        for rows, starts, keys in self._runs():
+            twice = np.diff(np.r_[starts, len(rows)]) > 1
+            for s, a, b in cuts(keys[0], self.shards):
+                parts = [pack(keys[0][a:b], delta=True), *[pack(k[a:b]) for k in keys[1:]], _bits(twice[a:b])]
+                payload.append(np.array([b - a, *map(len, parts)], np.uint64).tobytes() + b"".join(parts))
+                shards.append(s)
+        return _messages(kind, [block] * len(payload), shards, payload)
 
     def told(self, shards: list[int], blobs: list[bytes]) -> np.ndarray:
         """For each row whether its key is repeated anywhere."""
-        repeated = np.zeros(len(self.starts), bool)
-        where = {s: (a, b) for s, a, b in self.cuts}
-        for s, blob in zip(shards, blobs, strict=True):
-            a, b = where[s]
-            repeated[a:b] = _flags(blob, b - a)
-        out = np.empty(len(self.order), bool)
-        out[self.order] = np.repeat(repeated, self.sizes)
+        answer, out = dict(zip(shards, blobs, strict=True)), np.zeros(len(self.keys[0]), bool)
+        for rows, starts, keys in self._runs():
+            repeated = np.zeros(len(starts), bool)
+            for s, a, b in cuts(keys[0], self.shards):
+                repeated[a:b] = _flags(answer[s], b - a)
+            out[rows] = np.repeat(repeated, np.diff(np.r_[starts, len(rows)]))
         return out
 
 
@@ -115,19 +131,31 @@ def _answer(part: pa.Table) -> pa.Table:
         parts = [q[e - int(m) : e] for e, m in zip(ends, sizes, strict=True)]
         questions.append([unpack(parts[0], "uint64", delta=True), *[unpack(p, "uint64") for p in parts[1:-1]]])
         twice.append(_flags(parts[-1], int(n)))
-    order, starts = _groups(*[np.concatenate(k) for k in zip(*questions, strict=True)])
-    flags = np.concatenate(twice)
-    sizes = np.diff(np.r_[starts, len(order)])
-    many = np.logical_or.reduceat(flags[order], starts) | (sizes > 1)
-    flags[order] = np.repeat(many, sizes)
-    ends = np.cumsum([len(q[0]) for q in questions]).tolist()
-    payload = [_bits(flags[e - len(q[0]) : e]) for q, e in zip(questions, ends, strict=True)]
+    # questions are sorted by their first key: ranges of it, alike in all of them, are counted one after the other
+    some = [q[0] for q in questions if len(q[0])]
+    low, high = (int(f(k[at] for k in some)) if some else 0 for f, at in ((min, 0), (max, -1)))
+    ranges = max(1, sum(map(len, some)) // SORTED)
+    edges = np.array([low + (high - low) * i // ranges for i in range(1, ranges)], np.uint64)
+    places = [[0, *np.searchsorted(q[0], edges).tolist(), len(q[0])] for q in questions]
+    for i in range(ranges):
+        own = [slice(at[i], at[i + 1]) for at in places]
+        order, starts = _groups(*[np.concatenate([k[x] for k, x in zip(same, own, strict=True)]) for same in zip(*questions, strict=True)])
+        if not len(order):
+            continue
+        flags = np.concatenate([t[x] for t, x in zip(twice, own, strict=True)])
+        sizes = np.diff(np.r_[starts, len(order)])
+        many = np.logical_or.reduceat(flags[order], starts) | (sizes > 1)
+        flags[order] = np.repeat(many, sizes)
+        ends = np.cumsum([x.stop - x.start for x in own])
+        for t, x, e in zip(twice, own, ends.tolist(), strict=True):
+            t[x] = flags[e - (x.stop - x.start) : e]
+    payload = [_bits(t) for t in twice]
     return _messages(kind, part.column("block").to_pylist(), part.column("shard").to_pylist(), payload)
 
 
 def _digests(data: np.ndarray, bounds: np.ndarray, hits: np.ndarray, size: int) -> np.ndarray:
     """A digest of the words of each window that `hits` marks, joined by one space, in order."""
-    out, done = [], 0
+    out, done = bytearray(), 0
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         words = data[a:b].tobytes().split()
         m = max(len(words) - size + 1, 0)
@@ -137,8 +165,8 @@ def _digests(data: np.ndarray, bounds: np.ndarray, hits: np.ndarray, size: int)
             line = b" ".join(words)
             place = np.r_[0, np.cumsum([len(w) + 1 for w in words])]
             for x, y in zip(place[at].tolist(), (place[at + size] - 1).tolist()):
-                out.append(hashlib.blake2b(line[x:y], digest_size=8).digest())
-    return np.frombuffer(b"".join(out), np.uint64)
+                out += hashlib.blake2b(line[x:y], digest_size=8).digest()
+    return np.frombuffer(out, np.uint64)
 
 
 def _confirmed(part: pa.Table, answers: pa.Table, text: str, size: int, shards: int) -> tuple[np.ndarray, np.ndarray, _Asked]:

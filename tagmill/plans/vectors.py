@@ -549,7 +549,8 @@ def derived_annotation(t: Tables) -> DataFrame:
 )
 def ab_entrants(t: Tables) -> DataFrame:
     """What an arm shows that the baseline does not, and the first three that it displaces."""
-    nn = vec.neighbours(t.vectors, 50)
+    # read four times, made once
+    nn = checkpointed(vec.neighbours(t.vectors, 50).where("rank <= 12").select("i", "j", "rank"))
     base, arm = nn.where("rank <= 8"), nn.where("rank <= 12 AND j % 3 <> 0")
     new = arm.join(base, ["i", "j"], "left_anti").select("i", "j", "rank", F.lit("entrant").alias("kind"))
     w = Window.partitionBy("i").orderBy("rank")

@@ -177,16 +177,17 @@ def select_budget(t: Tables) -> DataFrame:
 @query()
 def select_hybrid(t: Tables) -> DataFrame:
     """Everyone's three nearest in any case, and the budgeted fill of the rest."""
-    sure = checkpointed(vec.unordered(vec.neighbours(t.vectors, 3)).select("a", "b", "sim"))
-    return sure.unionByName(vec.fill_from(t.vectors, "tradition", _quotas(t), cap=3, but=sure))
+    near = checkpointed(vec.neighbours(t.vectors, 3))
+    sure = checkpointed(vec.unordered(near).select("a", "b", "sim"))
+    third = near.where("rank = 3").select(F.col("i").alias("vec_id"), F.col("sim").alias("known"))
+    return sure.unionByName(vec.fill_from(t.vectors, "tradition", _quotas(t), cap=3, but=sure, known=third))
 
 
 @query()
 def select_worklevel(t: Tables) -> DataFrame:
     """Blocks of works: pairs at their block's 90th percentile or more, filled by quotas from shrunk yields that spend as much as select_current."""
-    floors = checkpointed(vec.block_floors(t.vectors, "work", 0.9))
     quotas = vec.allocate_whole(vec.work_weights(t.vectors, t.vector_labels), _current(t).count())
-    return vec.fill_from(t.vectors, "work", quotas, cap=2, floors=floors)
+    return vec.fill_from(t.vectors, "work", quotas, cap=2, share=0.9)
 
 
 @query("SELECT DISTINCT a, b FROM (SELECT a, b FROM cur UNION ALL SELECT a, b FROM un WHERE rank <= 2)", _CUR)
